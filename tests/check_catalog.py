@@ -1,0 +1,51 @@
+"""Run the catalog against DuckDB: ``python tests/check_catalog.py SF_DIR [name …]``."""
+
+import os
+import sys
+import time
+import traceback
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from checker import differences, duck  # noqa: E402
+
+from catalog import ORACLES, QUERIES  # noqa: E402
+from rowloom import build_session  # noqa: E402
+
+
+def main(sf_dir: str, names: list[str]) -> int:
+    spark = build_session(
+        "check",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": 8,
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck(sf_dir)
+    failed = 0
+    for name in names or QUERIES:
+        start = time.time()
+        try:
+            got = QUERIES[name](spark, sf_dir).toArrow()
+            took = time.time() - start
+            if name in ORACLES:
+                found = differences(got, con.sql(ORACLES[name]).to_arrow_table())
+            else:
+                found = [] if got.num_rows else ["no rows"]
+        except Exception as e:
+            took, found = time.time() - start, [f"{type(e).__name__}: {str(e)[:600]}"]
+            if os.environ.get("TRACE"):
+                traceback.print_exc()
+        failed += bool(found)
+        print(f"{'FAIL' if found else 'ok  '} {name} {took:.2f}s", *found, sep="\n     " if found else " ")
+    print(f"{failed} failed")
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(bool(main(sys.argv[1], sys.argv[2:])))
