@@ -317,10 +317,21 @@ def live_rows_(spark: SparkSession, d: str) -> DataFrame:
     return live.select("user_id", "event_type", "event_id")
 
 
-@query("bulk_export", "SELECT conv_id, turn, nullif(role, '') AS role, nullif(text, '') AS text FROM conversations")
+@query("bulk_export", "SELECT * FROM orders")
 def bulk_export_(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "export")
-    bulk_export(table(spark, d, "conversations"), path, ("conv_id", "turn"), max_records=1000000)
+    bulk_export(table(spark, d, "orders"), path, ("o_custkey", "o_orderkey"), max_records=1000000)
+    return spark.read.parquet(path)
+
+
+@query(
+    "bulk_export_text",
+    """SELECT conv_id, turn, nullif(role, '') AS role, nullif(text, '') AS text
+       FROM conversations""",
+)
+def bulk_export_text(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark, "export")
+    bulk_export(table(spark, d, "conversations"), path, ("conv_id", "turn"))
     return spark.read.parquet(path)
 
 

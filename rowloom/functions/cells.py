@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rowloom.functions.types import parse_text
 
 WRITE_TIME = "_writetime"
 EXPIRES_AT = "_expires_at"
@@ -36,7 +39,7 @@ def ttl_seconds(value: Column, unit: Column) -> Column:
 
     No unit gives -1; blank, negative and non-numeric values give null (ignored).
     """
-    number = F.trim(value).try_cast("int").cast("bigint")
+    number = parse_text(value, T.IntegerType()).cast("bigint")
     seconds = F.when(unit == "None", F.lit(-1).cast("bigint"))
     for name, size in TTL_UNITS.items():
         seconds = seconds.when(unit == name, number * F.lit(size))

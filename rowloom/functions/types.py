@@ -73,10 +73,34 @@ def storage_type(dtype: T.DataType) -> T.DataType:
     return T.BinaryType()
 
 
+_BLANK = r"[\s\p{Cntrl}]*"
+_WHOLE_TEXT = f"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+_REAL_TEXT = f"^{_BLANK}[+-]?([0-9.]|(?i:inf)|(?i:nan))"
+_FLAG_TEXT = f"(?i)^{_BLANK}(t|true|y|yes|1|f|false|n|no|0){_BLANK}$"
+
+
+def parse_text(c: Column, target: T.DataType) -> Column:
+    """Text as a number or boolean, null where it is none.
+
+    ``try_cast`` alone raises and catches an exception for each bad value,
+    which is about a hundred times slower than a good one; a pattern that all
+    good values match turns the bad ones away first.
+    """
+    if isinstance(target, _WHOLE):
+        pattern = _WHOLE_TEXT
+    elif isinstance(target, (*_REAL, T.DecimalType)):
+        pattern = _REAL_TEXT
+    elif isinstance(target, T.BooleanType):
+        pattern = _FLAG_TEXT
+    else:
+        return c.try_cast(target)
+    return F.when(F.rlike(c, F.lit(pattern)), c.try_cast(target))
+
+
 def storage_value(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
     """``c`` as ``target``; null where it does not fit. Instants become UTC days for ``date``."""
     if type(dtype) is type(target) and not isinstance(target, T.DecimalType):
         return c
     if isinstance(target, T.BinaryType):
         return c.cast("string").cast("binary") if not isinstance(dtype, T.BinaryType) else c
-    return c.try_cast(target)
+    return parse_text(c, target) if isinstance(dtype, _TEXT) else c.try_cast(target)

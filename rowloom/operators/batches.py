@@ -43,7 +43,7 @@ def batch_rows(
     """Number rows ``0, 1, …`` in order and put each ``batch_size`` of them in a batch.
 
     Adds ``batch_id`` and ``batch_pos`` (bigint). All batches are full but the
-    last. Make ``order_by`` total for a repeatable result.
+    last. Rows equal in ``order_by`` follow a hash of the row.
 
     Nothing goes through one task: rows are range-partitioned and sorted, each
     row gets its place within its partition, and this is staged. The offsets
@@ -53,7 +53,11 @@ def batch_rows(
     """
     if batch_size < 1:
         raise ValueError("a batch holds at least one row")
+    hashed = [col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
     order = [col(c) if isinstance(c, str) else c for c in order_by]
+    # Cut ranges inside runs of equal rows as well: by row hash, and for exact copies
+    # (whose order does not matter) by the task they come from.
+    order += [F.xxhash64(*hashed), F.spark_partition_id()]
     # upper bits of the id are the partition, the lower 33 the place in it
     place = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -26,17 +26,31 @@ ERROR_COLUMNS = [ERR_COUNT, ERR_DESC, ERR_FIELDS, ERR_CODE]
 
 
 def flag(
-    df: DataFrame, problem: Column, fields: Column | None = None, code: str = INSERT_ERROR
+    df: DataFrame,
+    problems: Sequence[tuple[Column, Column]],
+    fields: Column | None = None,
+    code: str = INSERT_ERROR,
 ) -> DataFrame:
-    """Add error columns: ``problem`` is a message, null for a good row."""
-    bad = F.col("_problem").isNotNull()
-    named = F.lit(None).cast("string") if fields is None else fields
+    """Add error columns. ``problems`` are pairs of condition and message; the first that
+    holds is the row's error.
+
+    Good rows only pay for the conditions: messages are built from the number
+    of the problem found, and filters on the error columns reduce to it.
+    """
+    found = F.lit(None).cast("int")
+    for i, (condition, _) in reversed(list(enumerate(problems))):
+        found = F.when(condition, F.lit(i)).otherwise(found)
     columns = [col(c) for c in df.columns]
-    return df.select(*columns, problem.alias("_problem"), named.alias("_fields")).select(
+    message = F.lit(None).cast("string")
+    for i, (_, text) in enumerate(problems):
+        message = F.when(F.col("_problem") == i, text).otherwise(message)
+    named = F.lit(None).cast("string") if fields is None else fields
+    bad = F.col("_problem").isNotNull()
+    return df.select(*columns, found.alias("_problem")).select(
         *columns,
         F.when(bad, F.lit(1).cast("bigint")).alias(ERR_COUNT),
-        F.col("_problem").alias(ERR_DESC),
-        F.when(bad, F.col("_fields")).alias(ERR_FIELDS),
+        message.alias(ERR_DESC),
+        F.when(bad, named).alias(ERR_FIELDS),
         F.when(bad, F.lit(code)).alias(ERR_CODE),
     )
 
@@ -56,49 +70,45 @@ def _any(conditions: list[Column]) -> Column:
     return out
 
 
-def null_key_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> Column:
-    bad = _any([col(c).isNull() for c in key.columns])
-    return F.when(bad, F.concat(F.lit("null key: "), row_text(df, columns)))
+def null_key_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> tuple[Column, Column]:
+    text = F.concat(F.lit("null key: "), row_text(df, columns))
+    return _any([col(c).isNull() for c in key.columns]), text
 
 
-def empty_row_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> Column:
-    """Message if a single-column key is all a row holds; wider keys are never empty."""
+def empty_row_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> tuple[Column, Column]:
+    """A single-column key is all the row holds; rows of wider keys are never empty."""
     keys = {c.lower() for c in key.columns}
-    if len(keys) > 1:
-        return F.lit(None).cast("string")
     filled = _any([col(c).isNotNull() for c in columns if c.lower() not in keys])
     key_text = F.coalesce(col(key.columns[0]).cast("string"), F.lit(""))
-    return F.when(~filled, F.concat(F.lit("no values for key: "), key_text))
+    text = F.concat(F.lit("no values for key: "), key_text)
+    return (~filled if len(keys) == 1 else F.lit(False)), text
 
 
-def misfit_fields(df: DataFrame, target: T.StructType, columns: list[str]) -> Column:
-    """Names of columns whose value is lost when stored as the target's type; null if none."""
+def misfits(df: DataFrame, target: T.StructType, columns: list[str]) -> dict[str, Column]:
+    """Per column whose type differs from the target's: whether its value would be lost."""
     by_name = {f.name.lower(): f for f in target}
-    names = []
+    out = {}
     for name in columns:
         dtype = df.schema[name].dataType
         field = by_name.get(name.lower())
-        if field is None or field.dataType == dtype:
-            continue
-        stored = storage_value(col(name), dtype, field.dataType)
-        names.append(F.when(col(name).isNotNull() & stored.isNull(), F.lit(name)))
-    if not names:
-        return F.lit(None).cast("string")
-    return F.nullif(F.concat_ws(",", *names), F.lit(""))
+        if field is not None and field.dataType != dtype:
+            stored = storage_value(col(name), dtype, field.dataType)
+            out[name] = col(name).isNotNull() & stored.isNull()
+    return out
 
 
 def reject_null_key(df: DataFrame, key: KeySpec | str | Sequence) -> DataFrame:
     """Flag rows with a null in any key column."""
     spec = key_spec(key)
     spec.require_in(df)
-    return flag(df, null_key_problem(df, spec, df.columns))
+    return flag(df, [null_key_problem(df, spec, df.columns)])
 
 
 def reject_empty_row(df: DataFrame, key: KeySpec | str | Sequence) -> DataFrame:
     """Flag rows of a single-column key with no other value."""
     spec = key_spec(key)
     spec.require_in(df)
-    return flag(df, empty_row_problem(df, spec, df.columns))
+    return flag(df, [empty_row_problem(df, spec, df.columns)])
 
 
 def flag_rejects(
@@ -115,14 +125,15 @@ def flag_rejects(
     spec = key_spec(key)
     spec.require_in(df)
     names = columns or df.columns
-    misfits = misfit_fields(df, target, names)
+    lost = misfits(df, target, names)
     misfit_text = F.concat(F.lit("value does not fit: "), row_text(df, names))
-    problem = F.coalesce(
+    lost_names = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in lost.items()])
+    problems = [
         null_key_problem(df, spec, names),
         empty_row_problem(df, spec, names),
-        F.when(misfits.isNotNull(), misfit_text),
-    )
-    return flag(df, problem, misfits, code)
+        (_any(list(lost.values())), misfit_text),
+    ]
+    return flag(df, problems, F.nullif(lost_names, F.lit("")), code)
 
 
 def load_report(flagged: DataFrame) -> DataFrame:
