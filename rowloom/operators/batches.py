@@ -37,6 +37,16 @@ def batch_size_setting(text: str | None) -> int:
     return size
 
 
+def in_ranges(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Rows sorted across partitions of about equal size, however often a value repeats."""
+    hashed = [col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    order = [col(c) if isinstance(c, str) else c for c in order_by]
+    # Cut ranges inside runs of equal rows as well: by row hash, and for exact copies
+    # (whose order does not matter) by the task they come from.
+    order += [F.xxhash64(*hashed), F.spark_partition_id()]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def batch_rows(
     df: DataFrame, order_by: Sequence[str | Column], batch_size: int = BATCH_SIZE
 ) -> DataFrame:
@@ -53,16 +63,10 @@ def batch_rows(
     """
     if batch_size < 1:
         raise ValueError("a batch holds at least one row")
-    hashed = [col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
-    order = [col(c) if isinstance(c, str) else c for c in order_by]
-    # Cut ranges inside runs of equal rows as well: by row hash, and for exact copies
-    # (whose order does not matter) by the task they come from.
-    order += [F.xxhash64(*hashed), F.spark_partition_id()]
     # upper bits of the id are the partition, the lower 33 the place in it
     place = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = stage(
-        ranged.select(
+        in_ranges(df, order_by).select(
             *[col(c) for c in df.columns],
             F.shiftright(place, 33).alias("_range"),
             place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),

@@ -240,14 +240,16 @@ def _stamped(
     return with_ttl(stamped, F.col(EXPIRES_AT))
 
 
-def _publish(spark: SparkSession, table: str, log: DataFrame, load_id: str) -> None:
+def _publish(
+    spark: SparkSession, table: str, log: DataFrame, load_id: str, verb: str = "OVERWRITE TABLE"
+) -> None:
     spec = table_key(spark, table)
     buckets = bucket_count(spark, table)
     if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
         # one file per bucket: let each task write whole buckets
         log = log.repartition(buckets, *[col(c) for c in spec.columns])
     spark.sql(
-        f"INSERT OVERWRITE TABLE {_name(table)} PARTITION ({LOAD} = '{load_id}') "
+        f"INSERT {verb} {_name(table)} PARTITION ({LOAD} = '{load_id}') "
         "BY NAME SELECT * FROM {log}",
         log=log,
     )
@@ -287,6 +289,7 @@ def compact_table(spark: SparkSession, table: str) -> str:
     else:
         kept = winning_writes(log, spec, STAMP)
     load_id = f"compact-{uuid.uuid4().hex}"
-    _publish(spark, table, kept, load_id)
+    # the table is also read from, so it cannot be overwritten; the load id is new anyway
+    _publish(spark, table, kept, load_id, "INTO")
     _drop_loads(spark, table, old)
     return load_id

@@ -23,6 +23,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": f"{root}/warehouse",
             "spark.checkpoint.dir": f"{root}/scratch",
+            "spark.sql.maxMetadataStringLength": 10000,
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )

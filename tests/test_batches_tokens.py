@@ -1,0 +1,147 @@
+"""Batches, sinks and tokens."""
+
+import glob
+import json
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from rowloom.functions.tokens import key_bytes, murmur3_rows, token
+from rowloom.operators.batches import (
+    batch_rows,
+    batch_size_setting,
+    in_ranges,
+    rechunk,
+    send_split,
+    write_batches,
+)
+
+
+def test_batch_size_setting():
+    assert batch_size_setting("250") == 250 and batch_size_setting(" x ") == 100
+    for bad in (None, " ", "0"):
+        with pytest.raises(ValueError):
+            batch_size_setting(bad)
+
+
+def test_batch_rows_numbers_all_rows(spark):
+    t = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")).repartition(5)
+    got = batch_rows(t, ["k"], 64).collect()
+    assert sorted((r["k"], r["batch_id"], r["batch_pos"]) for r in got) == [
+        (k, k // 64, k % 64) for k in range(1000)
+    ]
+    assert batch_rows(spark.range(0), ["id"]).count() == 0
+    with pytest.raises(ValueError):
+        batch_rows(t, ["k"], 0)
+
+
+def test_batch_rows_spreads_equal_rows(spark):
+    """A third of all rows are exact copies; they are numbered once each, in several ranges."""
+    copies = spark.range(4000, numPartitions=8).select(F.lit(5).alias("k"), F.lit("same").alias("v"))
+    others = spark.range(8000, numPartitions=8).select(
+        F.col("id").cast("int").alias("k"), F.col("id").cast("string").alias("v")
+    )
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        numbered = batch_rows(copies.union(others), ["k"], 100)
+        sizes = [len(p) for p in in_ranges(copies.union(others), ["k"]).rdd.glom().collect()]
+    finally:
+        spark.conf.unset(conf)
+    got = numbered.groupBy("batch_id").count().orderBy("batch_id").collect()
+    assert [tuple(r) for r in got] == [(i, 100) for i in range(120)]
+    assert max(sizes) < 3800  # four ranges of about 3000 rows: the 4000 copies are split
+    places = numbered.select(F.col("batch_id") * 100 + F.col("batch_pos")).distinct().count()
+    assert places == 12000
+    ordered = numbered.orderBy("batch_id", "batch_pos").select("k").collect()
+    assert [r[0] for r in ordered] == sorted(r[0] for r in ordered)
+
+
+def test_rechunk():
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (3, 0, 10, 1)]
+    sizes = [t.num_rows for t in rechunk(iter(batches), 4)]
+    assert sizes == [4, 4, 4, 2]
+    whole = [t.column("x").to_pylist() for t in rechunk(iter(batches), 100)]
+    assert whole == [[0, 1, 2, *range(10), 0]]
+    assert list(rechunk(iter([]), 4)) == []
+
+
+@pytest.mark.parametrize("size, bad", [(100, {3}), (100, {3, 4, 97}), (10, set()), (7, {0}), (1, {0})])
+def test_send_split_loses_only_bad_rows(size, bad):
+    rows = [{"i": i} for i in range(size)]
+    taken, calls = [], []
+
+    def send(part):
+        calls.append(len(part))
+        for r in part:
+            if r["i"] in bad:
+                raise RuntimeError(f"no {r['i']}")
+        taken.extend(r["i"] for r in part)
+
+    refused = send_split(rows, send, 10)
+    assert refused == [(i, f"no {i}") for i in sorted(bad)]
+    assert sorted(taken) == [i for i in range(size) if i not in bad]
+    tens = {i // 10 for i in bad}
+    if size > 10:
+        assert len(calls) == 1 + (size // 10 + 10 * len(tens) if bad else 0)
+    elif size > 1:
+        assert len(calls) == 1 + (size if bad else 0)
+
+
+def test_write_batches_to_a_sink(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def send(rows):
+        if any(r["v"] is None for r in rows):
+            raise ValueError("v is missing")
+        name = f"{folder}/{rows[0]['id']}-{len(rows)}.json"
+        with open(name, "w") as f:
+            json.dump([r["id"] for r in rows], f)
+
+    t = spark.range(1000, numPartitions=3).select(
+        "id", F.when(F.col("id") % 97 != 5, F.col("id")).alias("v")
+    )
+    refused = write_batches(t, send, batch_size=50, sub_batch_size=5).collect()
+    bad = {i for i in range(1000) if i % 97 == 5}
+    assert {r["id"] for r in refused} == bad
+    assert {(r["_err_count"], r["_err_desc"], r["_err_code"]) for r in refused} == {
+        (1, "v is missing", "ERR_INSERT01")
+    }
+    sent = [i for name in glob.glob(f"{folder}/*.json") for i in json.load(open(name))]
+    assert sorted(sent) == [i for i in range(1000) if i not in bad]
+    with pytest.raises(ValueError):
+        write_batches(t, send, batch_size=0)
+
+
+# Published test vectors of the signed-tail Murmur3 token.
+VECTORS = [
+    (b"123", -7468325962851647638),
+    (b"\x00\xff\x10\xfa\x99" * 10, 5837342703291459765),
+    (b"\xfe" * 8, -8927430733708461935),
+    (b"\x10" * 8, 1446172840243228796),
+    (b"9223372036854775807", 7162290910810015547),
+]
+
+
+@pytest.mark.parametrize("key, want", VECTORS)
+def test_murmur3_vectors(key, want):
+    row = np.frombuffer(key, dtype=np.uint8).reshape(1, -1)
+    assert murmur3_rows(row).tolist() == [want]
+
+
+def test_q_partitioners(spark):
+    t = spark.createDataFrame([(k, -2) for k, _ in VECTORS] + [(None, 1)], "k binary, n bigint")
+    for name in ("Murmur3Partitioner", "org.example.Murmur3Partitioner", "unknown", None):
+        got = t.select(token(t, ["k"], name)).collect()
+        assert [r[0] for r in got] == [v for _, v in VECTORS] + [None]
+    assert t.select(token(t, ["k"], "RandomPartitioner")).dtypes[0][1] == "string"
+    assert t.select(token(t, ["n"], "ByteOrderedPartitioner")).first()[0] == b"\xff" * 7 + b"\xfe"
+    assert t.select(token(t, ["n"])).dtypes[0][1] == "bigint"
+    mixed = spark.sql("SELECT 'ab' AS s, CAST(-1 AS SMALLINT) AS h, true AS b, TIMESTAMP '1970-01-01 00:00:01' AS t")
+    packed = mixed.select(key_bytes(mixed, ["s", "h", "b"])).first()[0]
+    assert packed == b"\x00\x02ab\x00\x00\x02\xff\xff\x00\x00\x01\x01\x00"
+    assert mixed.select(key_bytes(mixed, ["t"])).first()[0] == (1000).to_bytes(8, "big")
+    with pytest.raises(TypeError):
+        key_bytes(spark.sql("SELECT 1.5D AS d"), ["d"])
