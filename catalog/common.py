@@ -20,6 +20,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the tables' timestamps have no zone and are meant as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return without_zone(fn(spark, sf_dir))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__

@@ -335,6 +335,23 @@ def bulk_export_text(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(
+    "bulk_export_rejects",
+    """SELECT o_orderkey, o_custkey, nullif(o_orderstatus, '') AS o_orderstatus,
+              nullif(o_orderpriority, '5-LOW') AS priority, CAST(1 AS BIGINT) AS _err_count,
+              'null key: ' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',<null>'
+              AS _err_desc, CAST(NULL AS VARCHAR) AS _err_fields,
+              'ERR_SSTABLE_OUTPUT_01' AS _err_code
+       FROM orders WHERE o_orderpriority = '5-LOW'""",
+)
+def bulk_export_rejects(spark: SparkSession, d: str) -> DataFrame:
+    priority = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_orderpriority"))
+    rows = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", priority.alias("priority")
+    )
+    return bulk_export(rows, scratch_dir(spark, "export"), ("priority", "o_orderkey"))
+
+
 @query(
     "bulk_export_versions",
     """SELECT l_orderkey, l_linenumber, max(l_shipdate) AS l_shipdate,

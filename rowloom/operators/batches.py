@@ -24,14 +24,14 @@ BATCH_SIZE = 100
 SUB_BATCH_SIZE = 10
 
 
-def batch_size_setting(text: str | None) -> int:
+def batch_size_setting(text: str | None, default: int = BATCH_SIZE) -> int:
     """Batch size from a setting: blank is an error, an unreadable one means the default."""
     if text is None or not text.strip():
         raise ValueError("no batch size set")
     try:
         size = int(text)
     except ValueError:
-        return BATCH_SIZE
+        return default
     if size < 1:
         raise ValueError("a batch holds at least one row")
     return size

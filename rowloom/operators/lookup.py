@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rowloom.functions.types import col, quoted
@@ -54,7 +54,9 @@ def lookup_limit(
     ``order_by`` picks them and must be total to make the result repeatable.
     Equal driver rows get equal answers, so the limit is taken once per key:
     each task keeps its own first ``n`` per key before rows are shuffled, hence
-    a hot key never reaches one task whole.
+    a hot key never reaches one task whole. Spark does this up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, each key is
+    first limited within as many parts as there are shuffle partitions.
     """
     if not order_by:
         raise ValueError("a limit per row needs an order")
@@ -63,14 +65,20 @@ def lookup_limit(
     wanted = driver.select(*[col(d).alias(t) for t, d in pairs])
     candidates = target
     if fits_broadcast(wanted):
-        # small driver: drop other keys before any sorting
-        candidates = target.join(F.broadcast(wanted.distinct()), keys, "left_semi")
+        # small driver: the optimizer broadcasts its keys, dropping others before any sorting
+        candidates = target.join(wanted.distinct(), keys, "left_semi")
+    spark = driver.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        hashed = F.xxhash64(*[col(f.name) for f in target.schema if f.dataType.typeName() != "map"])
+        part = F.pmod(hashed, F.lit(parts))
+        candidates = _first(candidates, Window.partitionBy(*[col(k) for k in keys], part), order_by, n)
     # The hash in the partitioning keeps the join below on a shuffle of its own, which
     # lets the adaptive plan split a driver key that repeats very often.
     by_key = Window.partitionBy(F.xxhash64(*[col(k) for k in keys]), *[col(k) for k in keys])
-    limited = (
-        candidates.withColumn("_nth", F.row_number().over(by_key.orderBy(*order_by)))
-        .where(F.col("_nth") <= n)
-        .drop("_nth")
-    )
-    return lookup(wanted, limited, keys)
+    return lookup(wanted, _first(candidates, by_key, order_by, n), keys)
+
+
+def _first(df: DataFrame, group: WindowSpec, order_by: Sequence[Column], n: int) -> DataFrame:
+    nth = F.row_number().over(group.orderBy(*order_by))
+    return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.functions.cells import WRITE_TIME
 from rowloom.functions.text import identifier, literal
@@ -13,27 +14,55 @@ from rowloom.functions.types import col
 from rowloom.keys import KeySpec, key_spec
 from rowloom.operators.batches import BATCH_SIZE, batch_rows
 from rowloom.operators.upsert import latest_cells
+from rowloom.operators.validate import (
+    EXPORT_ERROR,
+    accepted,
+    flag,
+    null_key_problem,
+    rejected,
+)
 
 # Fixed value: default write buffer in MB.
 BUFFER_MB = 16
 
 
+def blank_to_null(rows: DataFrame) -> DataFrame:
+    """An empty string counts as a missing value."""
+    out = []
+    for f in rows.schema:
+        text = isinstance(f.dataType, T.StringType)
+        out.append(F.nullif(col(f.name), F.lit("")).alias(f.name) if text else col(f.name))
+    return rows.select(*out)
+
+
+def flag_export(rows: DataFrame, key: KeySpec | str | Sequence) -> DataFrame:
+    """Flag rows that cannot be exported: a part of their key is null or ``""``."""
+    spec = key_spec(key)
+    spec.require_in(rows)
+    filled = blank_to_null(rows)
+    return flag(filled, [null_key_problem(filled, spec, filled.columns)], code=EXPORT_ERROR)
+
+
 def sorted_by_key(
     rows: DataFrame,
     key: KeySpec | str | Sequence,
     written_at: str | None = None,
     partitions: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows reduced to one per key and laid out in key order across partitions.
 
     Nulls and ``""`` are not written, so older values of a key show through.
-    Without ``written_at`` the greatest value of a cell wins. Ranges are cut on
-    the whole primary key: a partition key that holds much of the table is
-    spread over many tasks and files, each still sorted.
+    Without ``written_at`` the greatest value of a cell wins. ``unique`` says
+    that keys do not repeat, which saves the reduction and its shuffle. Ranges
+    are cut on the whole primary key: a partition key that holds much of the
+    table is spread over many tasks and files, each still sorted.
     """
     spec = key_spec(key)
     spec.require_in(rows)
-    if written_at is None:
+    if unique:
+        merged = blank_to_null(rows)
+    elif written_at is None:
         stamped = rows.withColumn(WRITE_TIME, F.lit(0).cast("bigint"))
         merged = latest_cells(stamped, spec, blank_is_null=True).drop(WRITE_TIME)
     else:
@@ -55,9 +84,10 @@ def bulk_export(
     buffer_mb: int = BUFFER_MB,
     max_records: int | None = None,
     partitions: int | None = None,
+    unique: bool = False,
     format: str = "parquet",
-) -> None:
-    """Write rows as key-sorted files that do not overlap.
+) -> DataFrame:
+    """Write rows as key-sorted files that do not overlap; returns the rejected rows, lazily.
 
     ``buffer_mb`` is the size of a sorted block (Parquet row group) within a
     file and ``max_records`` limits a file; without ``partitions`` the adaptive
@@ -65,11 +95,14 @@ def bulk_export(
     """
     if buffer_mb < 1:
         raise ValueError("the buffer holds at least 1 MB")
-    writer = sorted_by_key(rows, key, written_at, partitions).write.format(format)
+    flagged = flag_export(rows, key)
+    laid_out = sorted_by_key(accepted(flagged), key, written_at, partitions, unique)
+    writer = laid_out.write.format(format)
     writer = writer.option("parquet.block.size", buffer_mb * 1024 * 1024)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.save(path)
+    return rejected(flagged)
 
 
 def insert_statement(

@@ -37,6 +37,7 @@ from rowloom.operators.validate import (
     ERR_CODE,
     accepted,
     flag_rejects,
+    load_report,
     rejected,
     report_counters,
 )
@@ -58,33 +59,39 @@ _LOAD_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 @dataclass
 class LoadResult:
-    """What a load did: its id, counters, and the rejected rows as a (lazy) frame."""
+    """What a load did.
+
+    ``report`` holds the counters observed while loading; tasks run again after
+    a lost executor may count their rows twice there. ``rejects`` and
+    ``recount`` (the counters anew) are lazy frames over the input.
+    """
 
     load_id: str
     report: dict[str, int]
     rejects: DataFrame
+    recount: DataFrame
 
 
 def _name(table: str) -> str:
     return ".".join(quoted(p) for p in table.split("."))
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()
-    return {r["key"]: r["value"] for r in rows}
+@dataclass(frozen=True)
+class TableInfo:
+    key: KeySpec
+    buckets: int
+    merge: str
 
 
-def table_key(spark: SparkSession, table: str) -> KeySpec:
-    """Key of a keyed table, as it was created."""
-    stored = _properties(spark, table).get(_KEY_PROPERTY)
-    if stored is None:
+def table_info(spark: SparkSession, table: str) -> TableInfo:
+    """Key, bucket count and way of reconciling of a keyed table."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()
+    stored = {r["key"]: r["value"] for r in rows}
+    if _KEY_PROPERTY not in stored:
         raise LookupError(f"{table} is not a keyed table")
-    partition, clustering = json.loads(stored)
-    return KeySpec(tuple(partition), tuple(clustering))
-
-
-def bucket_count(spark: SparkSession, table: str) -> int:
-    return int(_properties(spark, table)[_BUCKETS_PROPERTY])
+    partition, clustering = json.loads(stored[_KEY_PROPERTY])
+    key = KeySpec(tuple(partition), tuple(clustering))
+    return TableInfo(key, int(stored[_BUCKETS_PROPERTY]), stored[_MERGE_PROPERTY])
 
 
 def value_schema(spark: SparkSession, table: str) -> T.StructType:
@@ -193,15 +200,16 @@ def load_table(
             raise LookupError(f"no such table: {table}")
         stored = [T.StructField(f.name, storage_type(f.dataType)) for f in rows.schema]
         create_table(spark, table, T.StructType(stored), spec, buckets, properties)
-    if table_key(spark, table) != spec:
-        raise ValueError(f"{table} has the key {table_key(spark, table)}")
+    info = table_info(spark, table)
+    if info.key != spec:
+        raise ValueError(f"{table} has the key {info.key}")
     if evolve:
         evolve_table(spark, table, rows)
     target = value_schema(spark, table)
     present = {c.lower() for c in rows.columns}
     written = [f.name for f in target if f.name.lower() in present]
     whole_rows = nulls == "overwrite" and len(written) == len(target)
-    if not whole_rows:
+    if not whole_rows and info.merge != "cells":
         _set_merge(spark, table, "cells")
 
     flagged = flag_rejects(
@@ -217,12 +225,13 @@ def load_table(
         log = latest_rows(log, spec, ties=[SEQ]).withColumn(WRITTEN, every)
     else:
         log = winning_writes(log, spec, STAMP)
-    _publish(spark, table, log, load_id)
+    _publish(spark, table, info, log, load_id)
     if truncate:
         _drop_loads(spark, table, [i for i in loads(spark, table) if i != load_id])
         if whole_rows:
             _set_merge(spark, table, "rows")
-    return LoadResult(load_id, dict(seen.get), rejected(flagged).drop(*STAMP))
+    rejects = rejected(flagged).drop(*STAMP)
+    return LoadResult(load_id, dict(seen.get), rejects, load_report(flagged))
 
 
 def _stamped(
@@ -241,13 +250,16 @@ def _stamped(
 
 
 def _publish(
-    spark: SparkSession, table: str, log: DataFrame, load_id: str, verb: str = "OVERWRITE TABLE"
+    spark: SparkSession,
+    table: str,
+    info: TableInfo,
+    log: DataFrame,
+    load_id: str,
+    verb: str = "OVERWRITE TABLE",
 ) -> None:
-    spec = table_key(spark, table)
-    buckets = bucket_count(spark, table)
-    if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if info.buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
         # one file per bucket: let each task write whole buckets
-        log = log.repartition(buckets, *[col(c) for c in spec.columns])
+        log = log.repartition(info.buckets, *[col(c) for c in info.key.columns])
     spark.sql(
         f"INSERT {verb} {_name(table)} PARTITION ({LOAD} = '{load_id}') "
         "BY NAME SELECT * FROM {log}",
@@ -263,15 +275,15 @@ def read_live(
     ``as_of=None`` keeps expired cells. ``stamps`` adds ``_writetime`` and
     ``_expires_at``. Filters on key columns reach the file scan.
     """
-    spec = table_key(spark, table)
-    names = [f.name for f in value_schema(spark, table)]
+    info = table_info(spark, table)
     log = spark.table(table).drop(LOAD)
-    if _properties(spark, table)[_MERGE_PROPERTY] == "rows":
-        rows = latest_rows(log.drop(WRITTEN), spec, ties=[SEQ])
+    names = [c for c in log.columns if c not in _HIDDEN]
+    if info.merge == "rows":
+        rows = latest_rows(log.drop(WRITTEN), info.key, ties=[SEQ])
         if as_of is not None:
             rows = live_rows(rows, as_of)
     else:
-        rows = live_cells(log, spec, as_of, ties=[SEQ])
+        rows = live_cells(log, info.key, as_of, ties=[SEQ])
     return rows.select(*map(col, [*names, *([WRITE_TIME, EXPIRES_AT] if stamps else [])]))
 
 
@@ -282,14 +294,14 @@ def compact_table(spark: SparkSession, table: str) -> str:
     changes nothing, so readers see the same rows throughout.
     """
     old = loads(spark, table)
-    spec = table_key(spark, table)
+    info = table_info(spark, table)
     log = spark.table(table).drop(LOAD)
-    if _properties(spark, table)[_MERGE_PROPERTY] == "rows":
-        kept = latest_rows(log, spec, ties=[SEQ])
+    if info.merge == "rows":
+        kept = latest_rows(log, info.key, ties=[SEQ])
     else:
-        kept = winning_writes(log, spec, STAMP)
+        kept = winning_writes(log, info.key, STAMP)
     load_id = f"compact-{uuid.uuid4().hex}"
     # the table is also read from, so it cannot be overwritten; the load id is new anyway
-    _publish(spark, table, kept, load_id, "INTO")
+    _publish(spark, table, info, kept, load_id, "INTO")
     _drop_loads(spark, table, old)
     return load_id

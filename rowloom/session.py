@@ -17,6 +17,8 @@ def build_session(app: str = "rowloom", master: str | None = None, **conf) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites in error messages cost more than building the plan itself
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

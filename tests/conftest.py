@@ -24,7 +24,6 @@ def spark():
             "spark.sql.warehouse.dir": f"{root}/warehouse",
             "spark.checkpoint.dir": f"{root}/scratch",
             "spark.sql.maxMetadataStringLength": 10000,
-            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("OFF")

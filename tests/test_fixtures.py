@@ -28,7 +28,7 @@ from rowloom.operators.project import (
     project_lenient,
     select_distinct,
 )
-from rowloom.plans.export import bulk_export, insert_script
+from rowloom.plans.export import bulk_export, insert_script, sorted_by_key
 from rowloom.sources.tables import param_query, read_table, select_query
 
 
@@ -217,12 +217,33 @@ def test_ttl_left(spark):
 
 def test_k_bulk_export(spark, tmp_path):
     t = spark.createDataFrame([(1, "some")], "key bigint, two string")
-    bulk_export(t, f"{tmp_path}/out", ("key", "two"), buffer_mb=1000)
+    refused = bulk_export(t, f"{tmp_path}/out", ("key", "two"), buffer_mb=1000)
+    assert refused.count() == 0
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1, "some")]
     with pytest.raises(ValueError):
         bulk_export(t, f"{tmp_path}/no", "key", buffer_mb=0)
 
 
+def test_bulk_export_rejects_and_versions(spark, tmp_path):
+    data = [(1, "a", "x", 1), (1, "a", "", 2), (2, "", "y", 1), (None, "b", "z", 1)]
+    t = spark.createDataFrame(data, "k int, c string, v string, at int")
+    refused = bulk_export(t, f"{tmp_path}/out", ("k", "c"), written_at="at")
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1, "a", "x", 2)]
+    got = refused.select("_err_desc", "_err_code").orderBy("_err_desc")
+    assert rows(got) == [
+        ("null key: 2,<null>,y,1", "ERR_SSTABLE_OUTPUT_01"),
+        ("null key: <null>,b,z,1", "ERR_SSTABLE_OUTPUT_01"),
+    ]
+
+
+def test_bulk_export_of_unique_rows_shuffles_once(spark):
+    t = spark.range(100).select("id", F.lit("").alias("v"))
+    once = sorted_by_key(t, "id", unique=True)
+    text = once._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange rangepartitioning") == 1 and text.count("Exchange hash") == 0
+    assert once.where("v IS NOT NULL").count() == 0 and once.count() == 100
+
+
 def test_l_m_project(spark):
     assert fold_name('"AQuotedMixedCaseItentifier"') == "AQuotedMixedCaseItentifier"
     assert fold_name("MixedCaseNoQuotes") == "mixedcasenoquotes"

@@ -16,14 +16,13 @@ from rowloom.operators.upsert import (
     with_ttl,
 )
 from rowloom.plans.load import (
-    bucket_count,
     compact_table,
     create_table,
     evolve_table,
     load_table,
     loads,
     read_live,
-    table_key,
+    table_info,
     value_schema,
 )
 
@@ -169,7 +168,8 @@ def test_load_creates_upserts_and_reports(spark, table_name):
     load_table(table_name, frame(spark, [(2, None, 5)]), "k", nulls="overwrite", written_at=F.lit(11))
     load_table(table_name, frame(spark, [(1, "late", 9)]), "k", nulls="overwrite", written_at=F.lit(9))
     assert rows(read_live(spark, table_name)) == [(1, "x", 1), (2, None, 5)]
-    assert table_key(spark, table_name).columns == ["k"]
+    assert table_info(spark, table_name).key.columns == ["k"]
+    assert first.recount.first().asDict() == first.report
     assert value_schema(spark, table_name).names == ["k", "a", "n"]
 
 
@@ -262,7 +262,7 @@ def test_load_into_other_bucket_count_writes_one_file_per_bucket(spark, table_na
     create_table(spark, table_name, schema, "k", buckets=3, properties={"comment": "it's"})
     data = spark.range(200).select(F.col("id").alias("k"), F.lit("x").alias("a"), F.col("id").alias("n"))
     load_table(table_name, data, "k", nulls="overwrite")
-    assert bucket_count(spark, table_name) == 3
+    assert table_info(spark, table_name).buckets == 3
     assert len(spark.table(table_name).inputFiles()) == 3
     assert read_live(spark, table_name).count() == 200
 

@@ -122,6 +122,16 @@ def test_hot_target_key_is_cut_before_the_shuffle(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 0), (1, 1), (1, 1), (2, 2)]
 
 
+def test_large_limits_cut_a_hot_key_in_parts(spark):
+    hot = spark.range(9000, numPartitions=4).select(F.lit(1).alias("id"), F.col("id").alias("v"))
+    target = hot.union(spark.range(9000, numPartitions=4).select(F.col("id").cast("int"), "id"))
+    driver = spark.createDataFrame([(1,), (2,)], "id int")
+    got = lookup_limit(driver, target, "id", [F.col("v").desc()], 2500)
+    assert "pmod(xxhash64" in plan(got)
+    want = [(1, v) for v in range(6500, 9000)] + [(2, 2)]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_export_spreads_a_hot_partition_key(spark):
     """Ranges are cut on the whole key, sorted, and do not overlap."""
     rows = spark.range(6000).select(
