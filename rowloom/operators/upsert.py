@@ -20,12 +20,36 @@ def _check_rule(nulls: str) -> None:
         raise ValueError(f"nulls must be one of {NULL_RULES}, not {nulls!r}")
 
 
+def _has_order(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_order(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_has_order(f.dataType) for f in dtype)
+    return not isinstance(dtype, T.MapType)
+
+
 def _orderable(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    out = []
-    for name in columns:
-        is_map = isinstance(df.schema[name].dataType, T.MapType)
-        out.append(F.to_json(col(name)) if is_map else col(name))
-    return out
+    """Columns to sort by; values without an order (maps) go by their text."""
+    return [col(c) if _has_order(df.schema[c].dataType) else F.to_json(col(c)) for c in columns]
+
+
+def _newest_cell(
+    log: DataFrame,
+    name: str,
+    value: Column,
+    wrote: Column,
+    order: Sequence[Column],
+    *carried: Column,
+) -> Column:
+    """Aggregate: ``value`` and the carried columns of the newest write of a cell, as a struct.
+
+    Writes equal in ``order`` are settled by the greater value.
+    """
+    ranks = [c.alias(f"_rank{i}") for i, c in enumerate(order)]
+    if _has_order(log.schema[name].dataType):
+        return F.max(F.when(wrote, F.struct(*ranks, value.alias("value"), *carried)))
+    by_text = F.struct(*ranks, F.to_json(value))
+    return F.max_by(F.struct(value.alias("value"), *carried), F.when(wrote, by_text))
 
 
 def latest_rows(
@@ -58,7 +82,7 @@ def latest_cells(
 ) -> DataFrame:
     """Per key and column the newest non-null value: nulls leave older values alone.
 
-    Equal write times are settled by ``ties``, by default by the greater value.
+    Equal write times are settled by ``ties``, then by the greater value.
     ``written_at`` comes out as the newest write of the row. ``blank_is_null``
     also treats ``""`` as not written. Partial aggregation runs before the
     shuffle, so many versions of one key stay cheap.
@@ -73,12 +97,16 @@ def latest_cells(
         value = col(f.name)
         if blank_is_null and isinstance(f.dataType, T.StringType):
             value = F.nullif(value, F.lit(""))
-        rank = [col(t) for t in ties] if ties is not None else _orderable(log, [f.name])
-        order = F.when(value.isNotNull(), F.struct(col(written_at), *rank))
-        aggs.append(F.max_by(value, order).alias(f.name))
+        order = [col(written_at), *[col(t) for t in ties or ()]]
+        aggs.append(_newest_cell(log, f.name, value, value.isNotNull(), order).alias(f.name))
     aggs.append(F.max(col(written_at)).alias(written_at))
     merged = log.groupBy(*[col(c) for c in spec.columns]).agg(*aggs)
-    return merged.select(*[col(c) for c in log.columns])
+    return merged.select(
+        *[
+            col(c) if c.lower() in taken else col(c)["value"].alias(c)
+            for c in log.columns
+        ]
+    )
 
 
 def upsert(
@@ -142,10 +170,10 @@ def live_cells(
     at, expires = col(written_at), F.col(EXPIRES_AT)
     aggs = []
     for name in values:
-        rank = [col(t) for t in ties] if ties is not None else _orderable(log, [name])
-        cell = F.struct(col(name).alias("value"), expires.alias("expires"))
-        order = F.when(_wrote(log, name), F.struct(at, *rank))
-        aggs.append(F.max_by(cell, order).alias(name))
+        order = [at, *[col(t) for t in ties or ()]]
+        wrote = _wrote(log, name)
+        cell = _newest_cell(log, name, col(name), wrote, order, expires.alias("expires"))
+        aggs.append(cell.alias(name))
     newest = F.struct(at, *[col(t) for t in ties or ()], expires)
     aggs.append(F.max(newest).alias("_newest"))
     merged = log.groupBy(*[col(c) for c in spec.columns]).agg(*aggs)
@@ -184,8 +212,9 @@ def winning_writes(
     mark = F.struct(*[col(c) for c in stamp])
     aggs = [F.max(mark).alias("_newest")]
     for name in values:
-        cell = F.struct(col(name).alias("value"), mark.alias("mark"))
-        aggs.append(F.max_by(cell, F.when(_wrote(log, name), mark)).alias(name))
+        wrote = _wrote(log, name)
+        cell = _newest_cell(log, name, col(name), wrote, [mark], mark.alias("mark"))
+        aggs.append(cell.alias(name))
     cells = log.groupBy(*[col(c) for c in spec.columns]).agg(*aggs)
     marks = F.array("_newest", *[col(n)["mark"] for n in values])
     one_write = cells.withColumn("_mark", F.explode(F.array_distinct(F.array_compact(marks))))

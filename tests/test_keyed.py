@@ -123,6 +123,15 @@ def test_upsert_twice_is_upsert_once(spark, nulls):
     assert once.groupBy(*KEY).count().where("count > 1").count() == 0
 
 
+def test_cells_may_hold_maps(spark):
+    log = spark.sql(
+        "SELECT 1 AS k, map('a', 1) AS m, array(map('x', 1)) AS l, 1L AS _writetime UNION ALL "
+        "SELECT 1, map('b', 2), NULL, 2L UNION ALL SELECT 1, map('c', 3), NULL, 2L"
+    )
+    assert latest_cells(log, "k").collect()[0][1:] == ({"c": 3}, [{"x": 1}], 2)
+    assert latest_rows(log, "k").collect()[0][1:] == ({"c": 3}, None, 2)
+
+
 def test_upsert_needs_a_null_rule(spark):
     df = spark.createDataFrame([(1, 1)], "k int, _writetime bigint")
     with pytest.raises(TypeError):
