@@ -25,9 +25,11 @@ from rowloom.operators.validate import (
 )
 from rowloom.plans.export import bulk_export, insert_script
 from rowloom.plans.load import load_table, read_live
-from rowloom.session import scratch_dir, stage
+from rowloom.session import scratch_dir, ship, stage
 from rowloom.streaming.jobs import stream_lookup, stream_upsert
 
+ship(__name__)
+
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
 

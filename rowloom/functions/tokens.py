@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.types import col
+from rowloom.session import ship
+
+ship(__name__)
 
 # The two multipliers and the finalizer of the public 128-bit x64 Murmur3 hash.
 C1 = np.uint64(0x87C37B91114253D5)

@@ -17,7 +17,9 @@ from rowloom.operators.validate import (
     ERR_FIELDS,
     INSERT_ERROR,
 )
-from rowloom.session import stage
+from rowloom.session import ship, stage
+
+ship(__name__)
 
 # Default sizes.
 BATCH_SIZE = 100

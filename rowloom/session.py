@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,6 +46,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def ship(module: str) -> None:
+    """Send this module's functions with the tasks that use them, so that executors need
+    no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to scratch and return it read back.
 
