@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.common import query, table
-from catalog.reads import _REPEATED_CUSTOMERS
 from catalog.transforms import EVENT_KEY, event_log
 from rowloom.functions.cells import to_micros
 from rowloom.operators.batches import batch_rows, write_batches
@@ -398,8 +397,7 @@ def insert_script_(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "stream_lookup",
-    f"""WITH {_REPEATED_CUSTOMERS}
-        SELECT o.* FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey""",
+    "SELECT o.* FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey",
 )
 def stream_lookup_(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
@@ -425,11 +423,12 @@ def stream_lookup_(spark: SparkSession, d: str) -> DataFrame:
 def stream_upsert_(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "stream_upsert")
     events = table(spark, d, "events")
-    # several files, taken one per micro-batch, so that versions of a key meet across batches
-    source = stage(events.repartition(3, "event_id"), "stream-input")
+    # the files are taken in four micro-batches, so that versions of a key meet across batches
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source = stage(events.repartition(files, "event_id"), "stream-input")
     stream = (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", max(1, files // 4))
         .parquet(source.inputFiles()[0].rsplit("/", 1)[0])
         .select("user_id", "event_type", "event_id", "value", F.col("ts").cast("timestamp"))
     )

@@ -39,11 +39,13 @@ def ttl_seconds(value: Column, unit: Column) -> Column:
 
     No unit gives -1; blank, negative and non-numeric values give null (ignored).
     """
-    number = parse_text(value, T.IntegerType()).cast("bigint")
+    # digits only: blanks around a number make it unreadable, as a sign in front ignores it
+    digits = F.when(F.rlike(value, F.lit("^[+]?[0-9]+$")), value)
+    number = parse_text(digits, T.IntegerType()).cast("bigint")
     seconds = F.when(unit == "None", F.lit(-1).cast("bigint"))
     for name, size in TTL_UNITS.items():
         seconds = seconds.when(unit == name, number * F.lit(size))
-    return F.when(number.isNotNull() & ~F.startswith(value, F.lit("-")), seconds)
+    return F.when(number.isNotNull(), seconds)
 
 
 def expiry(write_time: Column, seconds: Column) -> Column:

@@ -17,6 +17,7 @@ from rowloom.operators.upsert import latest_cells
 from rowloom.operators.validate import (
     EXPORT_ERROR,
     accepted,
+    empty_row_problem,
     flag,
     null_key_problem,
     rejected,
@@ -153,14 +154,21 @@ def insert_script(
     ttl: int | Column | None = None,
     timestamp: int | Column | None = None,
     nulls: str = "ignore",
+    key: KeySpec | str | Sequence | None = None,
 ) -> DataFrame:
     """One script per batch: ``batch_id`` and the framed ``script`` text.
 
-    A group holds at most ``batch_size`` statements. Write it out with
+    With a ``key``, rows with a null in it and rows holding nothing but a
+    single-column key are left out, as they cannot be inserted. A group holds at most ``batch_size`` statements. Write it out with
     ``.select("script").write.text(path)``.
     """
     if nulls not in ("ignore", "overwrite"):
         raise ValueError(f"nulls must be 'ignore' or 'overwrite', not {nulls!r}")
+    if key is not None:
+        spec = key_spec(key)
+        spec.require_in(rows)
+        checks = [check(rows, spec, rows.columns) for check in (null_key_problem, empty_row_problem)]
+        rows = accepted(flag(rows, checks))
     numbered = batch_rows(rows, order_by, batch_size)
     statement = insert_statement(numbered, table, ttl, timestamp, nulls, rows.columns)
     entry = F.struct("batch_pos", statement.alias("statement"))

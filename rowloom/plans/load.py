@@ -183,9 +183,11 @@ def load_table(
 
     ``nulls`` is ``overwrite`` or ``ignore``. ``written_at`` is the write time
     in µs (default: the time of the load) and ``seq`` orders equal write times
-    (default: a hash of the row, so the result is repeatable); both are
-    evaluated on the input rows. With ``truncate`` earlier loads are dropped
-    once the new one is in, so a failing load loses nothing.
+    (default: a hash of the row, so the result is repeatable); both, and a
+    ``ttl`` column, are evaluated on the input rows. Input columns named like
+    the log's own (``_writetime`` …) serve such expressions only. With
+    ``truncate`` earlier loads are dropped once the new one is in, so a failing
+    load loses nothing. A ``load_id`` used before is replaced.
     """
     if nulls not in NULL_RULES:
         raise ValueError(f"nulls must be one of {NULL_RULES}, not {nulls!r}")
@@ -193,6 +195,8 @@ def load_table(
     if not _LOAD_ID.fullmatch(load_id):
         raise ValueError(f"a load id is made of letters, digits, '_', '.' and '-': {load_id!r}")
     spark = rows.sparkSession
+    stamped = _stamped(rows, written_at, seq, ttl)
+    rows = rows.drop(*_HIDDEN)
     spec = key_spec(key)
     spec.require_in(rows)
     if not spark.catalog.tableExists(table):
@@ -212,9 +216,7 @@ def load_table(
     if not whole_rows and info.merge != "cells":
         _set_merge(spark, table, "cells")
 
-    flagged = flag_rejects(
-        _stamped(rows, written_at, seq, ttl), spec, target, columns=rows.columns
-    )
+    flagged = flag_rejects(stamped, spec, target, columns=rows.columns)
     seen = Observation()
     good = accepted(
         flagged.observe(seen, *report_counters(F.col(ERR_CODE).isNotNull()))
@@ -238,10 +240,11 @@ def _stamped(
     rows: DataFrame, written_at: Column | None, seq: Column | None, ttl: int | Column | None
 ) -> DataFrame:
     at = F.unix_micros(F.current_timestamp()) if written_at is None else written_at
-    order = F.xxhash64(*[col(c) for c in rows.columns]) if seq is None else seq
+    names = [c for c in rows.columns if c not in _HIDDEN]
+    order = F.xxhash64(*[col(c) for c in names]) if seq is None else seq
     seconds = ttl if isinstance(ttl, Column) else F.lit(ttl)
     stamped = rows.select(
-        "*",
+        *[col(c) for c in names],
         at.cast("bigint").alias(WRITE_TIME),
         order.cast("bigint").alias(SEQ),
         seconds.cast("bigint").alias(EXPIRES_AT),

@@ -42,6 +42,8 @@ def stream_upsert(
     a watermark needless. The default trigger handles what is there and stops.
     """
     spec = key_spec(key)
+    if load_options.get("truncate"):
+        raise ValueError("each batch would drop the ones before it; truncate before the stream")
 
     def load(rows: DataFrame, batch: int) -> None:
         load_table(table, rows, spec, nulls=nulls, load_id=f"{name}-{batch}", **load_options)

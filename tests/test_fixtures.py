@@ -28,6 +28,7 @@ from rowloom.operators.project import (
     project_lenient,
     select_distinct,
 )
+from rowloom.operators.validate import accepted, flag_rejects, rejected
 from rowloom.plans.export import bulk_export, insert_script, sorted_by_key
 from rowloom.sources.tables import param_query, read_table, select_query
 
@@ -197,6 +198,9 @@ def test_h_key_spec():
         ("-5", "Seconds", None),
         (None, "Seconds", None),
         ("120", "Seconds", 120),
+        ("+7", "Seconds", 7),
+        (" 7", "Seconds", None),
+        ("99999999999", "Seconds", None),
         ("2147483647", "Days", 2147483647 * 86400),
     ],
 )
@@ -244,6 +248,27 @@ def test_bulk_export_of_unique_rows_shuffles_once(spark):
     assert once.where("v IS NOT NULL").count() == 0 and once.count() == 100
 
 
+def test_insert_script_leaves_out_bad_keys(spark):
+    t = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id int, v string")
+    got = rows(insert_script(t, "t", ["id"], key="id"))
+    assert got == [(0, "BEGIN UNLOGGED BATCH INSERT INTO t (id,v) VALUES (1,'a');APPLY BATCH;")]
+
+
+def test_error_rows_by_type(spark):
+    t = spark.sql(
+        "SELECT 1 AS k, 5000000000L AS i, 'x' AS n, 1e300D AS f, TIMESTAMP '2024-02-03 04:05:06' AS d"
+        " UNION ALL SELECT 2, 7L, '8', 1.5D, NULL"
+    )
+    target = T.StructType.fromDDL("k bigint, i int, n bigint, f decimal(10,2), d date")
+    flagged = flag_rejects(t, "k", target)
+    bad = rejected(flagged).select("k", "_err_fields", "_err_count", "_err_code")
+    assert rows(bad) == [(1, "i,n,f", 1, "ERR_INSERT01")]
+    assert rows(align_to_target(accepted(flagged), target)) == [(2, 7, 8, Decimal("1.50"), None)]
+    assert accepted(flagged).columns == t.columns
+    with pytest.raises(ValueError):
+        flag_rejects(t, "nope", target)
+
+
 def test_l_m_project(spark):
     assert fold_name('"AQuotedMixedCaseItentifier"') == "AQuotedMixedCaseItentifier"
     assert fold_name("MixedCaseNoQuotes") == "mixedcasenoquotes"

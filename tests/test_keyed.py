@@ -228,6 +228,17 @@ def test_ttl_by_load_and_by_row(spark, table_name):
     assert read_live(spark, table_name).count() == 2
 
 
+def test_input_may_carry_its_own_stamps(spark, table_name):
+    data = frame(spark, [(1, "new", 9, 3), (1, "old", 8, 3), (2, "x", 1, 0)],
+                 "k bigint, a string, _writetime bigint, keep bigint")
+    load_table(table_name, data, "k", nulls="overwrite", create=True,
+               written_at=F.col("_writetime"), ttl=F.col("keep"))
+    assert value_schema(spark, table_name).names == ["k", "a", "keep"]
+    got = read_live(spark, table_name, stamps=True).select("k", "a", "_writetime", "_expires_at")
+    assert [r[:3] for r in rows(got)] == [(1, "new", 9), (2, "x", 1)]
+    assert got.where("_expires_at IS NULL").select("k").collect()[0][0] == 2
+
+
 def test_truncate_and_replay(spark, table_name):
     load_table(table_name, frame(spark, [(1, "x", 1), (2, "y", 2)]), "k",
                nulls="overwrite", create=True)

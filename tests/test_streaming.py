@@ -43,6 +43,11 @@ def test_stream_upsert_late_rows_and_restart(spark, tmp_path, table_name):
     assert sorted(tuple(r) for r in read_live(spark, table_name).collect()) == want
 
 
+def test_stream_upsert_does_not_truncate(spark):
+    with pytest.raises(ValueError):
+        stream_upsert(None, "t", "k", "c", "n", nulls="overwrite", truncate=True)
+
+
 def test_stream_lookup_needs_a_stream(spark):
     orders = table(spark, SF, "orders")
     with pytest.raises(ValueError):
