@@ -232,7 +232,7 @@ def load_table_(spark: SparkSession, d: str) -> DataFrame:
 def create_load(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "create_load")
     part = table(spark, d, "part")
-    load_table(name, part, "p_partkey", nulls="overwrite", create=True)
+    load_table(name, part, "p_partkey", nulls="overwrite", create=True, unique=True)
     return read_live(spark, name)
 
 

@@ -50,7 +50,10 @@ def in_ranges(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
 
 
 def batch_rows(
-    df: DataFrame, order_by: Sequence[str | Column], batch_size: int = BATCH_SIZE
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    batch_size: int = BATCH_SIZE,
+    staging: str | None = None,
 ) -> DataFrame:
     """Number rows ``0, 1, …`` in order and put each ``batch_size`` of them in a batch.
 
@@ -61,7 +64,8 @@ def batch_rows(
     row gets its place within its partition, and this is staged. The offsets
     are then a running sum over one row per partition, small enough to
     broadcast whatever the table holds. The staged copy keeps partition bounds
-    fixed when tasks rerun.
+    fixed when tasks rerun; it goes to ``staging`` (a new path, by default in
+    scratch) and is the caller's to delete after use.
     """
     if batch_size < 1:
         raise ValueError("a batch holds at least one row")
@@ -74,6 +78,7 @@ def batch_rows(
             place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
         ),
         "batches",
+        staging,
     )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = staged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(

@@ -155,6 +155,7 @@ def insert_script(
     timestamp: int | Column | None = None,
     nulls: str = "ignore",
     key: KeySpec | str | Sequence | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """One script per batch: ``batch_id`` and the framed ``script`` text.
 
@@ -169,7 +170,7 @@ def insert_script(
         spec.require_in(rows)
         checks = [check(rows, spec, rows.columns) for check in (null_key_problem, empty_row_problem)]
         rows = accepted(flag(rows, checks))
-    numbered = batch_rows(rows, order_by, batch_size)
+    numbered = batch_rows(rows, order_by, batch_size, staging)
     statement = insert_statement(numbered, table, ttl, timestamp, nulls, rows.columns)
     entry = F.struct("batch_pos", statement.alias("statement"))
     grouped = numbered.groupBy("batch_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))

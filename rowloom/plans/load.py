@@ -53,7 +53,8 @@ LOG_FIELDS = [
 _HIDDEN = {WRITE_TIME, SEQ, EXPIRES_AT, WRITTEN, LOAD}
 # how reading reconciles: "rows" while every load wrote whole rows, else "cells"
 _KEY_PROPERTY, _MERGE_PROPERTY = "rowloom.key", "rowloom.merge"
-_BUCKETS_PROPERTY = "rowloom.buckets"
+# "true" while every load was reduced to one row per key (or write) before it was stored
+_BUCKETS_PROPERTY, _REDUCED_PROPERTY = "rowloom.buckets", "rowloom.reduced"
 _LOAD_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -81,6 +82,7 @@ class TableInfo:
     key: KeySpec
     buckets: int
     merge: str
+    reduced: bool
 
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
@@ -91,7 +93,12 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
         raise LookupError(f"{table} is not a keyed table")
     partition, clustering = json.loads(stored[_KEY_PROPERTY])
     key = KeySpec(tuple(partition), tuple(clustering))
-    return TableInfo(key, int(stored[_BUCKETS_PROPERTY]), stored[_MERGE_PROPERTY])
+    return TableInfo(
+        key,
+        int(stored[_BUCKETS_PROPERTY]),
+        stored[_MERGE_PROPERTY],
+        stored[_REDUCED_PROPERTY] == "true",
+    )
 
 
 def value_schema(spark: SparkSession, table: str) -> T.StructType:
@@ -122,6 +129,7 @@ def create_table(
         _KEY_PROPERTY: json.dumps([spec.partition, spec.clustering]),
         _MERGE_PROPERTY: "rows",
         _BUCKETS_PROPERTY: str(count),
+        _REDUCED_PROPERTY: "true",
     }
     props = ", ".join(f"'{k}' = '{_text(v)}'" for k, v in stored.items())
     spark.sql(
@@ -135,8 +143,8 @@ def _text(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _set_merge(spark: SparkSession, table: str, rule: str) -> None:
-    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{_MERGE_PROPERTY}' = '{rule}')")
+def _set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{name}' = '{value}')")
 
 
 def loads(spark: SparkSession, table: str) -> list[str]:
@@ -157,7 +165,7 @@ def evolve_table(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
     if new:
         if loads(spark, table):
             # rows stored so far did not write the new cells
-            _set_merge(spark, table, "cells")
+            _set_property(spark, table, _MERGE_PROPERTY, "cells")
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({columns})")
     return [f.name for f in new]
@@ -176,6 +184,7 @@ def load_table(
     seq: Column | None = None,
     ttl: int | Column | None = None,
     load_id: str | None = None,
+    unique: bool = False,
     buckets: int | None = None,
     properties: dict[str, str] | None = None,
 ) -> LoadResult:
@@ -187,7 +196,9 @@ def load_table(
     ``ttl`` column, are evaluated on the input rows. Input columns named like
     the log's own (``_writetime`` …) serve such expressions only. With
     ``truncate`` earlier loads are dropped once the new one is in, so a failing
-    load loses nothing. A ``load_id`` used before is replaced.
+    load loses nothing. A ``load_id`` used before is replaced. ``unique`` says
+    that keys do not repeat in the input, which saves reducing it first; rows
+    are only brought to their buckets (results stay right if a key does repeat).
     """
     if nulls not in NULL_RULES:
         raise ValueError(f"nulls must be one of {NULL_RULES}, not {nulls!r}")
@@ -214,7 +225,7 @@ def load_table(
     written = [f.name for f in target if f.name.lower() in present]
     whole_rows = nulls == "overwrite" and len(written) == len(target)
     if not whole_rows and info.merge != "cells":
-        _set_merge(spark, table, "cells")
+        _set_property(spark, table, _MERGE_PROPERTY, "cells")
 
     flagged = flag_rejects(stamped, spec, target, columns=rows.columns)
     seen = Observation()
@@ -222,16 +233,27 @@ def load_table(
         flagged.observe(seen, *report_counters(F.col(ERR_CODE).isNotNull()))
     )
     log = align_to_target(good, T.StructType([*target, *LOG_FIELDS[:3]]))
-    if nulls == "overwrite":
-        every = F.array(*[F.lit(c) for c in written])
+    every = F.array(*[F.lit(c) for c in written])
+    if unique:
+        if info.reduced:
+            _set_property(spark, table, _REDUCED_PROPERTY, "false")
+        marks = every if nulls == "overwrite" else F.lit(None).cast("array<string>")
+        log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
+        log = log.withColumn(WRITTEN, marks)
+    elif nulls == "overwrite":
         log = latest_rows(log, spec, ties=[SEQ]).withColumn(WRITTEN, every)
     else:
         log = winning_writes(log, spec, STAMP)
-    _publish(spark, table, info, log, load_id)
+    if not unique and info.buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
+        # one file per bucket: let each task write whole buckets
+        log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
+    _publish(spark, table, log, load_id)
     if truncate:
         _drop_loads(spark, table, [i for i in loads(spark, table) if i != load_id])
         if whole_rows:
-            _set_merge(spark, table, "rows")
+            _set_property(spark, table, _MERGE_PROPERTY, "rows")
+        if not unique:
+            _set_property(spark, table, _REDUCED_PROPERTY, "true")
     rejects = rejected(flagged).drop(*STAMP)
     return LoadResult(load_id, dict(seen.get), rejects, load_report(flagged))
 
@@ -253,16 +275,8 @@ def _stamped(
 
 
 def _publish(
-    spark: SparkSession,
-    table: str,
-    info: TableInfo,
-    log: DataFrame,
-    load_id: str,
-    verb: str = "OVERWRITE TABLE",
+    spark: SparkSession, table: str, log: DataFrame, load_id: str, verb: str = "OVERWRITE TABLE"
 ) -> None:
-    if info.buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
-        # one file per bucket: let each task write whole buckets
-        log = log.repartition(info.buckets, *[col(c) for c in info.key.columns])
     spark.sql(
         f"INSERT {verb} {_name(table)} PARTITION ({LOAD} = '{load_id}') "
         "BY NAME SELECT * FROM {log}",
@@ -276,13 +290,19 @@ def read_live(
     """The table's rows: newest writes, without what has expired at ``as_of``.
 
     ``as_of=None`` keeps expired cells. ``stamps`` adds ``_writetime`` and
-    ``_expires_at``. Filters on key columns reach the file scan.
+    ``_expires_at``. Filters on key columns reach the file scan. A table of one
+    load of whole rows (new, truncated or compacted) is read by a plain scan.
     """
     info = table_info(spark, table)
     log = spark.table(table).drop(LOAD)
     names = [c for c in log.columns if c not in _HIDDEN]
+    held = loads(spark, table) if info.merge == "rows" and info.reduced else []
     if info.merge == "rows":
-        rows = latest_rows(log.drop(WRITTEN), info.key, ties=[SEQ])
+        if len(held) == 1:
+            # keys are unique within it; the filter keeps out loads that come in meanwhile
+            rows = spark.table(table).where(col(LOAD) == held[0])
+        else:
+            rows = latest_rows(log.drop(WRITTEN), info.key, ties=[SEQ])
         if as_of is not None:
             rows = live_rows(rows, as_of)
     else:
@@ -305,6 +325,8 @@ def compact_table(spark: SparkSession, table: str) -> str:
         kept = winning_writes(log, info.key, STAMP)
     load_id = f"compact-{uuid.uuid4().hex}"
     # the table is also read from, so it cannot be overwritten; the load id is new anyway
-    _publish(spark, table, info, kept, load_id, "INTO")
+    _publish(spark, table, kept, load_id, "INTO")
     _drop_loads(spark, table, old)
+    if loads(spark, table) == [load_id]:
+        _set_property(spark, table, _REDUCED_PROPERTY, "true")
     return load_id

@@ -52,14 +52,14 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to scratch and return it read back.
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to ``path`` (default: scratch) and return it read back.
 
     The returned frame has no lineage to recompute, so values that depend on
     how tasks were laid out stay the same when executors are lost.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, label)
+    path = path or scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -287,6 +287,36 @@ def test_load_into_other_bucket_count_writes_one_file_per_bucket(spark, table_na
     assert read_live(spark, table_name).count() == 200
 
 
+@pytest.mark.parametrize("nulls", ["overwrite", "ignore"])
+def test_unique_loads_skip_the_reduction_but_stay_right(spark, table_name, nulls):
+    data = [(1, "x", 1), (1, "y", 2), (2, "z", 3)]
+    load_table(table_name, frame(spark, data), "k", nulls=nulls, create=True, unique=True,
+               written_at=F.col("n"))
+    assert not table_info(spark, table_name).reduced
+    assert rows(read_live(spark, table_name)) == [(1, "y", 2), (2, "z", 3)]
+    compact_table(spark, table_name)
+    assert table_info(spark, table_name).reduced
+    assert rows(read_live(spark, table_name)) == [(1, "y", 2), (2, "z", 3)]
+
+
+def test_one_whole_load_is_read_by_a_plain_scan(spark, table_name):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    load_table(table_name, frame(spark, [(1, "x", 1), (1, "y", 2)]), "k", nulls="overwrite",
+               create=True, written_at=F.col("n"), ttl=5)
+    single = read_live(spark, table_name)
+    assert "Window" not in plan(single) and "Sort" not in plan(single)
+    load_table(table_name, frame(spark, [(1, "z", 3)]), "k", nulls="overwrite", written_at=F.col("n"))
+    assert "Window" in plan(read_live(spark, table_name))
+    assert rows(single) == [(1, "y", 2)] and rows(read_live(spark, table_name)) == [(1, "z", 3)]
+    compact_table(spark, table_name)
+    assert "Window" not in plan(read_live(spark, table_name))
+    assert rows(read_live(spark, table_name)) == [(1, "z", 3)]
+    load_table(table_name, frame(spark, [(9, None, 1)]), "k", nulls="ignore", truncate=True, unique=True)
+    load_table(table_name, frame(spark, [(8, "t", 1)]), "k", nulls="overwrite", truncate=True)
+    assert "Window" not in plan(read_live(spark, table_name))
+    assert rows(read_live(spark, table_name)) == [(8, "t", 1)]
+
+
 def test_compact_rows(spark, table_name):
     for at in range(3):
         load_table(table_name, frame(spark, [(1, f"v{at}", at), (at + 10, "o", 0)]), "k",
