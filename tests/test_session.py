@@ -47,10 +47,10 @@ def test_cluster_without_shared_folder_is_refused():
     assert scratch_dir(local, "y").startswith(root)
 
 
-def test_stage_keeps_schema_and_fixes_values(spark, tmp_path):
+def test_stage_keeps_types_and_fixes_values(spark, tmp_path):
     rows = spark.range(50).select("id", F.rand().alias("r"))
     staged = stage(rows, "x", f"{tmp_path}/staged")
-    assert staged.schema == rows.schema
+    assert staged.dtypes == rows.dtypes
     assert sorted(staged.collect()) == sorted(staged.collect())
 
 
