@@ -66,7 +66,8 @@ def lookup_limit(
     candidates = target
     if fits_broadcast(wanted):
         # small driver: the optimizer broadcasts its keys, dropping others before any sorting
-        candidates = target.join(wanted.distinct(), keys, "left_semi")
+        matched = target.join(wanted.distinct(), keys, "left_semi")
+        candidates = matched.select(*[col(c) for c in target.columns])
     spark = driver.sparkSession
     if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
