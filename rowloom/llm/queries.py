@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import token_output
+from rowloom.llm import mixing, token_output
 from rowloom.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,5 +19,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path, digest=True).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op1_token_output": op1_token_output}
-ORACLES: dict[str, str] = {}
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's part in the mix of sources."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {"op1_token_output": op1_token_output, "op2_mixing": op2_mixing}
+ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE}
