@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import mixing, token_output
+from rowloom.llm import mixing, simhash, token_output
 from rowloom.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -25,5 +25,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_token_output": op1_token_output, "op2_mixing": op2_mixing}
-ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate class."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {
+    "op1_token_output": op1_token_output,
+    "op2_mixing": op2_mixing,
+    "op7_simhash": op7_simhash,
+}
+ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
+}
