@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import mixing, simhash, token_output
+from rowloom.llm import decontaminate, mixing, simhash, token_output
 from rowloom.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,11 +30,26 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside windows of benchmark items."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
     "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
 }
