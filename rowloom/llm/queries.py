@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, mixing, simhash, token_output
-from rowloom.llm.common import scratch, table
+from rowloom.llm import decontaminate, mixing, simhash, token_output, toxicity
+from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -43,11 +43,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned without the rows of fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels"), may_learn=fold(F.col("id"), 4) != 2)
+    return toxicity.score(docs.select("doc_id", "text"), weights).select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op4_toxicity": op4_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
