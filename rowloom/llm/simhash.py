@@ -4,10 +4,10 @@ A document's fingerprint is the bitwise majority of the XXH64 hashes (seed 42) o
 shingles. Documents whose fingerprints differ in few bits are linked; classes are the
 connected components.
 
-Method. With ``d`` bits allowed to differ, the 64 bits are cut into ``d // 2 + 1`` segments,
-so that in one of them at most one bit differs. Each fingerprint is indexed under every
-segment with every single bit of it left out (64 variants in all); two such fingerprints
-share a variant, are brought together by its key and compared in full. Only distinct
+Method. With ``d`` bits allowed to differ, the bits are cut into ``d // 2 + 1`` segments, so
+that in one of them at most one bit differs. Each fingerprint is indexed under every segment
+with every single bit of it left out (a variant per bit); two such fingerprints share a
+variant, are brought together by its key and compared in full. Only distinct
 fingerprints are compared, so copies cost nothing. Inside a key, members are joined to the
 smallest member of their component instead of emitting all pairs: at most one link each.
 
@@ -16,6 +16,12 @@ of the bits outside its segment, cut into ``d + 1`` parts, one part must be equa
 on under (variant, part, value). Members there are compared in blocks. Classes are joined by
 alternating star steps over link tables in shared scratch. Nothing is collected.
 
+Wide fingerprints. 64 bits and four of them tell copies with few changes. For a similarity of
+0.8, ``WIDE`` takes 128 bits (XXH3) of five-word shingles and verifies up to 19 differing
+bits, where the angle between shingle sets means a Jaccard similarity of 0.8. Its six
+segments find all pairs up to 11 bits and most beyond: 19 bits exactly would need ten
+segments of 13 bits, too short to be keys.
+
 Edge cases: null and empty texts have fingerprint zero, linked like any other; fewer words
 than a shingle make one shingle of what there is; repeated rows fall into one class; null
 ids never name a class unless it has no other id; an empty table gives an empty result.
@@ -24,6 +30,7 @@ ids never name a class unless it has no other id; an empty table gives an empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,99 +40,129 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import fresh, partitions, quoted, staged, text_bytes
 
-BITS = 4
-SHINGLE = 4
 SEED = 42  # fixed value of the hash
-GROUP_LIMIT = 4096
 CHUNK = 1 << 16  # shingles summed at once
 BLOCK = 512  # rows of a comparison block
 
 
-def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
-    """The fingerprint of a UTF-8 text, as an unsigned number."""
+@dataclass(frozen=True)
+class Plan:
+    """How to fingerprint and compare: words of a shingle, 64-bit words of a fingerprint,
+    bits that may differ, segments, and the largest group compared at once."""
+
+    shingle: int = 4
+    words: int = 1
+    bits: int = 4
+    n_segments: int = 3
+    group_limit: int = 4096
+
+    @property
+    def size(self) -> int:
+        return 64 * self.words
+
+    @property
+    def segments(self) -> list[tuple[int, int]]:
+        """(first bit, bits) of each segment."""
+        cuts = [self.size * i // self.n_segments for i in range(self.n_segments + 1)]
+        return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+    @property
+    def width(self) -> int:
+        return max(w for _, w in self.segments)
+
+
+NARROW = Plan()
+WIDE = Plan(shingle=5, words=2, bits=19, n_segments=6)
+
+
+def fingerprint(raw: bytes, plan: Plan = NARROW) -> bytes:
+    """The fingerprint of a UTF-8 text, highest bit first."""
     words = raw.lower().split()
     if not words:
-        return 0
+        return bytes(8 * plan.words)
     joined = b" ".join(words)
-    n = max(len(words) - shingle + 1, 1)
+    n = max(len(words) - plan.shingle + 1, 1)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(size)
     starts = (ends - size)[:n].tolist()
     stops = (ends[-n:] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
+    digest = xxhash.xxh64_digest if plan.words == 1 else xxhash.xxh3_128_digest
+    counts = np.zeros(plan.size, np.int64)
     for lo in range(0, n, CHUNK):
         spans = zip(starts[lo : lo + CHUNK], stops[lo : lo + CHUNK])
-        hashes = np.array([digest(joined[i:j], SEED) for i, j in spans], ">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+        hashes = np.frombuffer(b"".join([digest(joined[i:j], SEED) for i, j in spans]), np.uint8)
+        counts += np.unpackbits(hashes.reshape(-1, 8 * plan.words), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(counts * 2 > n).tobytes()
 
 
 def signatures(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+    docs: DataFrame, plan: Plan = NARROW, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``id``, ``fp`` (the fingerprint as a signed long) and ``tie`` (a hash of the text)."""
+    """``id``, ``fp`` (the fingerprint's bytes) and ``tie`` (a hash of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t, shingle) for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64)), batch.column(1)], names=["id", "fp", "tie"]
-            )
+            found = pa.array([fingerprint(t, plan) for t in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found, batch.column(1)], names=["id", "fp", "tie"])
 
     text = text_bytes(text_col)
     source = docs.select(quoted(id_col).alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long, tie long")
+    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp binary, tie long")
 
 
-def segments(bits: int) -> list[tuple[int, int]]:
-    """The 64 bits cut so that one segment differs by one bit at most: (low bit, bits)."""
-    n = bits // 2 + 1
-    cuts = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def _matrix(column: pa.Array, plan: Plan) -> np.ndarray:
+    """Fingerprints as a matrix of 64-bit words, a row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, plan.words).astype(np.uint64)
 
 
-def variants(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all one-wildcard variants (64 for each fingerprint) and the fingerprints.
+def _column(fps: np.ndarray) -> pa.Array:
+    raw = np.ascontiguousarray(fps.astype(">u8"))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * fps.shape[1]), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
 
-    The key of wildcard bit ``b`` holds ``b`` above the other bits of its segment.
-    """
-    keys = np.empty((64, len(fps)), np.int64)
-    for low, width in segments(bits):
-        part = (fps >> np.uint64(low)) & np.uint64((1 << width) - 1) if width < 64 else fps
+
+def _bits(fps: np.ndarray) -> np.ndarray:
+    """Bits of fingerprints, highest first, a row each."""
+    return np.unpackbits(np.ascontiguousarray(fps.astype(">u8")).view(np.uint8).reshape(len(fps), -1), axis=1)
+
+
+def _number(bits: np.ndarray) -> np.ndarray:
+    """Each row of bits as a number."""
+    return bits.astype(np.int64) @ (1 << np.arange(bits.shape[1] - 1, -1, -1, dtype=np.int64))
+
+
+def variants(fps: np.ndarray, plan: Plan) -> np.ndarray:
+    """Keys of all one-wildcard variants: a row per bit left out, a column per fingerprint.
+    A key holds the bit's number above the segment with that bit cleared."""
+    bits, keys = _bits(fps), np.empty((plan.size, len(fps)), np.int64)
+    for first, width in plan.segments:
+        value = _number(bits[:, first : first + width])
         for b in range(width):
-            under = part & np.uint64((1 << b) - 1)
-            over = (part >> np.uint64(b + 1)) << np.uint64(b)
-            keys[low + b] = (under | over).view(np.int64) | ((low + b) << 57 if width == 64 else (low + b) << width)
-    return keys.ravel(), np.tile(fps, 64)
+            cleared = value & ~np.int64(1 << (width - 1 - b))
+            keys[first + b] = np.int64((first + b) << plan.width) | cleared
+    return keys
 
 
-def parts_outside(fps: np.ndarray, bit: int, bits: int) -> np.ndarray:
-    """For each fingerprint the values of ``bits + 1`` parts of the bits outside the segment
-    of ``bit``, of which one is equal for two fingerprints that are close enough."""
-    low, width = next(s for s in segments(bits) if s[0] <= bit < s[0] + s[1])
-    outside = [b for b in range(64) if not low <= b < low + width]
-    n = bits + 1
-    out = np.zeros((n, len(fps)), np.int64)
-    for i in range(n):
-        for at, b in enumerate(outside[len(outside) * i // n : len(outside) * (i + 1) // n]):
-            out[i] |= (((fps >> np.uint64(b)) & np.uint64(1)) << np.uint64(at)).astype(np.int64)
-    return out
+def parts_outside(fps: np.ndarray, bit: int, plan: Plan) -> list[np.ndarray]:
+    """Values of ``bits + 1`` parts of the bits outside the segment of ``bit``; one part is
+    equal for two fingerprints that are close enough."""
+    first, width = next(s for s in plan.segments if s[0] <= bit < s[0] + s[1])
+    outside = np.delete(_bits(fps), np.s_[first : first + width], axis=1)
+    return [_number(part) for part in np.array_split(outside, plan.bits + 1, axis=1)]
 
 
-def _close(a, b, bits: int) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= bits
+def _close(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) <= plan.bits
 
 
-def group_links(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def group_links(fps: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     """Links joining each member of one group to the least member of its component."""
-    label = np.arange(len(fps))
+    label, step = np.arange(len(fps)), 1 << 13
     while True:
         least = label.copy()
         for lo in range(0, len(fps), BLOCK):
-            for at in range(0, len(fps), 1 << 15):
-                near = _close(fps[lo : lo + BLOCK, None], fps[None, at : at + (1 << 15)], bits)
-                found = np.where(near, label[None, at : at + (1 << 15)], len(fps)).min(1)
+            for at in range(0, len(fps), step):
+                near = _close(fps[lo : lo + BLOCK, None], fps[None, at : at + step], plan)
+                found = np.where(near, label[None, at : at + step], len(fps)).min(1)
                 np.minimum(least[lo : lo + BLOCK], found, out=least[lo : lo + BLOCK])
         np.minimum.at(least, label, least.copy())
         least = least[least]
@@ -142,29 +179,28 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sorted_links(
-    batches: Iterator[tuple[np.ndarray, np.ndarray]], bits: int, limit: int | None
+    batches: Iterator[tuple[np.ndarray, np.ndarray]], plan: Plan, limit: int | None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Links (u, v, -1) within equal keys of batches sorted by key; members of a group of more
     than ``limit`` come out uncompared, as (fp, fp, key)."""
-    held_k, held_f = np.empty(0, np.int64), np.empty(0, np.uint64)
+    held_k, held_f = np.empty(0, np.int64), np.empty((0, plan.words), np.uint64)
     passing: int | None = None  # the key of a large group whose members go through
+    few = 32 if limit is None else min(32, limit)
 
     def finish(keys, fps):
         cuts, sizes = _runs(keys)
-        small = np.repeat((sizes > 1) & (sizes <= 32), sizes)
-        k, f = keys[small], fps[small]
-        for step in range(1, int(sizes[(sizes > 1) & (sizes <= 32)].max(initial=1))):
-            same = k[step:] == k[:-step]
-            hit = same & _close(f[step:], f[:-step], bits)
-            if not same.any():
-                break
-            yield f[step:][hit], f[:-step][hit], np.full(hit.sum(), -1)
-        for cut, size in zip(cuts[sizes > 32], sizes[sizes > 32]):
+        some = np.repeat((sizes > 1) & (sizes <= few), sizes)
+        k, f = keys[some], fps[some]
+        for step in range(1, int(sizes[(sizes > 1) & (sizes <= few)].max(initial=1))):
+            hit = np.flatnonzero(k[step:] == k[:-step])
+            hit = hit[_close(f[hit + step], f[hit], plan)]
+            yield f[hit + step], f[hit], np.full(len(hit), -1)
+        for cut, size in zip(cuts[sizes > few], sizes[sizes > few]):
+            own = fps[cut : cut + size]
             if limit is not None and size > limit:
-                own = fps[cut : cut + size]
                 yield own, own, keys[cut : cut + size]
             else:
-                u, v = group_links(fps[cut : cut + size], bits)
+                u, v = group_links(own, plan)
                 yield u, v, np.full(len(u), -1)
 
     for keys, fps in batches:
@@ -179,7 +215,8 @@ def sorted_links(
         if not len(keys):
             continue
         last = np.searchsorted(keys, keys[-1])
-        yield from finish(keys[:last], fps[:last])
+        if last:
+            yield from finish(keys[:last], fps[:last])
         held_k, held_f = keys[last:], fps[last:]
         if limit is not None and len(held_k) > limit:
             yield held_f, held_f, held_k
@@ -188,65 +225,57 @@ def sorted_links(
         yield from finish(held_k, held_f)
 
 
-def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for batch in batches:
-        yield batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-
-
 def _out(found) -> Iterator[pa.RecordBatch]:
     for u, v, key in found:
         if len(u):
-            columns = [pa.array(u.view(np.int64)), pa.array(v.view(np.int64)), pa.array(key, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "key"])
+            yield pa.RecordBatch.from_arrays([_column(u), _column(v), pa.array(key, pa.int64())], names=["u", "v", "key"])
 
 
-def links(fps: DataFrame, *, bits: int = BITS, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Links (``u``, ``v``) that connect all of ``fps`` (distinct ``fp``) differing in at most
-    ``bits`` bits; each component of them is one class."""
+def links(fps: DataFrame, plan: Plan = NARROW) -> DataFrame:
+    """Links (``u``, ``v``) that connect all of ``fps`` (distinct ``fp``) brought together by a
+    variant and differing in at most ``bits`` bits; each component of them is one class."""
     n = partitions(fps.sparkSession)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_fps = batch.column(0).to_numpy().view(np.uint64)
-            for lo in range(0, len(all_fps), 4096):
-                keys, own = variants(all_fps[lo : lo + 4096], bits)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own.view(np.int64))], names=["key", "fp"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _out(sorted_links(_sorted(batches), bits, group_limit))
+            for lo in range(0, batch.num_rows, 1024):
+                column = batch.column(0).slice(lo, 1024)
+                keys = variants(_matrix(column, plan), plan)
+                own = column.take(pa.array(np.tile(np.arange(len(column)), plan.size)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), own], names=["key", "fp"])
 
-    def compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _out(sorted_links(_sorted(batches), bits, None))
+    def compare(limit: int | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sorted_ = ((b.column(0).to_numpy(), _matrix(b.column(1), plan)) for b in batches)
+            return _out(sorted_links(sorted_, plan, limit))
 
-    width = max(w for _, w in segments(bits))
+        return run
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_keys, all_fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            all_keys, all_fps = batch.column(0).to_numpy(), _matrix(batch.column(1), plan)
             for key in np.unique(all_keys):
                 own = all_fps[all_keys == key]
-                bit = next(b for low, w in segments(bits) for b in range(low, low + w) if int(key) >> w == b)
-                for i, values in enumerate(parts_outside(own, bit, bits)):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(own), key), pa.int64()),
-                            pa.array(np.full(len(own), i), pa.int32()),
-                            pa.array(values),
-                            pa.array(own.view(np.int64)),
-                        ],
-                        names=["key", "part", "value", "fp"],
-                    )
+                for i, values in enumerate(parts_outside(own, int(key) >> plan.width, plan)):
+                    columns = [
+                        pa.array(np.full(len(own), key), pa.int64()),
+                        pa.array(np.full(len(own), i), pa.int32()),
+                        pa.array(values),
+                        _column(own),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "part", "value", "fp"])
 
     def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition(n, "key").sortWithinPartitions("key", "fp")
+        return df.repartition(n, "key").sortWithinPartitions("key")
 
-    schema = "u long, v long, key long"
-    first = staged(dealt(fps.select("fp").mapInArrow(index, "key long, fp long")).mapInArrow(compare, schema), "links")
+    schema = "u binary, v binary, key long"
+    indexed = dealt(fps.select("fp").mapInArrow(index, "key long, fp binary"))
+    first = staged(indexed.mapInArrow(compare(plan.group_limit), schema), "links")
     found, large = first.filter("key = -1"), first.filter("key <> -1")
-    if width < 64 and not large.isEmpty():
-        again = large.select("key", F.col("u").alias("fp")).mapInArrow(split, "key long, part int, value long, fp long")
+    if not large.isEmpty():
+        again = large.select("key", F.col("u").alias("fp")).mapInArrow(split, "key long, part int, value long, fp binary")
         keyed = again.select(F.xxhash64("key", "part", "value").alias("key"), "fp").distinct()
-        found = found.union(dealt(keyed).mapInArrow(compare_all, schema))
+        found = found.union(dealt(keyed).mapInArrow(compare(None), schema))
     return found.select("u", "v").distinct()
 
 
@@ -275,61 +304,43 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def _classes(found: DataFrame, bits: int, group_limit: int) -> DataFrame:
+def _classes(found: DataFrame, plan: Plan) -> DataFrame:
     """``fp``, ``root`` for each distinct fingerprint of ``found``."""
     fps = staged(found.select("fp").distinct(), "fingerprints")
-    roots = components(links(fps, bits=bits, group_limit=group_limit))
+    roots = components(links(fps, plan))
     return fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(
-    docs: DataFrame,
-    *,
-    bits: int = BITS,
-    shingle: int = SHINGLE,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    group_limit: int = GROUP_LIMIT,
+    docs: DataFrame, plan: Plan = NARROW, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: ``id``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (least id)."""
-    found = staged(signatures(docs, id_col=id_col, text_col=text_col, shingle=shingle).select("id", "fp"), "signatures")
-    classes = _classes(found, bits, group_limit)
-    least = found.groupBy("fp").agg(F.min("id").alias("least")).join(classes, "fp")
+    """Per row: ``id``, ``fingerprint`` (hexadecimal), ``component_id`` (least id)."""
+    found = staged(signatures(docs, plan, id_col=id_col, text_col=text_col).select("id", "fp"), "signatures")
+    least = found.groupBy("fp").agg(F.min("id").alias("least")).join(_classes(found, plan), "fp")
     named = staged(
         least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id"),
         "classes",
     )
-    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return found.join(named, "fp").select("id", hexed.alias("fingerprint"), "component_id")
+    return found.join(named, "fp").select("id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(
-    docs: DataFrame,
-    *,
-    bits: int = BITS,
-    shingle: int = SHINGLE,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    group_limit: int = GROUP_LIMIT,
+    docs: DataFrame, plan: Plan = WIDE, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the least (id, text hash), once."""
-    found = staged(signatures(docs, id_col=id_col, text_col=text_col, shingle=shingle), "signatures")
-    classes = _classes(found, bits, group_limit)
+    found = staged(signatures(docs, plan, id_col=id_col, text_col=text_col), "signatures")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "tie")
-    own = found.groupBy("fp").agg(F.min(rank).alias("first")).join(classes, "fp")
-    first = own.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.tie")
-    times = found.groupBy("id", "tie").agg(F.count("*").alias("n"))
-    kept = staged(
-        first.join(times, first["id"].eqNullSafe(times["id"]) & (first["tie"] == times["tie"])).select(
-            first["id"], first["tie"], "n"
-        ),
-        "kept",
+    own = found.groupBy("fp").agg(F.min(rank).alias("first")).join(_classes(found, plan), "fp")
+    first = own.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie")
     )
-    id_, tie, n = fresh(docs, "kept_id"), fresh(docs, "kept_tie"), fresh(docs, "kept_n")
-    marked = docs.withColumn(fresh(docs, "own_tie"), F.xxhash64(text_bytes(text_col)))
-    own_tie = fresh(docs, "own_tie")
+    times = found.groupBy("id", "tie").agg(F.count("*").alias("n"))
+    same = F.col("first_id").eqNullSafe(F.col("id")) & (F.col("first_tie") == F.col("tie"))
+    kept = staged(first.join(times, same).select("id", "tie", "n"), "kept")
+    own_tie, id_, tie, n = (fresh(docs, c) for c in ("own_tie", "kept_id", "kept_tie", "kept_n"))
     names = kept.select(F.col("id").alias(id_), F.col("tie").alias(tie), F.col("n").alias(n))
-    joined = marked.join(names, (marked[own_tie] == names[tie]) & quoted(id_col).eqNullSafe(F.col(id_)))
+    marked = docs.withColumn(own_tie, F.xxhash64(text_bytes(text_col)))
+    joined = marked.join(names, (F.col(own_tie) == F.col(tie)) & quoted(id_col).eqNullSafe(F.col(id_)))
     columns = [quoted(c) for c in docs.columns]
     if kept.filter("n > 1").isEmpty():
         return joined.select(*columns)
