@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, mixing, simhash, token_output, toxicity
+from rowloom.llm import decontaminate, mixing, quality, simhash, token_output, toxicity
 from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -55,12 +55,28 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts and verdict."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    found = quality.assess(docs.select("doc_id", "text"), model, into="q").select("doc_id", "q.*")
+    failed = quality.base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    return found.select(
+        "doc_id",
+        *quality.COUNTS,
+        failed.alias("base_failed"),
+        (~failed & (F.col("score") >= quality.KEEP_FROM)).alias("kept"),
+        "score",
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
