@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, mixing, quality, simhash, token_output, toxicity
+from rowloom.llm import decontaminate, mixing, quality, simhash, style_tree, token_output, toxicity
 from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    found = style_tree.main_text(table(spark, sf_dir, "pages"), into="main_text")
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -77,6 +85,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op10_style_tree": op10_style_tree,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
