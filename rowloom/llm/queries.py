@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, mixing, quality, simhash, style_tree, token_output, toxicity
+from rowloom.llm import decontaminate, langid, mixing, quality, simhash, style_tree, token_output, toxicity
 from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -78,6 +78,19 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document (a row with ``doc_id``) and of every page (``page_id``)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.train(docs)
+    none = F.lit(None)
+    texts = langid.text_evidence(docs.select("doc_id", "text", "source"), model, F.concat(F.lit("source:"), "source"))
+    sites = langid.page_evidence(pages.select("page_id", "url", "html"), model)
+    evidence = texts.select(
+        "doc_id", none.cast("long").alias("page_id"), none.cast("string").alias("url"), "host", "suffix", "declared", "likelihoods"
+    ).unionByName(sites.withColumn("doc_id", none.cast("long")))
+    return langid.fuse(evidence, model.languages)
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -86,6 +99,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op10_style_tree": op10_style_tree,
+    "op9_language_id": op9_language_id,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
