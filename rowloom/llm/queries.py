@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, langid, mixing, quality, simhash, style_tree, token_output, toxicity
+from rowloom.llm import decontaminate, katz, langid, mixing, quality, simhash, style_tree, token_output, toxicity
 from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -91,6 +91,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.fuse(evidence, model.languages)
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under a model learned without fold 1 of 5."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = katz.score(docs, fold(F.col("doc_id"), 5) == 1)
+    return found.select(
+        F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -100,6 +109,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op10_style_tree": op10_style_tree,
     "op9_language_id": op9_language_id,
+    "op6_katz": op6_katz,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
