@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, katz, langid, mixing, quality, simhash, style_tree, token_output, toxicity
+from rowloom.llm import decontaminate, katz, langid, mixing, quality, simhash, style_tree, substring_dedup, token_output, toxicity
 from rowloom.llm.common import fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -100,6 +100,18 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -110,6 +122,7 @@ QUERIES = {
     "op10_style_tree": op10_style_tree,
     "op9_language_id": op9_language_id,
     "op6_katz": op6_katz,
+    "op3_substring_dedup": op3_substring_dedup,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
