@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,18 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def bounded(fn):
+    """A query or stage whose session sends Python workers a few megabytes at a time, not
+    thousands of rows: documents differ too much in length for a count of rows."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, *args):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+        return fn(spark, *args)
+
+    return run
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to shared scratch and read back: no lineage, stable values."""
     path = scratch(df.sparkSession, label)
@@ -60,6 +73,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str) -> list[Column]:
+    """The columns of ``df`` but those of these names, in any case."""
+    out = {n.lower() for n in names}
+    return [quoted(c) for c in df.columns if c.lower() not in out]
+
+
 def fold(id_col: Column, parts: int) -> Column:
     """crc32 of the id's text, modulo ``parts``; the fold of a null id is null."""
     return F.crc32(id_col.cast("string").cast("binary")) % parts

@@ -18,8 +18,8 @@ the adaptive plan. A record's own vote is taken out of its prior.
 
 Edge cases: a text without letters leaves the other evidence; a null or foreign declaration is
 no evidence; a null address has the empty host and suffix; empty tables give empty results;
-without labelled texts there is no language to tell and an error says so; repeated rows are
-told apart only by their key, and get equal answers.
+without labelled texts there is no language to tell and an error says so; repeated rows get
+equal answers; input columns named like an added one give way to it.
 """
 
 from __future__ import annotations
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import quoted, staged, text_bytes
+from rowloom.llm.common import fresh, quoted, staged, text_bytes, without
 from rowloom.llm.style_tree import Page, host_of
 
 ROWS = 400
 HASH_BITS = 16
 EVIDENCE = 50.0
 STRENGTH = 5.0
+EVIDENCE_COLUMNS = ("host", "suffix", "declared", "likelihoods")
+ADDED = ("vote", "posterior", "language", "confidence", "text_language", "of_host", "of_suffix", "host_votes", "end_votes")
 MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd factor
 LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
@@ -141,20 +143,21 @@ def page_evidence(pages: DataFrame, model: Model, *, url_col: str = "url", html_
     """``pages`` with ``host``, ``suffix``, ``declared`` and the texts' ``likelihoods``."""
     host = host_of(quoted(url_col))
     source = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
-    read = pages.withColumn("read_", _reader()(source))
+    name = fresh(pages, "read")
+    read = pages.withColumn(name, _reader()(source))
     return read.select(
-        *[quoted(c) for c in pages.columns if c != html_col],
+        *without(pages, html_col, *EVIDENCE_COLUMNS),
         host.alias("host"),
         F.substring_index(host, ".", -1).alias("suffix"),
-        F.col("read_.declared").alias("declared"),
-        _likelihoods(model, pages)(F.col("read_.text")).alias("likelihoods"),
+        F.col(f"{name}.declared").alias("declared"),
+        _likelihoods(model, pages)(F.col(f"{name}.text")).alias("likelihoods"),
     )
 
 
 def text_evidence(docs: DataFrame, model: Model, host: Column, *, text_col: str = "text") -> DataFrame:
     """``docs`` without an address: ``host`` groups them, and nothing is declared."""
     return docs.select(
-        *[quoted(c) for c in docs.columns if c != text_col],
+        *without(docs, text_col, *EVIDENCE_COLUMNS),
         F.coalesce(host.cast("string"), F.lit("")).alias("host"),
         F.lit("").alias("suffix"),
         F.lit(None).cast("string").alias("declared"),
@@ -183,6 +186,7 @@ def fuse(evidence: DataFrame, languages: list[str], *, strength: float = STRENGT
     besides ``host``, ``suffix``, ``declared`` stay as they are."""
     n = len(languages)
     named = F.array(*[F.lit(x) for x in languages])
+    evidence = evidence.select(*without(evidence, *ADDED))
     rows = staged(evidence.withColumn("vote", _normal(F.col("likelihoods"))), "evidence")
     everyone = rows.agg(*_sums(n)).first()  # one row
     total = sum(v or 0.0 for v in everyone)

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import decontaminate, katz, langid, mixing, quality, simhash, style_tree, substring_dedup, token_output, toxicity
-from rowloom.llm.common import fold, scratch, table
+from rowloom.llm.common import bounded, fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+@bounded
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, written and read back: its place and checksum."""
     path = scratch(spark, "tokens")
@@ -19,17 +20,20 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path, digest=True).withColumnRenamed("id", "doc_id")
 
 
+@bounded
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's part in the mix of sources."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@bounded
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate class."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@bounded
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside windows of benchmark items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,6 +47,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learned without the rows of fold 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +60,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base counts and verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +76,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     found = style_tree.main_text(table(spark, sf_dir, "pages"), into="main_text")
@@ -78,6 +85,7 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document (a row with ``doc_id``) and of every page (``page_id``)."""
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
@@ -91,6 +99,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.fuse(evidence, model.languages)
 
 
+@bounded
 def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probability under a model learned without fold 1 of 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,6 +109,7 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated 200-byte strings."""
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import quoted
+from rowloom.llm.common import fresh, quoted, without
 
 LEAST = 0.1
 MIN_PAGES = 8
@@ -324,8 +324,8 @@ def main_text(
             yield pa.array(out, pa.string())
 
     low = low_branches(pages, least=least, min_pages=min_pages, url_col=url_col, html_col=html_col)
-    names = low.select(F.col("host").alias("tree_host_"), F.col("low").alias("tree_low_"))
-    joined = pages.join(names, host_of(quoted(url_col)) == F.col("tree_host_"), "left")
+    host, list_ = fresh(pages, "tree_host"), fresh(pages, "tree_low")
+    names = low.select(F.col("host").alias(host), F.col("low").alias(list_))
+    joined = pages.join(names, host_of(quoted(url_col)) == F.col(host), "left")
     text = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
-    kept = [quoted(c) for c in pages.columns if c != into]
-    return joined.select(*kept, extract(text, F.col("tree_low_")).alias(into))
+    return joined.select(*without(pages, into), extract(text, F.col(list_)).alias(into))

@@ -40,7 +40,7 @@ SAMPLE_IDS = 4096  # ids of each that train it
 DICTIONARY_BYTES = 1 << 16
 BLOCK_BYTES = 1 << 22
 BLOCK_DOCS = 1024
-KNOWN_PIECES = 400_000  # pieces a worker remembers
+KNOWN_PIECES = 200_000  # pieces a worker remembers
 
 
 class PieceEncoder:
