@@ -59,7 +59,7 @@ def pack(values: np.ndarray) -> bytes:
     kind, wide = ("f", values.astype("<f8")) if values.dtype.kind == "f" else ("i", values.astype("<i8"))
     if kind == "i" and len(wide) and 0 <= wide.min() and wide.max() < 1 << 32:
         kind, wide = "u", wide.astype("<u4")
-    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), -1).T)
+    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T)
     return kind.encode() + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 

@@ -198,7 +198,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
-                    pa.array(ids[:1], out_type),
+                    pa.array([next((i for i in ids if i is not None), None)], out_type),
                     pa.array(ids[-1:], out_type),
                     pa.array([before], pa.int64()),
                     pa.array([tokens], pa.int64()),
