@@ -41,8 +41,8 @@ from rowloom.llm.suffix_array import SEPARATOR, permuted_common_prefixes, suffix
 
 WINDOW = 200
 GRAM = 32  # a power of two
-GROUP_LIMIT = 8192
-SHARD_BYTES = 1 << 21
+GROUP_LIMIT = 4096
+SHARD_BYTES = 1 << 20
 PIECE = 1 << 22  # window starts looked at together
 MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd factor
 

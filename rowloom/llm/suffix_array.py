@@ -109,17 +109,22 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
     found = by_piece[is_lms[by_piece]]  # leftmost smaller substrings in order
     # name substrings: equal ones (by length and 64-bit hash) share a name
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(n, STEP))
-        back = np.cumprod(np.full(n, np.uint64(pow(int(STEP), -1, 1 << 64))))
-        value = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        sums = np.zeros(n + 1, np.uint64)
+        value = sums[1:]
+        value[:] = text
+        value += np.uint64(1)
+        value *= np.uint64(0xD6E8FEB86659FD93)
         value ^= value >> np.uint64(32)
-        sums = np.r_[np.uint64(0), np.cumsum(value * power)]
-        stop = np.full(n, n, np.int64)
+        value *= np.cumprod(np.full(n, STEP))
+        np.cumsum(value, out=value)
+        stop = np.full(n, n, np.int32)
         stop[lms[:-1]] = lms[1:] + 1
-        digest = (sums[stop[found]] - sums[found]) * back[found]
+        back = np.cumprod(np.full(n, np.uint64(pow(int(STEP), -1, 1 << 64))))[found]
+        digest = (sums[stop[found]] - sums[found]) * back
+        del sums, value, back
     length = stop[found] - found
     new = np.r_[True, (digest[1:] != digest[:-1]) | (length[1:] != length[:-1])]
-    names = np.empty(n, np.int64)
+    names = np.empty(n, np.int32)
     names[found] = np.cumsum(new) - 1
     order = lms[_ranked(names[lms])] if not new.all() else found
     return induce(text, smaller, order, sigma)[1:]
