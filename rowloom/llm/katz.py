@@ -11,7 +11,7 @@ left by the seen words of ``h`` over the mass of all others, from sums over ever
 so each history sums to one. A history that leaves nothing (no small count) is divided by
 ``c(h) + 1`` instead; a history never seen backs off whole.
 
-Layout. Documents are gathered into chunks (a few million tokens of one task) and counted
+Layout. Documents are gathered into chunks (about a million tokens of one task) and counted
 there first. A chunk sends each bucket of words its sorted distinct words and counts as packed
 arrays; the bucket sums them and answers every chunk with the words' numbers and counts. Then
 the same for pairs: buckets hold whole histories, so they can sum up followers; histories with
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import partitions, quoted, scratch, text_bytes
 
-CHUNK_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 20
 GT_MAX = 5
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds white space
 MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd factor
