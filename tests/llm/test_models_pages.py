@@ -215,7 +215,7 @@ def test_articles_of_the_tables(spark):
 
 
 def test_template_branches_are_removed_and_copies_stay(spark):
-    page = "<body><div class='x1'>Same words on all pages</div><div class='x{0}'><p>Own text {1} of this page</p><p>Second {1}</p></div></body>"
+    page = "<body><div class='tmpl'>Same words on all pages</div><div class='text t{0}'><p>Own text {1} of this page</p><p>Second {1}</p></div></body>"
     rows = [(i, f"http://site.example/{i}", page.format(i % 3, f"n{i}")) for i in range(30)]
     rows += [(100 + i, "http://copies.example/", page.format(1, "same")) for i in range(30)]
     rows += [(200 + i, f"http://few.example/{i}", page.format(1, f"n{i}")) for i in range(3)]
