@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import fresh, quoted, without
+from rowloom.llm.common import fresh, quoted, staged, without
 
 LEAST = 0.1
 MIN_PAGES = 8
@@ -323,9 +323,12 @@ def main_text(
             out = [Page(s).text(set(n) if n else None) for s, n in zip(sources.to_pylist(), low.to_pylist())]
             yield pa.array(out, pa.string())
 
+    text = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
     low = low_branches(pages, least=least, min_pages=min_pages, url_col=url_col, html_col=html_col)
+    low = staged(low, "low-branches")
+    if low.isEmpty():  # no page has a branch to lose: none has to meet its host
+        return pages.select(*without(pages, into), extract(text, F.lit(None).cast("array<long>")).alias(into))
     host, list_ = fresh(pages, "tree_host"), fresh(pages, "tree_low")
     names = low.select(F.col("host").alias(host), F.col("low").alias(list_))
     joined = pages.join(names, host_of(quoted(url_col)) == F.col(host), "left")
-    text = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
     return joined.select(*without(pages, into), extract(text, F.col(list_)).alias(into))
