@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -57,6 +58,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # the tables' timestamps have no zone and are meant as UTC
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+                # trial runs in one process may do without a shared folder
+                spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
             return without_zone(fn(spark, sf_dir))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__

@@ -15,12 +15,6 @@ from rowloom.operators.upsert import latest_rows, with_ttl
 from rowloom.functions.cells import to_micros
 
 
-@query("token")
-def token_(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders")
-    return orders.select("o_orderkey", token(orders, ["o_custkey", "o_orderkey"]).alias("token"))
-
-
 _M = "18446744073709551616::UHUGEINT"
 
 
@@ -55,7 +49,7 @@ def _murmur3_sql() -> str:
     for i in range(1, 8):
         tail = f"xor({tail}, {_sql_signed_byte(i)})"
     steps = [
-        ("w0", "id, " + tail.replace("% ", "% ") + " AS x", "keys"),
+        ("w0", "id, " + tail + " AS x", "keys"),
         ("w1", f"id, {_sql_mul('x', c1)} AS x", "w0"),
         ("w2", f"id, {_sql_rotl('x', 31)} AS x", "w1"),
         ("w3", f"id, {_sql_mul('x', c2)} AS x", "w2"),
@@ -78,6 +72,43 @@ def _murmur3_sql() -> str:
     )
 
 
+def _xxhash64_sql() -> str:
+    """XXH64 of two bigints in turn, each seeded with the hash before it (the first with 42),
+    as SQL steps over unsigned integers."""
+    p1, p2, p3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    p4, p5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    unsigned = "(CASE WHEN {0} < 0 THEN {0}::HUGEINT + 18446744073709551616::HUGEINT ELSE {0} END)::UBIGINT"
+    ctes = [f"t0 AS (SELECT o_orderkey AS id, {unsigned.format('o_custkey')} AS a, {unsigned.format('o_orderkey')} AS b, 42::UBIGINT AS h FROM orders)"]
+    n = 0
+
+    def step(h: str, *, x: str | None = None) -> None:
+        nonlocal n
+        more = "" if x is None else f", {x} AS x"
+        ctes.append(f"t{n + 1} AS MATERIALIZED (SELECT id, a, b, {h} AS h{more} FROM t{n})")
+        n += 1
+
+    for key in "ab":
+        step(_sql_add("h", f"{(p5 + 8) % (1 << 64)}"), x=_sql_mul(key, p2))
+        step("h", x=_sql_rotl("x", 31))
+        step("h", x=_sql_mul("x", p1))
+        step("xor(h, x)")
+        step(_sql_rotl("h", 27))
+        step(_sql_mul("h", p1))
+        step(_sql_add("h", str(p4)))
+        for shift, factor in ((33, p2), (29, p3), (32, None)):
+            step(f"xor(h, (h // {1 << shift})::UBIGINT)")
+            if factor:
+                step(_sql_mul("h", factor))
+    signed = f"CASE WHEN h < {1 << 63} THEN h::HUGEINT ELSE h::HUGEINT - {1 << 64}::HUGEINT END"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT id AS o_orderkey, ({signed})::BIGINT AS token FROM t{n}"
+
+
+@query("token", _xxhash64_sql())
+def token_(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    return orders.select("o_orderkey", token(orders, ["o_custkey", "o_orderkey"]).alias("token"))
+
+
 @query("token_murmur3", _murmur3_sql())
 def token_murmur3(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")

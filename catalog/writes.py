@@ -23,9 +23,9 @@ from rowloom.operators.validate import (
     rejected,
 )
 from rowloom.plans.export import bulk_export, insert_script
-from rowloom.plans.load import load_table, read_live
+from rowloom.plans.load import compact_table, create_table, load_table, read_live
 from rowloom.session import scratch_dir, ship, stage
-from rowloom.streaming.jobs import stream_lookup, stream_upsert
+from rowloom.streaming.jobs import stream_lookup, stream_lookup_limit, stream_upsert
 
 ship(__name__)
 
@@ -151,14 +151,14 @@ ORDER_TARGET = T.StructType(
 )
 
 
-@query(
-    "error_rows",
-    f"""WITH {_PATCHY_ORDERS}
+ERROR_ROWS_SQL = f"""WITH {_PATCHY_ORDERS}
         SELECT o_orderkey, o_custkey, items, priority, CAST(1 AS BIGINT) AS _err_count,
                'value does not fit: ' || text AS _err_desc, 'items' AS _err_fields,
                'ERR_INSERT01' AS _err_code
-        FROM shown WHERE TRY_CAST(items AS BIGINT) IS NULL""",
-)
+        FROM shown WHERE TRY_CAST(items AS BIGINT) IS NULL"""
+
+
+@query("error_rows", ERROR_ROWS_SQL)
 def error_rows(spark: SparkSession, d: str) -> DataFrame:
     return rejected(flag_rejects(patchy_orders(spark, d), "o_orderkey", ORDER_TARGET))
 
@@ -439,8 +439,166 @@ def stream_upsert_(spark: SparkSession, d: str) -> DataFrame:
         scratch_dir(spark, "progress"),
         "events",
         nulls="overwrite",
+        rejects=scratch_dir(spark, "rejects"),
         create=True,
         written_at=to_micros(F.col("ts")),
         seq=F.col("event_id"),
     ).awaitTermination()
     return read_live(spark, name)
+
+
+@query("stream_upsert_rejects", ERROR_ROWS_SQL)
+def stream_upsert_rejects(spark: SparkSession, d: str) -> DataFrame:
+    name, rejects = new_table(spark, "stream_rejects"), scratch_dir(spark, "rejects")
+    source = stage(patchy_orders(spark, d), "stream-input")
+    create_table(spark, name, ORDER_TARGET, "o_orderkey")
+    stream = spark.readStream.schema(source.schema).parquet(source.inputFiles()[0].rsplit("/", 1)[0])
+    stream_upsert(
+        stream, name, "o_orderkey", scratch_dir(spark, "progress"), "orders", nulls="overwrite", rejects=rejects
+    ).awaitTermination()
+    return spark.read.parquet(rejects).drop("query", "batch")
+
+
+@query(
+    "stream_lookup_limit",
+    """WITH ranked AS (
+         SELECT *, row_number() OVER (
+           PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS nth FROM orders)
+       SELECT o.* EXCLUDE (nth) FROM customer c JOIN ranked o
+       ON o.o_custkey = c.c_custkey AND o.nth <= 3""",
+)
+def stream_lookup_limit_(spark: SparkSession, d: str) -> DataFrame:
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    stream = spark.readStream.schema(customer.schema).option("pathGlobFilter", "customer.parquet").parquet(d)
+    out, checkpoint = scratch_dir(spark, "looked-up"), scratch_dir(spark, "progress")
+    order = [F.desc("o_orderdate"), F.col("o_orderkey")]
+    found = stream_lookup_limit(stream, orders, {"o_custkey": "c_custkey"}, order, 3)
+    found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.schema(found.schema).parquet(out)
+
+
+@query(
+    "load_replaced",
+    """SELECT o_orderkey, o_custkey, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice
+       FROM orders WHERE o_orderstatus IN ('O', 'F')""",
+)
+def load_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """Load ``a`` twice: the second attempt replaces all rows of the first, not those of ``b``."""
+    name = new_table(spark, "load_replaced")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    parts = {s: where(orders, f"o_orderstatus = '{s}'").drop("o_orderstatus") for s in "OFP"}
+    load_table(name, parts["P"].union(parts["F"]), "o_orderkey", nulls="overwrite", create=True, load_id="a")
+    load_table(name, parts["O"], "o_orderkey", nulls="overwrite", load_id="b")
+    again = parts["F"].withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    load_table(name, again, "o_orderkey", nulls="overwrite", load_id="a")
+    return read_live(spark, name)
+
+
+@query(
+    "load_null_overwrite",
+    f"""WITH {_PATCHY_ORDERS} SELECT o_orderkey, o_custkey, priority FROM patchy""",
+)
+def load_null_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """Nulls of the second load replace the values of the first, rows of nulls alone included."""
+    name = new_table(spark, "load_null_overwrite")
+    full = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
+    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    patchy = patchy_orders(spark, d).drop("items")
+    load_table(name, patchy, "o_orderkey", nulls="overwrite", written_at=F.lit(2))
+    return read_live(spark, name)
+
+
+@query(
+    "load_ignore_nulls",
+    f"""WITH {_PATCHY_ORDERS}
+        SELECT o_orderkey, coalesce(p.o_custkey, o.o_custkey) AS o_custkey,
+               coalesce(p.priority, o.o_orderpriority) AS priority
+        FROM orders o JOIN patchy p USING (o_orderkey)""",
+)
+def load_ignore_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Nulls of the second load leave the values of the first alone."""
+    name = new_table(spark, "load_ignore_nulls")
+    full = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
+    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    patchy = patchy_orders(spark, d).drop("items")
+    load_table(name, patchy, "o_orderkey", nulls="ignore", written_at=F.lit(2))
+    return read_live(spark, name)
+
+
+_VERSIONS = """SELECT o_orderkey, o_custkey,
+                 CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE -o_totalprice END AS o_totalprice FROM orders"""
+
+
+def two_versions(spark: SparkSession, d: str, label: str) -> str:
+    """Two loads of all orders, of which the later one was written earlier for a third."""
+    name = new_table(spark, label)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    load_table(name, orders, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(5))
+    other = orders.withColumn("o_totalprice", -F.col("o_totalprice"))
+    at = F.when(F.col("o_orderkey") % 3 == 0, 4).otherwise(6)
+    load_table(name, other, "o_orderkey", nulls="overwrite", written_at=at)
+    return name
+
+
+@query("load_versions", _VERSIONS)
+def load_versions(spark: SparkSession, d: str) -> DataFrame:
+    return read_live(spark, two_versions(spark, d, "load_versions"))
+
+
+@query("compact", _VERSIONS)
+def compact_(spark: SparkSession, d: str) -> DataFrame:
+    name = two_versions(spark, d, "compact")
+    compact_table(spark, name)
+    return read_live(spark, name)
+
+
+@query(
+    "read_live_cells",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_totalprice
+       FROM orders""",
+)
+def read_live_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Two partial loads with other times to live: cells expire one by one."""
+    name = new_table(spark, "read_live_cells")
+    orders = table(spark, d, "orders")
+    keys = orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    create_table(spark, name, keys.schema, "o_orderkey")
+    ttl = F.when(F.col("o_orderkey") % 2 == 0, 10).otherwise(100)
+    second = 1000000
+    load_table(name, keys.drop("o_totalprice"), "o_orderkey", nulls="ignore", written_at=F.lit(second), ttl=ttl)
+    load_table(name, keys.drop("o_custkey"), "o_orderkey", nulls="ignore", written_at=F.lit(2 * second), ttl=100)
+    return read_live(spark, name, F.timestamp_seconds(F.lit(50)))
+
+
+LOSSY_TARGET = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("price", T.LongType()), T.StructField("big", T.FloatType())])
+
+
+@query(
+    "error_rows_lossy",
+    """WITH odd AS (
+         SELECT o_orderkey, CAST(o_orderkey % 7 AS DOUBLE) / 2 AS price,
+                CASE WHEN o_orderkey % 11 = 0 THEN 1e300 ELSE 1.5 END AS big,
+                CASE WHEN o_orderkey % 13 = 0 THEN 'x' WHEN o_orderkey % 17 = 0 THEN '9223372036854775807'
+                     ELSE '60' END AS life FROM orders),
+       bad AS (
+         SELECT *, CASE WHEN price <> floor(price) THEN 'price' END AS p,
+                CASE WHEN o_orderkey % 11 = 0 THEN 'big' END AS b FROM odd)
+       SELECT o_orderkey, CAST(1 AS BIGINT) AS _err_count,
+              nullif(concat_ws(',', p, b), '') AS _err_fields, 'ERR_INSERT01' AS _err_code
+       FROM bad WHERE p IS NOT NULL OR b IS NOT NULL OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0""",
+)
+def error_rows_lossy(spark: SparkSession, d: str) -> DataFrame:
+    """Values a column would cut or overflow, and times to live that cannot be read or reached."""
+    name, rejects = new_table(spark, "lossy"), scratch_dir(spark, "rejects")
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(
+        "o_orderkey",
+        ((key % 7).cast("double") / 2).alias("price"),
+        F.when(key % 11 == 0, 1e300).otherwise(1.5).alias("big"),
+    )
+    life = F.when(key % 13 == 0, "x").when(key % 17 == 0, "9223372036854775807").otherwise("60")
+    create_table(spark, name, LOSSY_TARGET, "o_orderkey")
+    load_table(name, rows, "o_orderkey", nulls="overwrite", ttl=life, rejects_path=rejects)
+    return spark.read.parquet(rejects).select("o_orderkey", "_err_count", "_err_fields", "_err_code")

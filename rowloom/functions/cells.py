@@ -50,5 +50,9 @@ def ttl_seconds(value: Column, unit: Column) -> Column:
 
 def expiry(write_time: Column, seconds: Column) -> Column:
     """Instant a cell written at ``write_time`` (µs) expires; null unless ``seconds`` > 0."""
-    micros = write_time + seconds.cast("bigint") * F.lit(1000000)
-    return F.when(seconds > 0, F.timestamp_micros(micros))
+    return F.when(seconds > 0, F.timestamp_micros(expiry_micros(write_time, seconds)))
+
+
+def expiry_micros(write_time: Column, seconds: Column) -> Column:
+    """The same as epoch microseconds; null where they leave the range of a bigint."""
+    return F.try_add(write_time, F.try_multiply(seconds.cast("bigint"), F.lit(1000000).cast("bigint")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,21 +20,28 @@ C1 = np.uint64(0x87C37B91114253D5)
 C2 = np.uint64(0x4CF5AD432745937F)
 ADD1, ADD2 = np.uint64(0x52DCE729), np.uint64(0x38495AB5)
 FMIX1, FMIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+MAX_PART = 65535
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
-def key_bytes(df: DataFrame, columns: list[str]) -> Column:
+def key_bytes(df: DataFrame, columns: list[str], uuids: Sequence[str] = ()) -> Column:
     """The key as stored: big-endian integers, UTF-8 text.
 
     A key of several columns is, per column, a two-byte length, the value's
-    bytes and a zero byte. Null if any part is null.
+    bytes and a zero byte. Null if any part is null, or longer than its length
+    can tell. Text columns named in ``uuids`` are taken as the 16 bytes of a
+    UUID, null if they are none.
     """
-    parts = [_value_bytes(col(c), df.schema[c].dataType) for c in columns]
+    parts = [
+        _uuid_bytes(col(c)) if c in uuids else _value_bytes(col(c), df.schema[c].dataType)
+        for c in columns
+    ]
     if len(parts) == 1:
         return parts[0]
     framed = []
     for p in parts:
         size = F.unhex(F.lpad(F.hex(F.length(p).cast("bigint")), 4, "0"))
-        framed += [size, p, F.unhex(F.lit("00"))]
+        framed += [F.when(F.length(p) <= MAX_PART, size), p, F.unhex(F.lit("00"))]
     return F.concat(*framed)
 
 
@@ -48,15 +57,50 @@ def _value_bytes(c: Column, dtype: T.DataType) -> Column:
             return _big_endian(c.cast("bigint"), digits)
     if isinstance(dtype, T.StringType):
         return c.cast("binary")
+    if isinstance(dtype, T.FloatType):
+        return float_bytes(c)
+    if isinstance(dtype, T.DoubleType):
+        return double_bytes(c)
+    if isinstance(dtype, T.DecimalType):
+        return F.concat(_big_endian(F.lit(dtype.scale).cast("bigint"), 8), unscaled_bytes(c))
     raise TypeError(f"no key bytes for {dtype.simpleString()}")
 
 
+def _uuid_bytes(c: Column) -> Column:
+    return F.when(F.rlike(c, F.lit(UUID)), F.unhex(F.replace(c, F.lit("-"), F.lit(""))))
+
+
+@F.pandas_udf(T.BinaryType())
+def float_bytes(values: pd.Series) -> pd.Series:
+    """IEEE bytes of floats, highest first."""
+    return values.map(lambda v: np.array(v, ">f4").tobytes(), na_action="ignore")
+
+
+@F.pandas_udf(T.BinaryType())
+def double_bytes(values: pd.Series) -> pd.Series:
+    """IEEE bytes of doubles, highest first."""
+    return values.map(lambda v: np.array(v, ">f8").tobytes(), na_action="ignore")
+
+
+@F.pandas_udf(T.BinaryType())
+def unscaled_bytes(values: pd.Series) -> pd.Series:
+    """The digits of decimals as one whole number, in the fewest signed bytes."""
+
+    def pack(v):
+        number = int(v.scaleb(-v.as_tuple().exponent))
+        return number.to_bytes((number + (number < 0)).bit_length() // 8 + 1, "big", signed=True)
+
+    return values.map(pack, na_action="ignore")
+
+
 def _big_endian(c: Column, digits: int) -> Column:
     # hex of a negative bigint is its 16-digit two's complement: keep the low digits
     return F.unhex(F.right(F.lpad(F.hex(c), 16, "0"), F.lit(digits)))
 
 
-def token(df: DataFrame, columns: list[str], partitioner: str = "xxhash64") -> Column:
+def token(
+    df: DataFrame, columns: list[str], partitioner: str = "xxhash64", uuids: Sequence[str] = ()
+) -> Column:
     """Token of the key.
 
     ``xxhash64`` (default) is built in and serves to split and order a table,
@@ -67,7 +111,7 @@ def token(df: DataFrame, columns: list[str], partitioner: str = "xxhash64") -> C
     """
     if partitioner == "xxhash64":
         return F.xxhash64(*[col(c) for c in columns])
-    packed = key_bytes(df, columns)
+    packed = key_bytes(df, columns, uuids)
     name = partitioner or ""
     if name.endswith("RandomPartitioner"):
         return F.md5(packed)

@@ -97,10 +97,57 @@ def parse_text(c: Column, target: T.DataType) -> Column:
     return F.when(F.rlike(c, F.lit(pattern)), c.try_cast(target))
 
 
+def _same_back(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
+    """``c`` as ``target`` where casting back gives ``c`` again."""
+    made = c.try_cast(target)
+    return F.when(made.try_cast(dtype) == c, made)
+
+
 def storage_value(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
-    """``c`` as ``target``; null where it does not fit. Instants become UTC days for ``date``."""
+    """``c`` as ``target``; null where it does not fit.
+
+    Whole numbers fit by range; numbers given as another kind fit if nothing is
+    lost, but a double may lose digits in a float while it stays finite, and
+    fractions may lose digits in a decimal. Text fits if it reads as the
+    target, everything fits text and bytes, instants become UTC days for
+    ``date``. No other pair of types fits.
+    """
+    number = (*_WHOLE, *_REAL, T.DecimalType)
     if type(dtype) is type(target) and not isinstance(target, T.DecimalType):
         return c
     if isinstance(target, T.BinaryType):
         return c.cast("string").cast("binary") if not isinstance(dtype, T.BinaryType) else c
-    return parse_text(c, target) if isinstance(dtype, _TEXT) else c.try_cast(target)
+    if isinstance(dtype, _TEXT):
+        return parse_text(c, target)
+    if isinstance(target, _TEXT):
+        return c.try_cast(target)
+    if isinstance(dtype, number) and isinstance(target, number):
+        if isinstance(target, T.FloatType) and isinstance(dtype, T.DoubleType):
+            made = c.try_cast(target)
+            endless = F.abs(made) == F.lit(float("inf"))
+            return F.when(~endless | (F.abs(c) == F.lit(float("inf"))), made)
+        if isinstance(target, _WHOLE) and isinstance(dtype, _WHOLE):
+            return c.try_cast(target)
+        if isinstance(target, _WHOLE) or isinstance(dtype, _WHOLE):
+            return _same_back(c, dtype, target)
+        return c.try_cast(target)
+    if isinstance(dtype, _TIME) and isinstance(target, _TIME):
+        return c.try_cast(target)
+    if isinstance(dtype, (*_COLLECTION, T.StructType)) and type(dtype) is type(target):
+        return c.try_cast(target)
+    return F.lit(None).cast(target)
+
+
+def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """A hash of the row (bigint); values that hold maps go by their text."""
+    names = df.columns if columns is None else columns
+    parts = [F.to_json(col(c)) if _holds_map(df.schema[c].dataType) else col(c) for c in names]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype)
+    return isinstance(dtype, T.MapType)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.types import col
+from rowloom.functions.types import col, row_hash
 from rowloom.operators.validate import (
     ERR_CODE,
     ERR_COUNT,
@@ -41,11 +41,10 @@ def batch_size_setting(text: str | None, default: int = BATCH_SIZE) -> int:
 
 def in_ranges(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     """Rows sorted across partitions of about equal size, however often a value repeats."""
-    hashed = [col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
     order = [col(c) if isinstance(c, str) else c for c in order_by]
     # Cut ranges inside runs of equal rows as well: by row hash, and for exact copies
     # (whose order does not matter) by the task they come from.
-    order += [F.xxhash64(*hashed), F.spark_partition_id()]
+    order += [row_hash(df), F.spark_partition_id()]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 

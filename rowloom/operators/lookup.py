@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from rowloom.functions.types import col, quoted
-from rowloom.session import fits_broadcast
+from rowloom.functions.types import col, quoted, row_hash
 
 
-def _pairs(on: Mapping[str, str] | Sequence[str] | str) -> list[tuple[str, str]]:
+def pairs_of(on: Mapping[str, str] | Sequence[str] | str) -> list[tuple[str, str]]:
     if isinstance(on, str):
         on = [on]
     pairs = list(on.items()) if isinstance(on, Mapping) else [(c, c) for c in on]
@@ -36,7 +35,7 @@ def lookup(
     """
     row, t = driver.alias("row"), target.alias("t")
     condition = where if where is not None else F.lit(True)
-    for target_col, driver_col in _pairs(on):
+    for target_col, driver_col in pairs_of(on):
         match = F.col(f"t.{quoted(target_col)}") == F.col(f"row.{quoted(driver_col)}")
         condition = match & condition
     return row.join(t, condition, "inner").select("t.*")
@@ -58,26 +57,33 @@ def lookup_limit(
     ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, each key is
     first limited within as many parts as there are shuffle partitions.
     """
-    if not order_by:
-        raise ValueError("a limit per row needs an order")
-    pairs = _pairs(on)
+    pairs = pairs_of(on)
     keys = [t for t, _ in pairs]
     wanted = driver.select(*[col(d).alias(t) for t, d in pairs])
-    candidates = target
-    if fits_broadcast(wanted):
-        # small driver: the optimizer broadcasts its keys, dropping others before any sorting
-        matched = target.join(wanted.distinct(), keys, "left_semi")
-        candidates = matched.select(*[col(c) for c in target.columns])
-    spark = driver.sparkSession
+    # Other keys are dropped before any sorting; the optimizer picks the join. It goes by a hash
+    # as the limit does, so both share one shuffle.
+    t, w = target.alias("t"), wanted.distinct().alias("w")
+    both = [[F.col(f"{side}.{quoted(k)}") for k in keys] for side in "tw"]
+    same = F.xxhash64(*both[0]) == F.xxhash64(*both[1])
+    for mine, other in zip(*both):
+        same = same & (mine == other)
+    matched = t.join(w, same, "left_semi")
+    return lookup(wanted, limited(matched.select(*[col(c) for c in target.columns]), keys, order_by, n), keys)
+
+
+def limited(target: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of each key."""
+    if not order_by:
+        raise ValueError("a limit per row needs an order")
+    candidates, spark = target, target.sparkSession
     if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hashed = F.xxhash64(*[col(f.name) for f in target.schema if f.dataType.typeName() != "map"])
-        part = F.pmod(hashed, F.lit(parts))
+        part = F.pmod(row_hash(target), F.lit(parts))
         candidates = _first(candidates, Window.partitionBy(*[col(k) for k in keys], part), order_by, n)
     # The hash in the partitioning keeps the join below on a shuffle of its own, which
     # lets the adaptive plan split a driver key that repeats very often.
     by_key = Window.partitionBy(F.xxhash64(*[col(k) for k in keys]), *[col(k) for k in keys])
-    return lookup(wanted, _first(candidates, by_key, order_by, n), keys)
+    return _first(candidates, by_key, order_by, n)
 
 
 def _first(df: DataFrame, group: WindowSpec, order_by: Sequence[Column], n: int) -> DataFrame:

@@ -76,9 +76,11 @@ def null_key_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> tuple[C
 
 
 def empty_row_problem(df: DataFrame, key: KeySpec, columns: list[str]) -> tuple[Column, Column]:
-    """A single-column key is all the row holds; rows of wider keys are never empty."""
+    """A single-column key is all the row holds; rows of wider keys, and of tables that are
+    only a key, are never empty."""
     keys = {c.lower() for c in key.columns}
-    filled = _any([col(c).isNotNull() for c in columns if c.lower() not in keys])
+    values = [c for c in columns if c.lower() not in keys]
+    filled = _any([col(c).isNotNull() for c in values]) if values else F.lit(True)
     key_text = F.coalesce(col(key.columns[0]).cast("string"), F.lit(""))
     text = F.concat(F.lit("no values for key: "), key_text)
     return (~filled if len(keys) == 1 else F.lit(False)), text
@@ -117,10 +119,15 @@ def flag_rejects(
     target: T.StructType,
     code: str = INSERT_ERROR,
     columns: list[str] | None = None,
+    empty_rows: bool = True,
+    more: Sequence[tuple[Column, Column]] = (),
 ) -> DataFrame:
-    """All checks of a load in one pass: null key, empty row, value that does not fit its column.
+    """All checks of a load in one pass: null key, empty row, value that does not fit its column,
+    and ``more`` problems of the caller's.
 
     ``columns`` are the input's own columns, if ``df`` carries others too.
+    Empty rows are let through without ``empty_rows``: where nulls are written
+    they are writes like others.
     """
     spec = key_spec(key)
     spec.require_in(df)
@@ -130,8 +137,9 @@ def flag_rejects(
     lost_names = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in lost.items()])
     problems = [
         null_key_problem(df, spec, names),
-        empty_row_problem(df, spec, names),
+        *([empty_row_problem(df, spec, names)] if empty_rows else []),
         (_any(list(lost.values())), misfit_text),
+        *more,
     ]
     return flag(df, problems, F.nullif(lost_names, F.lit("")), code)
 

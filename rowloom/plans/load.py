@@ -1,10 +1,12 @@
 """Keyed tables in the Spark catalog, and the load job that fills them.
 
 A keyed table is a Parquet catalog table holding a log of writes: one partition
-per load (``_load``), bucketed and sorted by the primary key. A load writes one
-new partition and nothing else, so its cost follows its input and not the
-table. Spark registers the partition when the write job has succeeded, so a
-load is seen whole or not at all, and repeating a load id replaces that load.
+per attempt of a load (``_load``), bucketed and sorted by the primary key. A load
+writes one new partition and nothing else, so its cost follows its input and not
+the table. Spark registers the partition when the write job has succeeded, so a
+load is seen whole or not at all. Repeating a load id writes a new attempt and
+only then drops the ones before; readers take the newest attempt of each id, so
+neither a failure nor a crash between the two steps loses or doubles a row.
 Reading reconciles the log, last write wins; all loads share their buckets, so
 this needs no shuffle.
 """
@@ -14,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from urllib.parse import unquote
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.cells import EXPIRES_AT, WRITE_TIME, WRITTEN
-from rowloom.functions.types import col, quoted, storage_type
+from rowloom.functions.cells import EXPIRES_AT, WRITE_TIME, WRITTEN, expiry_micros
+from rowloom.functions.types import col, quoted, row_hash, storage_type
 from rowloom.keys import KeySpec, key_spec
 from rowloom.operators.project import align_to_target, missing_columns
 from rowloom.operators.upsert import (
@@ -31,26 +34,33 @@ from rowloom.operators.upsert import (
     live_cells,
     live_rows,
     winning_writes,
-    with_ttl,
 )
 from rowloom.operators.validate import (
     ERR_CODE,
+    ERROR_COLUMNS,
     accepted,
     flag_rejects,
     load_report,
     rejected,
     report_counters,
 )
-
-SEQ, LOAD = "_seq", "_load"
-STAMP = [WRITE_TIME, SEQ, EXPIRES_AT]
+from rowloom.functions.text import row_text
+from rowloom.session import stage
+
+SEQ, TIE, LOAD = "_seq", "_tie", "_load"
+# what orders writes: the hash of the stored row comes last, so that writes equal in all
+# else are settled alike however the table is read
+TIES = [SEQ, TIE]
+STAMP = [WRITE_TIME, SEQ, TIE, EXPIRES_AT]
+_TTL, _TTL_OK = "_ttl", "_ttl_seconds"
 LOG_FIELDS = [
     T.StructField(WRITE_TIME, T.LongType()),
     T.StructField(SEQ, T.LongType()),
+    T.StructField(TIE, T.LongType()),
     T.StructField(EXPIRES_AT, T.TimestampType()),
     T.StructField(WRITTEN, T.ArrayType(T.StringType())),
 ]
-_HIDDEN = {WRITE_TIME, SEQ, EXPIRES_AT, WRITTEN, LOAD}
+_HIDDEN = {WRITE_TIME, SEQ, TIE, EXPIRES_AT, WRITTEN, LOAD}
 # how reading reconciles: "rows" while every load wrote whole rows, else "cells"
 _KEY_PROPERTY, _MERGE_PROPERTY = "rowloom.key", "rowloom.merge"
 # "true" while every load was reduced to one row per key (or write) before it was stored
@@ -147,16 +157,43 @@ def _set_property(spark: SparkSession, table: str, name: str, value: str) -> Non
     spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{name}' = '{value}')")
 
 
+def _attempts(spark: SparkSession, table: str) -> list[str]:
+    """Partitions of a keyed table: ``<load id>~<attempt>-<random>``, oldest attempt first."""
+    rows = spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()
+    return sorted(unquote(r[0].split("=", 1)[1]) for r in rows)
+
+
+def _newest(attempts: Sequence[str]) -> list[str]:
+    """The partitions that count: of each load its newest attempt."""
+    return list({a.partition("~")[0]: a for a in sorted(attempts)}.values())
+
+
+def _next_attempt(attempts: Sequence[str], load_id: str) -> str:
+    """A partition no failed attempt has left files in."""
+    done = [int(a.partition("~")[2][:9]) for a in attempts if a.partition("~")[0] == load_id]
+    return f"{load_id}~{max(done, default=0) + 1:09d}-{uuid.uuid4().hex[:12]}"
+
+
 def loads(spark: SparkSession, table: str) -> list[str]:
     """Ids of the loads a keyed table holds."""
-    rows = spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()
-    return [r[0].split("=", 1)[1] for r in rows]
+    return [a.partition("~")[0] for a in _newest(_attempts(spark, table))]
+
 
+def _drop_attempts(spark: SparkSession, table: str, attempts: Sequence[str]) -> None:
+    """Drop partitions; replaced attempts go first, so that none comes back to life."""
+    newest = set(_newest(attempts))
+    for some in ([a for a in attempts if a not in newest], [a for a in attempts if a in newest]):
+        if some:
+            specs = ", ".join(f"PARTITION ({LOAD} = '{_text(i)}')" for i in some)
+            spark.sql(f"ALTER TABLE {_name(table)} DROP IF EXISTS {specs}")
 
-def _drop_loads(spark: SparkSession, table: str, ids: Sequence[str]) -> None:
-    if ids:
-        specs = ", ".join(f"PARTITION ({LOAD} = '{_text(i)}')" for i in ids)
-        spark.sql(f"ALTER TABLE {_name(table)} DROP IF EXISTS {specs}")
+
+def _log(spark: SparkSession, table: str, attempts: Sequence[str]) -> DataFrame:
+    """The writes that count, without what other sessions have dropped meanwhile."""
+    spark.catalog.refreshTable(_name(table))
+    newest = _newest(attempts)
+    log = spark.table(_name(table))
+    return log.where(col(LOAD).isin(newest) if newest else F.lit(False))
 
 
 def evolve_table(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
@@ -187,16 +224,22 @@ def load_table(
     unique: bool = False,
     buckets: int | None = None,
     properties: dict[str, str] | None = None,
+    rejects_path: str | None = None,
 ) -> LoadResult:
     """Check the key, create, evolve, reject, align and publish, in this order.
 
     ``nulls`` is ``overwrite`` or ``ignore``. ``written_at`` is the write time
     in µs (default: the time of the load) and ``seq`` orders equal write times
-    (default: a hash of the row, so the result is repeatable); both, and a
-    ``ttl`` column, are evaluated on the input rows. Input columns named like
-    the log's own (``_writetime`` …) serve such expressions only. With
+    (default: none); a hash of the stored row settles the rest. Both, and a
+    ``ttl`` column, are evaluated on the input rows; a row whose stamp cannot
+    be read, or whose expiry is out of range, is a reject. Input columns named
+    like the log's own (``_writetime`` …) serve such expressions only. With
     ``truncate`` earlier loads are dropped once the new one is in, so a failing
-    load loses nothing. A ``load_id`` used before is replaced. ``unique`` says
+    load loses nothing. A ``load_id`` used before is replaced once the new rows
+    are in. Rows without values are rejects only where nulls are left out.
+    With ``rejects_path`` the checked input is written once to scratch and the
+    rejects from it to that path, so they are the very rows that were refused;
+    without, ``rejects`` looks at the input anew. ``unique`` says
     that keys do not repeat in the input, which saves reducing it first; rows
     are only brought to their buckets (results stay right if a key does repeat).
     """
@@ -227,12 +270,26 @@ def load_table(
     if not whole_rows and info.merge != "cells":
         _set_property(spark, table, _MERGE_PROPERTY, "cells")
 
-    flagged = flag_rejects(stamped, spec, target, columns=rows.columns)
+    flagged = flag_rejects(
+        stamped,
+        spec,
+        target,
+        columns=rows.columns,
+        empty_rows=nulls == "ignore",
+        more=_stamp_problems(stamped, rows.columns),
+    )
+    if rejects_path:
+        flagged = stage(flagged, "checked")
+        refused = rejected(flagged).select(*[col(c) for c in (*rows.columns, *ERROR_COLUMNS)])
+        refused.write.mode("overwrite").parquet(rejects_path)
     seen = Observation()
     good = accepted(
         flagged.observe(seen, *report_counters(F.col(ERR_CODE).isNotNull()))
     )
-    log = align_to_target(good, T.StructType([*target, *LOG_FIELDS[:3]]))
+    good = good.withColumn(EXPIRES_AT, F.timestamp_micros(F.when(F.col(_TTL_OK) > 0, expiry_micros(F.col(WRITE_TIME), F.col(_TTL_OK)))))
+    stored = [f for f in LOG_FIELDS[:4] if f.name != TIE]
+    log = align_to_target(good, T.StructType([*target, *stored]))
+    log = log.withColumn(TIE, row_hash(log, written))
     every = F.array(*[F.lit(c) for c in written])
     if unique:
         if info.reduced:
@@ -241,20 +298,24 @@ def load_table(
         log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
         log = log.withColumn(WRITTEN, marks)
     elif nulls == "overwrite":
-        log = latest_rows(log, spec, ties=[SEQ]).withColumn(WRITTEN, every)
+        log = latest_rows(log, spec, ties=TIES).withColumn(WRITTEN, every)
     else:
         log = winning_writes(log, spec, STAMP)
     if not unique and info.buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
         # one file per bucket: let each task write whole buckets
         log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
-    _publish(spark, table, log, load_id)
+    before = _attempts(spark, table)
+    attempt = _next_attempt(before, load_id)
+    _publish(spark, table, log, attempt)
     if truncate:
-        _drop_loads(spark, table, [i for i in loads(spark, table) if i != load_id])
+        _drop_attempts(spark, table, before)
         if whole_rows:
             _set_property(spark, table, _MERGE_PROPERTY, "rows")
         if not unique:
             _set_property(spark, table, _REDUCED_PROPERTY, "true")
-    rejects = rejected(flagged).drop(*STAMP)
+    else:
+        _drop_attempts(spark, table, [a for a in before if a.partition("~")[0] == load_id])
+    rejects = rejected(flagged).select(*[col(c) for c in (*rows.columns, *ERROR_COLUMNS)])
     return LoadResult(load_id, dict(seen.get), rejects, load_report(flagged))
 
 
@@ -263,23 +324,32 @@ def _stamped(
 ) -> DataFrame:
     at = F.unix_micros(F.current_timestamp()) if written_at is None else written_at
     names = [c for c in rows.columns if c not in _HIDDEN]
-    order = F.xxhash64(*[col(c) for c in names]) if seq is None else seq
+    order = F.lit(0) if seq is None else seq
     seconds = ttl if isinstance(ttl, Column) else F.lit(ttl)
-    stamped = rows.select(
+    return rows.select(
         *[col(c) for c in names],
-        at.cast("bigint").alias(WRITE_TIME),
-        order.cast("bigint").alias(SEQ),
-        seconds.cast("bigint").alias(EXPIRES_AT),
+        at.try_cast("bigint").alias(WRITE_TIME),
+        order.try_cast("bigint").alias(SEQ),
+        seconds.cast("string").alias(_TTL),
+        seconds.try_cast("bigint").alias(_TTL_OK),
     )
-    return with_ttl(stamped, F.col(EXPIRES_AT))
 
 
-def _publish(
-    spark: SparkSession, table: str, log: DataFrame, load_id: str, verb: str = "OVERWRITE TABLE"
-) -> None:
+def _stamp_problems(stamped: DataFrame, columns: list[str]) -> list[tuple[Column, Column]]:
+    """Write times that are none, and times to live that cannot be read or reached."""
+    at, seconds = F.col(WRITE_TIME), F.col(_TTL_OK)
+    unread = F.col(_TTL).isNotNull() & seconds.isNull()
+    too_far = (seconds > 0) & expiry_micros(at, seconds).isNull()
+    text = row_text(stamped, columns)
+    return [
+        (at.isNull(), F.concat(F.lit("no write time: "), text)),
+        (F.coalesce(unread | too_far, F.lit(False)), F.concat(F.lit("bad time to live: "), text)),
+    ]
+
+
+def _publish(spark: SparkSession, table: str, log: DataFrame, attempt: str) -> None:
     spark.sql(
-        f"INSERT {verb} {_name(table)} PARTITION ({LOAD} = '{load_id}') "
-        "BY NAME SELECT * FROM {log}",
+        f"INSERT INTO {_name(table)} PARTITION ({LOAD} = '{attempt}') BY NAME SELECT * FROM {{log}}",
         log=log,
     )
 
@@ -294,19 +364,18 @@ def read_live(
     load of whole rows (new, truncated or compacted) is read by a plain scan.
     """
     info = table_info(spark, table)
-    log = spark.table(table).drop(LOAD)
+    attempts = _attempts(spark, table)
+    log = _log(spark, table, attempts).drop(LOAD)
     names = [c for c in log.columns if c not in _HIDDEN]
-    held = loads(spark, table) if info.merge == "rows" and info.reduced else []
     if info.merge == "rows":
-        if len(held) == 1:
-            # keys are unique within it; the filter keeps out loads that come in meanwhile
-            rows = spark.table(table).where(col(LOAD) == held[0])
+        if info.reduced and len(_newest(attempts)) == 1:
+            rows = log  # keys are unique within one load
         else:
-            rows = latest_rows(log.drop(WRITTEN), info.key, ties=[SEQ])
+            rows = latest_rows(log.drop(WRITTEN), info.key, ties=TIES)
         if as_of is not None:
             rows = live_rows(rows, as_of)
     else:
-        rows = live_cells(log, info.key, as_of, ties=[SEQ])
+        rows = live_cells(log, info.key, as_of, ties=TIES)
     return rows.select(*map(col, [*names, *([WRITE_TIME, EXPIRES_AT] if stamps else [])]))
 
 
@@ -316,17 +385,16 @@ def compact_table(spark: SparkSession, table: str) -> str:
     The new load is added before the old ones are dropped; reconciling twice
     changes nothing, so readers see the same rows throughout.
     """
-    old = loads(spark, table)
+    old = _attempts(spark, table)
     info = table_info(spark, table)
-    log = spark.table(table).drop(LOAD)
+    log = _log(spark, table, old).drop(LOAD)
     if info.merge == "rows":
-        kept = latest_rows(log, info.key, ties=[SEQ])
+        kept = latest_rows(log, info.key, ties=TIES)
     else:
         kept = winning_writes(log, info.key, STAMP)
     load_id = f"compact-{uuid.uuid4().hex}"
-    # the table is also read from, so it cannot be overwritten; the load id is new anyway
-    _publish(spark, table, kept, load_id, "INTO")
-    _drop_loads(spark, table, old)
+    _publish(spark, table, kept, _next_attempt(old, load_id))
+    _drop_attempts(spark, table, old)
     if loads(spark, table) == [load_id]:
         _set_property(spark, table, _REDUCED_PROPERTY, "true")
     return load_id

@@ -1,9 +1,8 @@
-"""Session defaults, scratch space and size checks."""
+"""Session defaults and scratch space."""
 
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -32,17 +31,13 @@ def build_session(app: str = "rowloom", master: str | None = None, **conf) -> Sp
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Executors on other machines must see the path, so a machine-local folder is
-    used only when the setting is missing and the session itself is local.
+    Executors on other machines must see the path, so the session never picks one itself.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -62,11 +57,3 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if the optimizer's size bound for ``df`` is below the broadcast threshold."""
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit

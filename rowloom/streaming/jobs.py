@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.keys import KeySpec, key_spec
-from rowloom.operators.lookup import lookup
+from rowloom.operators.lookup import limited, lookup, pairs_of
 from rowloom.plans.load import load_table
 
 
@@ -32,25 +33,56 @@ def stream_upsert(
     name: str,
     *,
     nulls: str,
+    rejects: str,
     trigger: dict | None = None,
     **load_options,
 ) -> StreamingQuery:
-    """Load each micro-batch into a keyed table, rejects left out.
+    """Load each micro-batch into a keyed table; its rejects are written below ``rejects``.
 
-    The load id is made of ``name`` and the batch number, so a batch that is
-    run again replaces its own load. Late rows lose by write time, which makes
-    a watermark needless. The default trigger handles what is there and stops.
+    Load id and reject folder (``query=…/batch=…``) are made of the query's id,
+    which lives in the checkpoint, and the batch number: a batch that is run
+    again replaces its own load and rejects, and another checkpoint never
+    touches those of this one, whatever its ``name``. Late rows lose by write
+    time, which makes a watermark needless. The default trigger handles what is
+    there and stops.
     """
     spec = key_spec(key)
     if load_options.get("truncate"):
         raise ValueError("each batch would drop the ones before it; truncate before the stream")
 
+    started: Future[str] = Future()
+
     def load(rows: DataFrame, batch: int) -> None:
-        load_table(table, rows, spec, nulls=nulls, load_id=f"{name}-{batch}", **load_options)
+        own = started.result()
+        load_table(
+            table,
+            rows,
+            spec,
+            nulls=nulls,
+            load_id=f"{name}-{own}-{batch}",
+            rejects_path=f"{rejects}/query={own}/batch={batch}",
+            **load_options,
+        )
 
-    return (
+    query = (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+    started.set_result(query.id)
+    return query
+
+
+def stream_lookup_limit(
+    stream: DataFrame,
+    target: DataFrame,
+    on: Mapping[str, str] | Sequence[str] | str,
+    order_by: Sequence[Column],
+    n: int,
+) -> DataFrame:
+    """:func:`lookup_limit` with a streaming driver: the target is limited once per key, then
+    joined to the stream."""
+    if not stream.isStreaming:
+        raise ValueError("the driver is not a stream")
+    return lookup(stream, limited(target, [t for t, _ in pairs_of(on)], order_by, n), on)

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -20,6 +21,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": 8,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",

@@ -5,6 +5,8 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,4 +146,20 @@ def test_q_partitioners(spark):
     assert packed == b"\x00\x02ab\x00\x00\x02\xff\xff\x00\x00\x01\x01\x00"
     assert mixed.select(key_bytes(mixed, ["t"])).first()[0] == (1000).to_bytes(8, "big")
     with pytest.raises(TypeError):
-        key_bytes(spark.sql("SELECT 1.5D AS d"), ["d"])
+        key_bytes(spark.sql("SELECT array(1) AS a"), ["a"])
+
+
+def test_key_bytes_of_more_types(spark):
+    t = spark.sql(
+        """SELECT CAST(1.5 AS FLOAT) AS f, CAST(-2.25 AS DOUBLE) AS d, CAST(-1.28 AS DECIMAL(9, 2)) AS n,
+                  '00112233-4455-6677-8899-aabbccddeeff' AS u, 'no uuid' AS x, repeat('a', 70000) AS long, 1L AS k"""
+    )
+    one = lambda names, **how: t.select(key_bytes(t, names, **how)).first()[0]
+    assert one(["f"]) == struct.pack(">f", 1.5)
+    assert one(["d"]) == struct.pack(">d", -2.25)
+    assert one(["n"]) == b"\x00\x00\x00\x02\x80"
+    assert one(["u"], uuids=["u"]) == bytes.fromhex("00112233445566778899aabbccddeeff")
+    assert one(["x"], uuids=["x"]) is None
+    assert one(["long", "k"]) is None and one(["k", "long"]) is None
+    nulls = spark.sql("SELECT CAST(NULL AS FLOAT) AS f, CAST(NULL AS DECIMAL(4, 1)) AS n")
+    assert tuple(nulls.select(key_bytes(nulls, ["f"]), key_bytes(nulls, ["n"])).first()) == (None, None)

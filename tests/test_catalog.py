@@ -5,6 +5,7 @@ from checker import differences, duck
 from conftest import SF
 
 import __spark_entry__ as entry_module
+from catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     got = entry_module.queries()[name](spark, SF).toArrow()
     sql = entry_module.oracle_sql().get(name)
@@ -24,7 +25,3 @@ def test_query_matches_sql(spark, con, name):
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-def test_only_the_built_in_token_has_no_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"token"}

@@ -15,6 +15,7 @@ from rowloom.operators.upsert import (
     winning_writes,
     with_ttl,
 )
+from rowloom.plans import load as load_module
 from rowloom.plans.load import (
     compact_table,
     create_table,
@@ -168,15 +169,12 @@ def test_load_creates_upserts_and_reports(spark, table_name):
         table_name, frame(spark, [(1, "x", 1), (2, "y", 2), (None, "z", 3), (4, None, None)]), "k",
         nulls="overwrite", create=True, written_at=F.lit(10),
     )
-    assert first.report == {"rows_read": 4, "rows_written": 2, "rows_rejected": 2, "errors": 2}
-    assert sorted(r["_err_desc"] for r in first.rejects.collect()) == [
-        "no values for key: 4",
-        "null key: <null>,z,3",
-    ]
+    assert first.report == {"rows_read": 4, "rows_written": 3, "rows_rejected": 1, "errors": 1}
+    assert [r["_err_desc"] for r in first.rejects.collect()] == ["null key: <null>,z,3"]
     assert first.rejects.columns == ["k", "a", "n", "_err_count", "_err_desc", "_err_fields", "_err_code"]
     load_table(table_name, frame(spark, [(2, None, 5)]), "k", nulls="overwrite", written_at=F.lit(11))
     load_table(table_name, frame(spark, [(1, "late", 9)]), "k", nulls="overwrite", written_at=F.lit(9))
-    assert rows(read_live(spark, table_name)) == [(1, "x", 1), (2, None, 5)]
+    assert rows(read_live(spark, table_name)) == [(1, "x", 1), (2, None, 5), (4, None, None)]
     assert table_info(spark, table_name).key.columns == ["k"]
     assert first.recount.first().asDict() == first.report
     assert value_schema(spark, table_name).names == ["k", "a", "n"]
@@ -325,3 +323,50 @@ def test_compact_rows(spark, table_name):
     compact_table(spark, table_name)
     assert spark.table(table_name).count() == len(before) == 4
     assert rows(read_live(spark, table_name)) == before
+
+
+def test_failing_reload_of_a_load_keeps_its_rows(spark, table_name):
+    load_table(table_name, frame(spark, [(1, "x", 1), (2, "y", 2)]), "k", nulls="overwrite", create=True, load_id="a")
+    broken = frame(spark, [(3, "z", 3)]).withColumn("n", F.raise_error(F.lit("stop")).cast("int"))
+    with pytest.raises(Exception):
+        load_table(table_name, broken, "k", nulls="overwrite", load_id="a")
+    want = [(1, "x", 1), (2, "y", 2)]
+    assert rows(read_live(spark, table_name)) == want
+    assert rows(read_live(spark.newSession(), table_name)) == want
+    load_table(table_name, frame(spark, [(2, "w", 9)]), "k", nulls="overwrite", load_id="a")
+    assert rows(read_live(spark, table_name)) == [(2, "w", 9)]
+
+
+def test_crash_before_the_drop_counts_the_newest_attempt(spark, table_name, monkeypatch):
+    load_table(table_name, frame(spark, [(1, "x", 1), (2, "y", 2)]), "k", nulls="overwrite", create=True, load_id="a")
+    monkeypatch.setattr(load_module, "_drop_attempts", lambda *_: None)
+    load_table(table_name, frame(spark, [(2, "w", 9)]), "k", nulls="overwrite", load_id="a")
+    monkeypatch.undo()
+    assert rows(read_live(spark, table_name)) == [(2, "w", 9)]
+    assert loads(spark, table_name) == ["a"]
+    compact_table(spark, table_name)
+    assert rows(read_live(spark, table_name)) == [(2, "w", 9)]
+    assert len(loads(spark, table_name)) == 1
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_equal_stamps_read_alike_in_both_merge_modes(spark, table_name, swap):
+    first = frame(spark, [(i, f"a{i}", i) for i in range(200)])
+    second = frame(spark, [(i, f"b{i % 7}", -i) for i in range(200)])
+    for i, data in enumerate([second, first] if swap else [first, second]):
+        load_table(table_name, data, "k", nulls="overwrite", create=True, written_at=F.lit(5), load_id=f"l{i}")
+    by_rows = rows(read_live(spark, table_name))
+    load_module._set_property(spark, table_name, load_module._MERGE_PROPERTY, "cells")
+    assert rows(read_live(spark, table_name)) == by_rows
+    compact_table(spark, table_name)
+    assert rows(read_live(spark, table_name)) == by_rows
+
+
+def test_nulls_overwrite_and_key_only_tables_load(spark, table_name):
+    load_table(table_name, frame(spark, [(1, "x", 5)]), "k", nulls="overwrite", create=True, written_at=F.lit(1))
+    done = load_table(table_name, frame(spark, [(1, None, None)]), "k", nulls="overwrite", written_at=F.lit(2))
+    assert done.report["rows_rejected"] == 0
+    assert rows(read_live(spark, table_name)) == [(1, None, None)]
+    keys = spark.range(5).select(F.col("id").alias("k"))
+    load_table(table_name + "_keys", keys, "k", nulls="ignore", create=True)
+    assert read_live(spark, table_name + "_keys").count() == 5

@@ -1,11 +1,9 @@
-"""Scratch space and size checks."""
+"""Scratch space."""
 
 import pytest
-from conftest import SF
 from pyspark.sql import functions as F
 
-from catalog.common import table
-from rowloom.session import fits_broadcast, scratch_dir, stage
+from rowloom.session import scratch_dir, stage
 
 
 class Conf:
@@ -42,9 +40,8 @@ def test_cluster_without_shared_folder_is_refused():
         scratch_dir(Session("spark://host:7077"), "x")
     shared = Session("spark://host:7077", **{"spark.checkpoint.dir": "s3a://bucket/scratch/"})
     assert scratch_dir(shared, "x").startswith("s3a://bucket/scratch/x-")
-    local = Session("local[2]")
-    root = scratch_dir(local, "x").rsplit("/", 1)[0]
-    assert scratch_dir(local, "y").startswith(root)
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session("local[2]"), "x")
 
 
 def test_stage_keeps_types_and_fixes_values(spark, tmp_path):
@@ -52,15 +49,3 @@ def test_stage_keeps_types_and_fixes_values(spark, tmp_path):
     staged = stage(rows, "x", f"{tmp_path}/staged")
     assert staged.dtypes == rows.dtypes
     assert sorted(staged.collect()) == sorted(staged.collect())
-
-
-def test_fits_broadcast_follows_the_session_limit(spark):
-    orders = table(spark, SF, "orders")
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    assert fits_broadcast(orders)
-    try:
-        for limit in ("-1", "1KB"):
-            spark.conf.set(name, limit)
-            assert not fits_broadcast(orders)
-    finally:
-        spark.conf.unset(name)

@@ -24,7 +24,7 @@ def upsert(spark, path, name):
     )
     stream_upsert(
         stream, name, "k", f"{path}/progress", "feed",
-        nulls="overwrite", create=True, written_at=F.col("at"),
+        nulls="overwrite", rejects=f"{path}/rejects", create=True, written_at=F.col("at"),
     ).awaitTermination()
 
 
@@ -37,15 +37,25 @@ def test_stream_upsert_late_rows_and_restart(spark, tmp_path, table_name):
     upsert(spark, tmp_path, table_name)
     want[1] = (2, "y", 2)
     assert sorted(tuple(r) for r in read_live(spark, table_name).collect()) == want
-    assert sorted(loads(spark, table_name)) == ["feed-0", "feed-1", "feed-2"]
+    ids = sorted(loads(spark, table_name))
+    assert [i.rsplit("-", 1)[1] for i in ids] == ["0", "1", "2"]
     again = spark.createDataFrame([(2, "y", 2)], "k bigint, v string, at bigint")
-    load_table(table_name, again, "k", nulls="overwrite", written_at=F.col("at"), load_id="feed-2")
+    load_table(table_name, again, "k", nulls="overwrite", written_at=F.col("at"), load_id=ids[2])
     assert sorted(tuple(r) for r in read_live(spark, table_name).collect()) == want
+    rejects = spark.read.parquet(f"{tmp_path}/rejects")
+    assert [(r.k, r.v, r.batch) for r in rejects.collect()] == [(None, "bad", 1)]
+
+
+def test_another_checkpoint_of_the_same_name_adds_rows(spark, tmp_path, table_name):
+    for i, row in enumerate([(1, "x", 1), (2, "y", 1)]):
+        files(spark, f"{tmp_path}/{i}", [[row, (None, "bad", i)]])
+        upsert(spark, f"{tmp_path}/{i}", table_name)
+    assert sorted(tuple(r) for r in read_live(spark, table_name).collect()) == [(1, "x", 1), (2, "y", 1)]
 
 
 def test_stream_upsert_does_not_truncate(spark):
     with pytest.raises(ValueError):
-        stream_upsert(None, "t", "k", "c", "n", nulls="overwrite", truncate=True)
+        stream_upsert(None, "t", "k", "c", "n", nulls="overwrite", rejects="r", truncate=True)
 
 
 def test_stream_lookup_needs_a_stream(spark):
