@@ -92,20 +92,19 @@ def test_expand_first_column_map_keys_and_further_collections(spark):
 
 
 def test_c_insert_script(spark):
-    t = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, `a spaced name` string")
-    got = rows(insert_script(t, "ks.tab tab", ["id"]))
-    assert got == [
-        (
-            0,
-            'BEGIN UNLOGGED BATCH INSERT INTO ks."tab tab" (id,"a spaced name") VALUES (1,\'a\');'
-            'INSERT INTO ks."tab tab" (id,"a spaced name") VALUES (2,\'b\');APPLY BATCH;',
-        )
+    t = spark.createDataFrame([("n1", 2.5, True), ("n2", -1.0, False), ("n3", 0.0, None)], "node string, `Load %` double, up boolean")
+    text = [
+        'INSERT INTO "Fleet 7" (node,"Load %",up) VALUES (\'n1\',2.5,true)',
+        'INSERT INTO "Fleet 7" (node,"Load %",up) VALUES (\'n2\',-1.0,false)',
+        'INSERT INTO "Fleet 7" (node,"Load %") VALUES (\'n3\',0.0)',
     ]
-    logged = rows(insert_script(t, "t", ["id"], batch_size=1, unlogged=False, ttl=60))
-    assert sorted(logged) == [
-        (0, "BEGIN BATCH INSERT INTO t (id,\"a spaced name\") VALUES (1,'a') USING TTL 60;APPLY BATCH;"),
-        (1, "BEGIN BATCH INSERT INTO t (id,\"a spaced name\") VALUES (2,'b') USING TTL 60;APPLY BATCH;"),
+    got = sorted(rows(insert_script(t, "Fleet 7", ["node"], batch_size=2)))
+    assert got == [
+        (0, f"BEGIN UNLOGGED BATCH {text[0]};{text[1]};APPLY BATCH;"),
+        (1, f"BEGIN UNLOGGED BATCH {text[2]};APPLY BATCH;"),
     ]
+    logged = rows(insert_script(t, "Fleet 7", ["node"], batch_size=3, unlogged=False, ttl=90))
+    assert logged == [(0, "BEGIN BATCH " + "".join(f"{x} USING TTL 90;" for x in text) + "APPLY BATCH;")]
 
 
 def test_insert_script_nulls(spark):
@@ -118,33 +117,29 @@ def test_insert_script_nulls(spark):
 
 
 def test_d_align_to_target(spark):
-    names = ["nope", "there1", "not there", "there2", "also not there"]
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
-    t = spark.createDataFrame([(1, 1, 2, 3, 4), (2, 5, 6, 7, 8)], schema)
-    target = T.StructType([T.StructField(n, T.LongType()) for n in ("there1", "there2")])
+    t = spark.sql("SELECT 'p' AS extra, 3 AS Height, DATE '2020-05-06' AS born, 2.0D AS weight, true AS flag")
+    target = T.StructType(
+        [T.StructField("weight", T.DoubleType()), T.StructField("missing", T.StringType()), T.StructField("height", T.LongType())]
+    )
     got = align_to_target(t, target)
-    assert got.columns == ["there1", "there2"] and rows(got) == [(1, 3), (5, 7)]
-    kept = align_to_target(t, target, keep_unknown=True)
-    assert kept.columns == ["there1", "there2", "nope", "not there", "also not there"]
+    assert got.columns == ["weight", "height"] and rows(got) == [(2.0, 3)]
+    assert got.schema["height"].dataType == T.LongType()
+    assert align_to_target(t, target, keep_unknown=True).columns == ["weight", "height", "extra", "born", "flag"]
 
 
 def test_e_normalize_types(spark):
     t = spark.sql(
-        "SELECT 1 AS row, timestamp_millis(1520538054000) AS timestamp, DATE '2018-01-01' AS datestamp,"
-        " timestamp_micros(1520298371938123) AS datestamp2, CAST(1.5 AS FLOAT) AS f,"
-        " CAST(2 AS TINYINT) AS b, CAST(1.25 AS DECIMAL(5,2)) AS d, named_struct('a', 1) AS s,"
-        " CAST('x' AS BINARY) AS bin, array(1) AS l"
+        "SELECT CAST(7 AS SMALLINT) AS legs, TIMESTAMP '1999-12-31 23:59:59.987654' AS seen, DATE '1970-01-03' AS hatched,"
+        " TIMESTAMP_NTZ '2001-02-03 04:05:06.007' AS sold, CAST(0.25 AS FLOAT) AS width,"
+        " CAST(-3.5 AS DECIMAL(8, 3)) AS price, named_struct('x', 'q', 'y', 2) AS spot,"
+        " X'00FF' AS mark, map('k', 1) AS tags"
     )
     n = normalize_types(t)
-    millis = n.select(*[F.unix_millis(c) for c in ("timestamp", "datestamp", "datestamp2")])
-    assert rows(millis) == [(1520538054000, 1514764800000, 1520298371938)]
-    got = n.select("row", "f", "b", "d", "s", "bin", "l").collect()[0]
-    assert tuple(got) == (1, 1.5, 2, Decimal("1.25"), '{"a":1}', bytearray(b"x"), [1])
-    assert [n.schema[c].dataType.simpleString() for c in ("row", "f", "b")] == [
-        "bigint",
-        "double",
-        "bigint",
-    ]
+    millis = n.select(*[F.unix_millis(c) for c in ("seen", "hatched", "sold")])
+    assert rows(millis) == [(946684799987, 2 * 86400000, 981173106007)]
+    got = n.select("legs", "width", "price", "spot", "mark", "tags").first()
+    assert tuple(got) == (7, 0.25, Decimal("-3.500"), '{"x":"q","y":2}', bytearray(b"\x00\xff"), {"k": 1})
+    assert [n.schema[c].dataType.simpleString() for c in ("legs", "width")] == ["bigint", "double"]
 
 
 def test_f_fix_date(spark):
@@ -270,14 +265,14 @@ def test_error_rows_by_type(spark):
 
 
 def test_l_m_project(spark):
-    assert fold_name('"AQuotedMixedCaseItentifier"') == "AQuotedMixedCaseItentifier"
-    assert fold_name("MixedCaseNoQuotes") == "mixedcasenoquotes"
-    assert identifier("MixedCaseNoQuotes") == '"MixedCaseNoQuotes"'
-    assert identifier("plain_1") == "plain_1"
-    t = spark.createDataFrame([(1, 2, 3)], "`Column` int, id int, cust_id int")
-    got = project(t, ('"Column"', "alias"), "ID", ("cust_id", "Customer"))
-    assert got.columns == ["alias", "id", "customer"]
-    assert project(t, F.hash("id", "cust_id").alias("Alias For Token")).columns == ["Alias For Token"]
+    assert fold_name('"Keep This Case"') == "Keep This Case"
+    assert fold_name("FoldThis_2") == "foldthis_2"
+    assert identifier("Needs Quotes") == '"Needs Quotes"'
+    assert identifier("fine_9") == "fine_9"
+    t = spark.createDataFrame([("a", 1.5, None, 4)], "`First` string, ratio double, note string, rank int")
+    got = project(t, "RANK", ('"First"', "lead"), ("ratio", "Share"))
+    assert got.columns == ["rank", "lead", "share"] and rows(got) == [(4, "a", 1.5)]
+    assert project(t, F.concat("First", "rank").alias("Both In One")).columns == ["Both In One"]
 
 
 def test_missing_as_string(spark):
