@@ -301,6 +301,7 @@ def _count_pairs(chunks: DataFrame, answers: DataFrame, uni: Unigrams, buckets:
                     pairs = pack(np.diff(c.h[at], prepend=0)), pack(c.w[at]), pack(c.times[at] * 2 + c.hot[at]), pack(c.w_count[at])
                     out.append((bucket, row["chunk"], *pairs))
         names = ["bucket", "chunk", "h", "w", "times", "counts"]
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_rows(out, names, [pa.int32(), pa.int64(), *[pa.binary()] * 4])])
 
     def add(table: pa.Table) -> pa.Table:
@@ -309,13 +310,14 @@ def _count_pairs(chunks: DataFrame, answers: DataFrame, uni: Unigrams, buckets:
         h = np.concatenate([np.cumsum(unpack(s[1])) for s in sent])
         w, times, w_count = (np.concatenate([unpack(s[i]) for s in sent]) for i in (2, 3, 4))
         hot, times = times % 2 == 1, times // 2
-        order = np.lexsort((w, h))
+        order = np.lexsort((w, h)).astype(np.int32 if len(h) < 1 << 31 else np.int64)
         new = np.r_[True, (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)]
         group = np.cumsum(new) - 1
         total = np.bincount(group, times[order], group[-1] + 1).astype(np.int64)
         answer = np.empty(len(h), np.int64)
         answer[order] = total[group]
         first = order[new]
+        del order, new, group, times
         seen = total > 0
         types_h, types_w, types_c = h[first][seen], w[first][seen], total[seen]
         tally = np.bincount(np.minimum(types_c, GT_MAX + 2), minlength=GT_MAX + 3)
@@ -337,6 +339,7 @@ def _count_pairs(chunks: DataFrame, answers: DataFrame, uni: Unigrams, buckets:
             own = np.unique(at[lo:hi][~hot[lo:hi]])  # its whole histories, in order
             rows.append(("pair_answer", chunk, bucket, pack(answer[lo:hi]), pack(n[own].ravel()), pack(mass[own])))
             lo = hi
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_rows(rows, ANSWER_NAMES, ANSWER_TYPES)])
 
     sent = (
@@ -382,6 +385,7 @@ def _score(chunks: DataFrame, answers: DataFrame, uni: Unigrams, bi: Bigrams, bu
                     names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"],
                 )
             )
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(batches)
 
     schema = f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -400,12 +404,12 @@ def score(
     ``base_score``, ``score``. Rows for which ``held`` holds teach nothing. The model's tables
     stay below ``path`` (default: shared scratch)."""
     spark = docs.sparkSession
-    buckets = partitions(spark)
+    buckets = 2 * partitions(spark)  # of words and pairs; a task holds one at a time
     path = path or scratch(spark, "katz")
     name = f"katz_{uuid.uuid4().hex}"
     id_type = docs.schema[id_col].dataType.simpleString()
     made = _chunked(docs, held, id_col, text_col)
-    made.write.option("path", f"{path}/chunks").bucketBy(buckets, "chunk").saveAsTable(name)
+    made.write.option("path", f"{path}/chunks").bucketBy(partitions(spark), "chunk").saveAsTable(name)
     try:
         chunks = spark.table(name)
         _count_words(chunks, buckets).write.partitionBy("kind").parquet(f"{path}/words")
