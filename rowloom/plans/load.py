@@ -127,8 +127,12 @@ def create_table(
     """Create a keyed table with ``schema``'s columns.
 
     ``buckets`` (default: the session's shuffle partitions) is the parallelism
-    of loads and reads; size it so that a bucket fits one task.
+    of loads and reads; size it so that a bucket fits one task. Key, buckets and
+    merge rule live in the catalog, so outside local trials it must be one that
+    outlives the session.
     """
+    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("keyed tables need a catalog that outlives the session; this one is in memory")
     spec = key_spec(key)
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fields = [*schema.fields, *LOG_FIELDS]
@@ -383,18 +387,24 @@ def compact_table(spark: SparkSession, table: str) -> str:
     """Rewrite all loads as one, without the writes that lost.
 
     The new load is added before the old ones are dropped; reconciling twice
-    changes nothing, so readers see the same rows throughout.
+    changes nothing, so readers see the same rows throughout. Where every row
+    left was written whole, later reads reconcile by rows again.
     """
     old = _attempts(spark, table)
     info = table_info(spark, table)
     log = _log(spark, table, old).drop(LOAD)
+    seen = Observation()
     if info.merge == "rows":
         kept = latest_rows(log, info.key, ties=TIES)
     else:
-        kept = winning_writes(log, info.key, STAMP)
+        values = len(value_schema(spark, table)) - len(info.key.columns)
+        partial = F.size(F.coalesce(F.col(WRITTEN), F.array())) < values
+        kept = winning_writes(log, info.key, STAMP).observe(seen, F.count_if(partial).alias("partial"))
     load_id = f"compact-{uuid.uuid4().hex}"
     _publish(spark, table, kept, _next_attempt(old, load_id))
     _drop_attempts(spark, table, old)
     if loads(spark, table) == [load_id]:
         _set_property(spark, table, _REDUCED_PROPERTY, "true")
+        if info.merge == "cells" and not seen.get["partial"]:
+            _set_property(spark, table, _MERGE_PROPERTY, "rows")  # one whole write for each key
     return load_id

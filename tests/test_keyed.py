@@ -370,3 +370,15 @@ def test_nulls_overwrite_and_key_only_tables_load(spark, table_name):
     keys = spark.range(5).select(F.col("id").alias("k"))
     load_table(table_name + "_keys", keys, "k", nulls="ignore", create=True)
     assert read_live(spark, table_name + "_keys").count() == 5
+
+
+def test_compaction_goes_back_to_whole_rows(spark, table_name):
+    load_table(table_name, frame(spark, [(1, "x", 1), (2, "y", 2)]), "k", nulls="overwrite", create=True, written_at=F.lit(1))
+    load_table(table_name, frame(spark, [(1, None, 7)]), "k", nulls="ignore", written_at=F.lit(2))
+    compact_table(spark, table_name)
+    assert table_info(spark, table_name).merge == "cells"
+    assert rows(read_live(spark, table_name)) == [(1, "x", 7), (2, "y", 2)]
+    load_table(table_name, frame(spark, [(1, "z", None), (3, "w", 3)]), "k", nulls="overwrite", written_at=F.lit(3))
+    compact_table(spark, table_name)
+    assert table_info(spark, table_name).merge == "rows"
+    assert rows(read_live(spark, table_name)) == [(1, "z", None), (2, "y", 2), (3, "w", 3)]
