@@ -40,7 +40,8 @@ SAMPLE_IDS = 4096  # ids of each that train it
 DICTIONARY_BYTES = 1 << 16
 BLOCK_BYTES = 1 << 22
 BLOCK_DOCS = 1024
-KNOWN_PIECES = 200_000  # pieces a worker remembers
+KNOWN_PIECES = 200_000  # pieces a worker remembers for good
+RECENT_PIECES = 50_000  # and for a while
 
 
 class PieceEncoder:
@@ -52,31 +53,42 @@ class PieceEncoder:
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # the first pieces seen, so the common ones
+        self.recent: dict[bytes, bytes] = {}  # later ones, forgotten now and then
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each UTF-8 text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        out: list[bytes | None] = []
-        waiting: list[tuple[int, list[bytes]]] = []
+        get, recent = self.known.get, self.recent.get
+        out: list[list[bytes | None]] = []
+        gaps: list[tuple[list[bytes | None], list[bytes], list[int]]] = []
         missing: set[bytes] = set()
-        get = self.known.get
         for raw in texts:
             pieces = raw.split()
             ids = list(map(get, pieces))
+            out.append(ids)
             if None in ids:
-                missing.update(p for p, i in zip(pieces, ids) if i is None)
-                waiting.append((len(out), pieces))
-                out.append(None)
-            else:
-                out.append(b"".join(ids))
-        self._learn(list(missing))
-        for at, pieces in waiting:
-            out[at] = b"".join(map(self.known.__getitem__, pieces))
-        return out
-
-    def _learn(self, pieces: list[bytes], step: int = 4096) -> None:
+                at = [k for k, i in enumerate(ids) if i is None]
+                for k in at:
+                    ids[k] = recent(pieces[k])
+                    if ids[k] is None:
+                        missing.add(pieces[k])
+                gaps.append((ids, pieces, at))
+        found = self._encoded(list(missing))
+        for ids, pieces, at in gaps:
+            for k in at:
+                if ids[k] is None:
+                    ids[k] = found[pieces[k]]
+        room = KNOWN_PIECES - len(self.known)
+        if room >= len(found):
+            self.known.update(found)
+        else:
+            if len(self.recent) > RECENT_PIECES:
+                self.recent.clear()
+            self.recent.update(found)
+        return [b"".join(ids) for ids in out]
+
+    def _encoded(self, pieces: list[bytes], step: int = 4096) -> dict[bytes, bytes]:
+        out = {}
         for lo in range(0, len(pieces), step):
             some = pieces[lo : lo + step]
             texts = [p.decode() for p in some]
@@ -88,7 +100,8 @@ class PieceEncoder:
             cuts = np.searchsorted(at, starts, "left").tolist() + [len(at)]
             data = np.asarray(found.ids, "<u4").tobytes()
             for piece, i, j in zip(some, cuts, cuts[1:]):
-                self.known[piece] = data[4 * i : 4 * j]
+                out[piece] = data[4 * i : 4 * j]
+        return out
 
 
 @lru_cache(maxsize=2)
