@@ -395,6 +395,21 @@ def insert_script_(spark: SparkSession, d: str) -> DataFrame:
     return insert_script(orders, "shop.Order Log", ["o_orderkey"], ttl=3600, timestamp=at)
 
 
+@query(
+    "insert_script_rejects",
+    f"""WITH {_PATCHY_ORDERS}
+        SELECT o_orderkey, o_custkey, items, priority, CAST(1 AS BIGINT) AS _err_count,
+               'null key: ' || text AS _err_desc, CAST(NULL AS VARCHAR) AS _err_fields,
+               'ERR_INSERT01' AS _err_code
+        FROM shown WHERE o_custkey IS NULL""",
+)
+def insert_script_rejects(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark, "rejects")
+    key = ("o_custkey", "o_orderkey")
+    insert_script(patchy_orders(spark, d), "shop.orders", ["o_orderkey"], key=key, rejects_path=path)
+    return spark.read.parquet(path)
+
+
 @query(
     "stream_lookup",
     "SELECT o.* FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey",

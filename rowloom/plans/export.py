@@ -22,6 +22,7 @@ from rowloom.operators.validate import (
     null_key_problem,
     rejected,
 )
+from rowloom.session import stage
 
 # Fixed value: default write buffer in MB.
 BUFFER_MB = 16
@@ -156,11 +157,14 @@ def insert_script(
     nulls: str = "ignore",
     key: KeySpec | str | Sequence | None = None,
     staging: str | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """One script per batch: ``batch_id`` and the framed ``script`` text.
 
-    With a ``key``, rows with a null in it and rows holding nothing but a
-    single-column key are left out, as they cannot be inserted. A group holds at most ``batch_size`` statements. Write it out with
+    With a ``key``, rows with a null in it, and where nulls are left out rows
+    holding nothing but a single-column key, cannot be inserted: they are
+    written with their errors to ``rejects_path``. A group holds at most
+    ``batch_size`` statements. Write it out with
     ``.select("script").write.text(path)``.
     """
     if nulls not in ("ignore", "overwrite"):
@@ -168,8 +172,12 @@ def insert_script(
     if key is not None:
         spec = key_spec(key)
         spec.require_in(rows)
-        checks = [check(rows, spec, rows.columns) for check in (null_key_problem, empty_row_problem)]
-        rows = accepted(flag(rows, checks))
+        if rejects_path is None:
+            raise ValueError("rows without a key need a place: give rejects_path")
+        problems = [null_key_problem] + [empty_row_problem] * (nulls == "ignore")
+        flagged = stage(flag(rows, [check(rows, spec, rows.columns) for check in problems]), "checked")
+        rejected(flagged).write.mode("overwrite").parquet(rejects_path)
+        rows = accepted(flagged)
     numbered = batch_rows(rows, order_by, batch_size, staging)
     statement = insert_statement(numbered, table, ttl, timestamp, nulls, rows.columns)
     entry = F.struct("batch_pos", statement.alias("statement"))

@@ -16,15 +16,16 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from urllib.parse import unquote
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.cells import EXPIRES_AT, WRITE_TIME, WRITTEN, expiry_micros
+from rowloom.functions.cells import EXPIRES_AT, WRITE_TIME, WRITTEN, expiry, expiry_micros
+from rowloom.functions.text import row_text
 from rowloom.functions.types import col, quoted, row_hash, storage_type
 from rowloom.keys import KeySpec, key_spec
 from rowloom.operators.project import align_to_target, missing_columns
@@ -44,7 +45,6 @@ from rowloom.operators.validate import (
     rejected,
     report_counters,
 )
-from rowloom.functions.text import row_text
 from rowloom.session import stage
 
 SEQ, TIE, LOAD = "_seq", "_tie", "_load"
@@ -290,7 +290,7 @@ def load_table(
     good = accepted(
         flagged.observe(seen, *report_counters(F.col(ERR_CODE).isNotNull()))
     )
-    good = good.withColumn(EXPIRES_AT, F.timestamp_micros(F.when(F.col(_TTL_OK) > 0, expiry_micros(F.col(WRITE_TIME), F.col(_TTL_OK)))))
+    good = good.withColumn(EXPIRES_AT, expiry(F.col(WRITE_TIME), F.col(_TTL_OK)))
     stored = [f for f in LOG_FIELDS[:4] if f.name != TIE]
     log = align_to_target(good, T.StructType([*target, *stored]))
     log = log.withColumn(TIE, row_hash(log, written))

@@ -243,9 +243,12 @@ def test_bulk_export_of_unique_rows_shuffles_once(spark):
     assert once.where("v IS NOT NULL").count() == 0 and once.count() == 100
 
 
-def test_insert_script_leaves_out_bad_keys(spark):
+def test_insert_script_keeps_bad_keys_apart(spark, tmp_path):
     t = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id int, v string")
-    got = rows(insert_script(t, "t", ["id"], key="id"))
+    with pytest.raises(ValueError):
+        insert_script(t, "t", ["id"], key="id")
+    got = rows(insert_script(t, "t", ["id"], key="id", rejects_path=f"{tmp_path}/bad"))
+    assert spark.read.parquet(f"{tmp_path}/bad").count() == t.count() - 1
     assert got == [(0, "BEGIN UNLOGGED BATCH INSERT INTO t (id,v) VALUES (1,'a');APPLY BATCH;")]
 
 
