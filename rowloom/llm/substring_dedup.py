@@ -247,7 +247,8 @@ def repeated_spans(
 
     place = F.struct("id", "tie", "lo", "hi")
     each = staged(hits.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(place).alias("copy")), "distinct")
-    several = each.groupBy("a").agg(F.count("*").alias("k")).filter("k > 1")
+    # written, as the plans to come split a hot anchor only if both sides of a join are shuffled
+    several = staged(each.groupBy("a").agg(F.count("*").alias("k")).filter("k > 1"), "several")
     wanted = each.join(several, "a").select("a", "c", (F.col("k") > group_limit).alias("large"), "copy.*")
     bodies = staged(_bodies(keyed, wanted, window), "bodies")
     marks = _by_suffix_array(bodies.filter("not large"), window, shard_bytes)
@@ -260,7 +261,7 @@ def repeated_spans(
     twice = each.filter("n > 1").select("a", "c")
     full = hits.join(twice, ["a", "c"]).select("id", "tie", F.array(whole).alias("spans"))
     part = F.zip_with("starts", "stops", lambda s, e: F.struct((F.col("lo") + s).alias("start"), (F.col("lo") + e).alias("stop")))
-    single = each.filter("n = 1").select("a", "c").join(marks, ["a", "c"])
+    single = staged(each.filter("n = 1").select("a", "c").join(marks, ["a", "c"]), "single")
     some = hits.join(single, ["a", "c"]).select("id", "tie", part.alias("spans"))
     return full.union(some).groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
