@@ -16,11 +16,9 @@ of the bits outside its segment, cut into ``d + 1`` parts, one part must be equa
 on under (variant, part, value). Members there are compared in blocks. Classes are joined by
 alternating star steps over link tables in shared scratch. Nothing is collected.
 
-Wide fingerprints. 64 bits and four of them tell copies with few changes. For a similarity of
-0.8, ``WIDE`` takes 128 bits (XXH3) of five-word shingles and verifies up to 19 differing
-bits, where the angle between shingle sets means a Jaccard similarity of 0.8. Its six
-segments find all pairs up to 11 bits and most beyond: 19 bits exactly would need ten
-segments of 13 bits, too short to be keys.
+Near copies. A fingerprint estimates similarity and cannot tell 0.8 from 0.75, so
+``one_of_each`` counts: its classes are those of ``set_join``, exact at a Jaccard similarity
+of 0.8 of five-word shingles, joined by the same star steps.
 
 Edge cases: null and empty texts have fingerprint zero, linked like any other; fewer words
 than a shingle make one shingle of what there is; repeated rows fall into one class; null
@@ -38,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm import set_join
 from rowloom.llm.common import fresh, partitions, quoted, staged, text_bytes
 
 SEED = 42  # fixed value of the hash
@@ -72,7 +71,7 @@ class Plan:
 
 
 NARROW = Plan()
-WIDE = Plan(shingle=5, words=2, bits=19, n_segments=6)
+NEAR_COPY = 5  # words of a shingle of near copies
 
 
 def fingerprint(raw: bytes, plan: Plan = NARROW) -> bytes:
@@ -325,12 +324,16 @@ def near_duplicates(
 
 
 def one_of_each(
-    docs: DataFrame, plan: Plan = WIDE, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = NEAR_COPY, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the least (id, text hash), once."""
-    found = staged(signatures(docs, plan, id_col=id_col, text_col=text_col), "signatures")
+    """The rows of ``docs`` that stay: of each class of similar texts the least (id, text
+    hash), once."""
+    columns = {"id_col": id_col, "text_col": text_col}
+    found = staged(set_join.sets(docs, shingle, **columns), "sets")
+    roots = staged(set_join.similar_classes(docs, found, shingle, components, **columns), "classes")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "tie")
-    own = found.groupBy("fp").agg(F.min(rank).alias("first")).join(_classes(found, plan), "fp")
+    own = found.groupBy("key").agg(F.min(rank).alias("first")).join(roots, F.col("key") == F.col("node"), "left")
+    own = own.select(F.coalesce("root", "key").alias("root"), "first")
     first = own.groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie")
     )
