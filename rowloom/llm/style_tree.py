@@ -78,13 +78,20 @@ NOISE_WORDS = frozenset(
     subscription taboola tags toolbar topbar widget widgets""".split()
 )
 HEAD_WORDS = frozenset("header masthead".split())
+# Words of a class that only say where such a part stands or how it is built.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box container content global inner item items left list main outer page primary right secondary section site slot top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[A-Za-z][^>]*(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+READ = frozenset("class id role itemprop hidden".split())
+SIZES = re.compile(r"\d+(?:x\d+)*")
 WORDS = re.compile(r"[a-z]+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -98,17 +105,20 @@ def _hash(*parts: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "label", "path", "noise", "main", "children")
+    __slots__ = ("tag", "label", "path", "noise", "main", "marks", "children")
 
-    def __init__(self, tag, label, path, noise, main):
-        self.tag, self.label, self.path, self.noise, self.main = tag, label, path, noise, main
+    def __init__(self, tag, label, path, noise, main, marks=()):
+        self.tag, self.label, self.path, self.noise, self.main, self.marks = tag, label, path, noise, main, marks
         self.children: list[str] = []
 
 
 class Page:
     """A page's text blocks, (path, text, inside main) each, and its block elements.
 
-    A path is the tuple of hashes of the nodes from the root down.
+    A path is the tuple of hashes of the nodes from the root down. Elements that only a name,
+    a role or ``form`` tells to be no article are marked and read; what stands under a mark is
+    left out at the end, unless no article or main element has text elsewhere and the marked
+    element holds one, or, where there is none at all, most of the text.
     """
 
     def __init__(self, source: str):
@@ -116,9 +126,12 @@ class Page:
         self.stack = [root]
         self.elements = [root]
         self.blocks: list[tuple[tuple[int, ...], str, bool]] = []
+        self.marks: list[tuple[int, ...]] = []  # of each block
+        self.holders: list[bool] = []  # of each mark: whether an article or main is inside
         self.pieces: list[str] = []
         self._read(source)
         self._flush()
+        self._leave_marked()
         if any(b[2] for b in self.blocks):
             self.blocks = [b for b in self.blocks if b[2]]
 
@@ -143,12 +156,27 @@ class Page:
                 elif tag == "plaintext":
                     break
 
+    def _leave_marked(self) -> None:
+        freed: set[int] = set()
+        if self.holders and not any(b[2] and not m for b, m in zip(self.blocks, self.marks)):
+            held = [0] * len(self.holders)
+            for block, marks in zip(self.blocks, self.marks):
+                for mark in marks:
+                    held[mark] += len(block[1])
+            freed = {i for i, holds in enumerate(self.holders) if holds and held[i]}
+            if not freed:
+                total = sum(len(b[1]) for b in self.blocks)
+                freed = {i for i, n in enumerate(held) if 2 * n > total}
+        self.blocks = [b for b, marks in zip(self.blocks, self.marks) if freed.issuperset(marks)]
+        self.elements = [e for e in self.elements if freed.issuperset(e.marks)]
+
     def _flush(self) -> None:
         if self.pieces:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             if text:
                 top = self.stack[-1]
                 self.blocks.append((top.path, text, top.main))
+                self.marks.append(top.marks)
             self.pieces = []
 
     def _pop_to(self, at: int) -> None:
@@ -163,8 +191,11 @@ class Page:
                 self._flush()
             return
         if tag in VOID or tag in INLINE:
-            if not (found := self._named(attributes)) or tag in VOID or not self._is_noise(tag, found, True):
+            if not (found := self._named(attributes)) or tag in VOID:
+                return
+            if not self._is_noise(tag, found, True) and not self._is_marked(tag, found, True):
                 return
+            self._flush()
         else:
             found = self._named(attributes)
             if tag in ENDS_P or tag == "body":
@@ -175,12 +206,21 @@ class Page:
                 self._end(*IMPLIED[tag])
             self._flush()
         above = self.stack[-1]
-        main = above.main or tag in ("article", "main") or found.get("role") == "main" or found.get("itemprop") == "articleBody"
+        noise = above.noise or self._is_noise(tag, found, above.main)
+        marks = above.marks
+        opens = tag in ("article", "main") or found.get("role") == "main" or found.get("itemprop") == "articlebody"
+        main = above.main or opens
+        if not noise:
+            if opens:
+                for mark in marks:
+                    self.holders[mark] = True
+            if self._is_marked(tag, found, above.main):
+                marks = (*marks, len(self.holders))
+                self.holders.append(False)
         label = " ".join([tag, *sorted(set(found.get("class", "").split())), "#" + found.get("id", "")])
         label = re.sub(r"\d+", "0", label)
         above.children.append(label)
-        noise = above.noise or self._is_noise(tag, found, above.main)
-        made = Element(tag, label, (*above.path, _hash(str(above.path[-1]), label)), noise, main)
+        made = Element(tag, label, (*above.path, _hash(str(above.path[-1]), label)), noise, main, marks)
         if not noise:
             self.elements.append(made)
         self.stack.append(made)
@@ -210,16 +250,32 @@ class Page:
     def _named(attributes: str) -> dict[str, str]:
         if not attributes or "=" not in attributes and "hidden" not in attributes:
             return {}
-        return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)}
+        found: dict[str, str] = {}
+        for m in ATTRIBUTE.finditer(attributes):
+            if (name := m[1].lower()) in READ:
+                found.setdefault(name, html.unescape(m[2] or m[3] or m[4] or "").lower())
+        return found
 
     @staticmethod
     def _is_noise(tag: str, found: dict[str, str], in_main: bool) -> bool:
-        if tag in NOISE_TAGS or found.get("role") in NOISE_ROLES or "hidden" in found:
+        """What is no article wherever it stands."""
+        return tag in NOISE_TAGS and tag != "form" or "hidden" in found or tag == "header" and not in_main
+
+    @staticmethod
+    def _is_marked(tag: str, found: dict[str, str], in_main: bool) -> bool:
+        """What its name tells to be no article: a whole class or id made of such words."""
+        classes = found.get("class", "").split()
+        if tag == "form" or found.get("role") in NOISE_ROLES:
             return True
         if tag in ("html", "body", "main", "article"):
-            return bool({"comment", "comments"} & set(found.get("class", "").split()))
-        words = set(WORDS.findall(found.get("class", "") + " " + found.get("id", "")))
-        return bool(words & NOISE_WORDS) or not in_main and (tag == "header" or bool(words & HEAD_WORDS))
+            return bool({"comment", "comments"} & set(classes))
+        names = NOISE_WORDS if in_main else NOISE_WORDS | HEAD_WORDS
+        for name in classes:
+            words = set(WORDS.findall(SIZES.sub(" ", name)))
+            if words & names and words <= names | PLAIN_WORDS:
+                return True
+        words = set(WORDS.findall(found.get("id", "")))
+        return tag not in HEADINGS and bool(words) and words <= names
 
     def text(self, low: set[int] | None = None) -> str:
         """The main text: blocks under no low branch, in page order."""

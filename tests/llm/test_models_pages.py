@@ -203,6 +203,23 @@ def test_main_text_of_written_pages(source, text):
     assert style_tree.Page(source).text() == text
 
 
+LOOSE = [
+    ("<div style='overflow:hidden'><p>a</p></div><p><a href='/hidden-gems'>b</a> <a href=/x-hidden title=\"is hidden\">c</a></p>", "a b c"),
+    ("<div class='layout with-sidebar'><article><p>a</p></article><div class='sidebar'>q</div></div>", "a"),
+    ("<div class='no-sidebar'><p>a</p></div><div class='post-with-comments'>b<div class='comments'>q</div></div>", "a b"),
+    ("<article><h2 id='related-work'>R</h2><section id='search-results'>a</section><p id='legal-history'>b</p><h2 id='search'>S</h2></article>", "R a b S"),
+    ("<div class='widget'><article>a<div class='share'>q</div></article></div><div class='menu'>q</div>", "a"),
+    ("<form id='search'><div>the whole page of a form</div></form><p>b</p>", "the whole page of a form b"),
+    ("<article>a</article><div class='comments'>more words than the article has</div>", "a"),
+    ("<p>some own text</p><div class='ad ad-300x250'>q</div><div class='site-footer'>q</div><span class='share'>q</span>", "some own text"),
+]
+
+
+@pytest.mark.parametrize("source, text", LOOSE)
+def test_names_and_values_cut_no_article(source, text):
+    assert style_tree.Page(source).text() == text
+
+
 def test_articles_of_the_tables(spark):
     import html
 
