@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, katz, langid, mixing, quality, simhash, style_tree, substring_dedup, token_output, toxicity
+from rowloom.llm import decontaminate, katz, langid, mixing, packing, quality, simhash, style_tree, substring_dedup, token_output, toxicity
 from rowloom.llm.common import bounded, fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -122,6 +122,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of at most 4096 tokens."""
+    pieces = packing.cut(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
+    return packing.pack(pieces).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -133,6 +140,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op6_katz": op6_katz,
     "op3_substring_dedup": op3_substring_dedup,
+    "op13_packing": op13_packing,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
