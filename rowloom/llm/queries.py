@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, katz, langid, mixing, packing, quality, simhash, style_tree, substring_dedup, token_output, toxicity
+from rowloom.llm import decontaminate, katz, langid, mixing, packing, quality, repair, simhash, style_tree, substring_dedup, token_output, toxicity
 from rowloom.llm.common import bounded, fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -129,6 +129,34 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with dropped, emptied, cut, repeated and retagged turns, by crc32."""
+    named = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(name.cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))
+    kept = named.withColumn("kind", kind).filter("kind <> 0")
+    return kept.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+@bounded
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, and its cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    reports, pieces = repair.repair(damaged(conversations))
+    mended = reports.join(repair.digests(pieces).withColumnRenamed("id", "own"), F.col("id").eqNullSafe(F.col("own")))
+    all_ids = conversations.select("conv_id").distinct()
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return all_ids.join(mended, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", none).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -140,6 +168,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op6_katz": op6_katz,
     "op3_substring_dedup": op3_substring_dedup,
+    "op11_repair": op11_repair,
     "op13_packing": op13_packing,
 }
 ORACLES: dict[str, str] = {
