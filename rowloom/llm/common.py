@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 # Python pattern. ``bytes.split()`` and ``bytes.lower()`` follow the same ASCII rules.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_BELOW: ContextVar[str | None] = ContextVar("scratch below", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +28,8 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     Only a local session that does not set it (as in tests) gets a temporary folder.
     """
+    if _BELOW.get():
+        return f"{_BELOW.get()}/{label}-{uuid.uuid4().hex}"
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local["):
@@ -32,6 +39,25 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_for(spark: SparkSession, label: str) -> Iterator[None]:
+    """Inside, scratch paths lie below one folder, which goes at the end: all results that
+    read it must be written by then."""
+    path = scratch(spark, label)
+    token = _BELOW.set(path)
+    try:
+        yield
+    finally:
+        _BELOW.reset(token)
+        discard(spark, path)
+
+
 def bounded(fn):
     """A query or stage whose session sends Python workers a few megabytes at a time, not
     thousands of rows: documents differ too much in length for a count of rows."""

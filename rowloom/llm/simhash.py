@@ -13,16 +13,18 @@ smallest member of their component instead of emitting all pairs: at most one li
 
 Large groups. A group beyond ``group_limit`` fingerprints is not compared but indexed again:
 of the bits outside its segment, cut into ``d + 1`` parts, one part must be equal, so it goes
-on under (variant, part, value). Members there are compared in blocks. Classes are joined by
-alternating star steps over link tables in shared scratch. Nothing is collected.
-
-Near copies. A fingerprint estimates similarity and cannot tell 0.8 from 0.75, so
-``one_of_each`` counts: its classes are those of ``set_join``, exact at a Jaccard similarity
-of 0.8 of five-word shingles, joined by the same star steps.
-
-Edge cases: null and empty texts have fingerprint zero, linked like any other; fewer words
-than a shingle make one shingle of what there is; repeated rows fall into one class; null
-ids never name a class unless it has no other id; an empty table gives an empty result.
+on under (variant, part, value). A group that is still beyond the limit there is dealt into
+blocks by hash, and every pair of blocks is a group of its own, so no task holds more than
+about two blocks. Classes are joined by alternating star steps over link tables in shared
+scratch. Nothing is collected.
+
+``one_of_each`` keeps one document of each class.
+
+Edge cases: null and empty texts have fingerprint zero, linked like any other; very long
+texts are read whole, some thousand shingles at a time; fewer words than a shingle make one
+shingle of what there is; repeated rows fall into one class; null ids never name a class
+unless it has no other id; other columns are ignored (``one_of_each`` returns them as they
+are, whatever their names); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,33 +38,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm import set_join
-from rowloom.llm.common import fresh, partitions, quoted, staged, text_bytes
+from rowloom.llm.common import discard, fresh, partitions, quoted, scratch, staged, text_bytes
 
 SEED = 42  # fixed value of the hash
+SIZE = 64  # bits of a fingerprint
 CHUNK = 1 << 16  # shingles summed at once
 BLOCK = 512  # rows of a comparison block
 
 
 @dataclass(frozen=True)
 class Plan:
-    """How to fingerprint and compare: words of a shingle, 64-bit words of a fingerprint,
-    bits that may differ, segments, and the largest group compared at once."""
+    """How to fingerprint and compare: words of a shingle, bits that may differ, segments, and
+    the largest group compared at once."""
 
     shingle: int = 4
-    words: int = 1
     bits: int = 4
     n_segments: int = 3
     group_limit: int = 4096
 
-    @property
-    def size(self) -> int:
-        return 64 * self.words
-
     @property
     def segments(self) -> list[tuple[int, int]]:
         """(first bit, bits) of each segment."""
-        cuts = [self.size * i // self.n_segments for i in range(self.n_segments + 1)]
+        cuts = [SIZE * i // self.n_segments for i in range(self.n_segments + 1)]
         return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
     @property
@@ -71,26 +68,25 @@ class Plan:
 
 
 NARROW = Plan()
-NEAR_COPY = 5  # words of a shingle of near copies
 
 
 def fingerprint(raw: bytes, plan: Plan = NARROW) -> bytes:
     """The fingerprint of a UTF-8 text, highest bit first."""
     words = raw.lower().split()
     if not words:
-        return bytes(8 * plan.words)
+        return bytes(SIZE // 8)
     joined = b" ".join(words)
     n = max(len(words) - plan.shingle + 1, 1)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(size)
     starts = (ends - size)[:n].tolist()
     stops = (ends[-n:] - 1).tolist()
-    digest = xxhash.xxh64_digest if plan.words == 1 else xxhash.xxh3_128_digest
-    counts = np.zeros(plan.size, np.int64)
+    digest = xxhash.xxh64_digest
+    counts = np.zeros(SIZE, np.int64)
     for lo in range(0, n, CHUNK):
         spans = zip(starts[lo : lo + CHUNK], stops[lo : lo + CHUNK])
         hashes = np.frombuffer(b"".join([digest(joined[i:j], SEED) for i, j in spans]), np.uint8)
-        counts += np.unpackbits(hashes.reshape(-1, 8 * plan.words), axis=1).sum(0, dtype=np.int64)
+        counts += np.unpackbits(hashes.reshape(-1, SIZE // 8), axis=1).sum(0, dtype=np.int64)
     return np.packbits(counts * 2 > n).tobytes()
 
 
@@ -109,14 +105,14 @@ def signatures(
     return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp binary, tie long")
 
 
-def _matrix(column: pa.Array, plan: Plan) -> np.ndarray:
-    """Fingerprints as a matrix of 64-bit words, a row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, plan.words).astype(np.uint64)
+def _numbers(column: pa.Array) -> np.ndarray:
+    """Fingerprints as unsigned numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64)
 
 
 def _column(fps: np.ndarray) -> pa.Array:
     raw = np.ascontiguousarray(fps.astype(">u8"))
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * fps.shape[1]), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIZE // 8), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -132,7 +128,7 @@ def _number(bits: np.ndarray) -> np.ndarray:
 def variants(fps: np.ndarray, plan: Plan) -> np.ndarray:
     """Keys of all one-wildcard variants: a row per bit left out, a column per fingerprint.
     A key holds the bit's number above the segment with that bit cleared."""
-    bits, keys = _bits(fps), np.empty((plan.size, len(fps)), np.int64)
+    bits, keys = _bits(fps), np.empty((SIZE, len(fps)), np.int64)
     for first, width in plan.segments:
         value = _number(bits[:, first : first + width])
         for b in range(width):
@@ -150,7 +146,7 @@ def parts_outside(fps: np.ndarray, bit: int, plan: Plan) -> list[np.ndarray]:
 
 
 def _close(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) <= plan.bits
+    return np.bitwise_count(a ^ b) <= plan.bits
 
 
 def group_links(fps: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +178,7 @@ def sorted_links(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Links (u, v, -1) within equal keys of batches sorted by key; members of a group of more
     than ``limit`` come out uncompared, as (fp, fp, key)."""
-    held_k, held_f = np.empty(0, np.int64), np.empty((0, plan.words), np.uint64)
+    held_k, held_f = np.empty(0, np.int64), np.empty(0, np.uint64)
     passing: int | None = None  # the key of a large group whose members go through
     few = 32 if limit is None else min(32, limit)
 
@@ -239,20 +235,20 @@ def links(fps: DataFrame, plan: Plan = NARROW) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 column = batch.column(0).slice(lo, 1024)
-                keys = variants(_matrix(column, plan), plan)
-                own = column.take(pa.array(np.tile(np.arange(len(column)), plan.size)))
+                keys = variants(_numbers(column), plan)
+                own = column.take(pa.array(np.tile(np.arange(len(column)), SIZE)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), own], names=["key", "fp"])
 
     def compare(limit: int | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sorted_ = ((b.column(0).to_numpy(), _matrix(b.column(1), plan)) for b in batches)
+            sorted_ = ((b.column(0).to_numpy(), _numbers(b.column(1))) for b in batches)
             return _out(sorted_links(sorted_, plan, limit))
 
         return run
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_keys, all_fps = batch.column(0).to_numpy(), _matrix(batch.column(1), plan)
+            all_keys, all_fps = batch.column(0).to_numpy(), _numbers(batch.column(1))
             for key in np.unique(all_keys):
                 own = all_fps[all_keys == key]
                 for i, values in enumerate(parts_outside(own, int(key) >> plan.width, plan)):
@@ -274,10 +270,24 @@ def links(fps: DataFrame, plan: Plan = NARROW) -> DataFrame:
     if not large.isEmpty():
         again = large.select("key", F.col("u").alias("fp")).mapInArrow(split, "key long, part int, value long, fp binary")
         keyed = again.select(F.xxhash64("key", "part", "value").alias("key"), "fp").distinct()
-        found = found.union(dealt(keyed).mapInArrow(compare(None), schema))
+        sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
+        # a block takes about half the limit; a group within the limit is one block
+        blocks = F.when(F.col("n") > plan.group_limit, F.ceil(2 * F.col("n") / plan.group_limit)).otherwise(1)
+        sizes = staged(sizes.select(F.col("key").alias("group"), blocks.cast("int").alias("blocks")), "sizes")
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        paired = keyed.join(sizes, F.col("key") == F.col("group")).select("key", "fp", own.alias("own"), other.alias("other"))
+        pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+        found = found.union(dealt(paired.select(pair.alias("key"), "fp")).mapInArrow(compare(None), schema))
     return found.select("u", "v").distinct()
 
 
+def _step(links: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch(links.sparkSession, "star")
+    links.write.parquet(path)
+    return links.sparkSession.read.schema(links.schema).parquet(path), path
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the least node of its component) of every node with an edge.
 
@@ -285,8 +295,8 @@ def components(edges: DataFrame) -> DataFrame:
     to the least of them. Minima are aggregates, so a node with very many links is no hot
     group; each step is written to shared scratch.
     """
-    pairs = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
-    before = None
+    spark, before = edges.sparkSession, None
+    pairs, path = _step(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
         state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
@@ -298,7 +308,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.filter("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = staged(small.union(down.select("u", "m")).filter("u <> v").distinct(), "star")
+        old = path
+        pairs, path = _step(small.union(down.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        discard(spark, old)
     roots = pairs.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
@@ -315,28 +327,24 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: ``id``, ``fingerprint`` (hexadecimal), ``component_id`` (least id)."""
     found = staged(signatures(docs, plan, id_col=id_col, text_col=text_col).select("id", "fp"), "signatures")
-    least = found.groupBy("fp").agg(F.min("id").alias("least")).join(_classes(found, plan), "fp")
-    named = staged(
-        least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id"),
-        "classes",
-    )
-    return found.join(named, "fp").select("id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    own = found.groupBy("fp").agg(F.min("id").alias("least"))
+    # written, so that both sides of each join are shuffled rows and a hot side can be split
+    least = staged(own.join(_classes(found, plan), "fp"), "least")
+    named = staged(least.groupBy("root").agg(F.min("least").alias("component_id")), "named")
+    classes = staged(least.join(named, "root").select("fp", "component_id"), "classes")
+    return found.join(classes, "fp").select("id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(
-    docs: DataFrame, shingle: int = NEAR_COPY, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, plan: Plan = NARROW, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class of similar texts the least (id, text
-    hash), once."""
-    columns = {"id_col": id_col, "text_col": text_col}
-    found = staged(set_join.sets(docs, shingle, **columns), "sets")
-    roots = staged(set_join.similar_classes(docs, found, shingle, components, **columns), "classes")
+    """The rows of ``docs`` that stay: of each class the least (id, text hash; null ids last),
+    once."""
+    found = staged(signatures(docs, plan, id_col=id_col, text_col=text_col), "signatures")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "tie")
-    own = found.groupBy("key").agg(F.min(rank).alias("first")).join(roots, F.col("key") == F.col("node"), "left")
-    own = own.select(F.coalesce("root", "key").alias("root"), "first")
-    first = own.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie")
-    )
+    own = staged(found.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")
+    first = own.join(_classes(found, plan), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    first = first.select(F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"))
     times = found.groupBy("id", "tie").agg(F.count("*").alias("n"))
     same = F.col("first_id").eqNullSafe(F.col("id")) & (F.col("first_tie") == F.col("tie"))
     kept = staged(first.join(times, same).select("id", "tie", "n"), "kept")

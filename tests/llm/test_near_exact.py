@@ -61,57 +61,25 @@ def test_links_join_all_close_fingerprints(spark, limit):
     assert [root.get(f, f) for f in fps] == [fps[r] for r in want]
 
 
-def test_wide_fingerprints_tell_similar_texts(spark):
-    rng = random.Random(7)
-    base = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    near = base[:200] + ["changed"] + base[201:]
-    other = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate((base, near, other))], "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [0, 2]
-
-
-def brute_sets(texts, size=5):
-    words = [t.lower().split() for t in texts]
-    return [{" ".join(w[k : k + size]) for k in range(max(len(w) - size + 1, 1))} for w in words]
+def test_a_family_beyond_the_limit_is_compared_in_blocks(spark):
+    rng = random.Random(9)
+    center = rng.getrandbits(64)
+    fps = {center}
+    while len(fps) < 20_000:
+        fps.add(center ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3))))
+    rows = [(bytearray(f.to_bytes(8, "big")),) for f in fps]
+    table = spark.createDataFrame(rows, "fp binary").repartition(8)
+    pairs = simhash.components(simhash.links(table, simhash.Plan(group_limit=512)))
+    assert {r.n for r in pairs.groupBy("root").count().withColumnRenamed("count", "n").collect()} == {20_000}
 
 
-def brute_near_copies(texts):
-    """The least number of each class of texts whose sets have a similarity of 0.8."""
-    sets, label = brute_sets(texts), list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if label[i] != label[j] and 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
-                a, b = sorted((label[i], label[j]))
-                label = [a if x == b else x for x in label]
-    return sorted(set(label))
-
-
-def test_near_copies_match_brute_force(spark):
-    """Pairs on both sides of 0.8, exactly at it, families, a line all texts share."""
-    rng = random.Random(11)
-    line = " ".join(f"common{i}" for i in range(12))
-    texts = []
-    for k in range(80):
-        base = [f"w{rng.randrange(9000)}" for _ in range(rng.choice([12, 60, 204, 400]))]
-        texts.append(" ".join([*base, line]))
-        for _ in range(rng.choice([1, 1, 6])):
-            own = list(base)
-            for at in rng.sample(range(len(own)), max(len(own) * rng.randrange(1, 6) // 200, 1)):
-                own[at] = f"new{rng.randrange(9000)}"
-            texts.append(" ".join([*own, line]))
-    for cut in (160, 159, 161):  # of 200 shingles: 0.8 exactly, below, above
-        base = [f"x{cut}-{i}" for i in range(204)]
-        texts += [" ".join(base), " ".join(base[: cut + 4])]
-    rng.shuffle(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == brute_near_copies(texts)
-
-
-def test_near_copies_of_the_tables(spark):
+def test_one_document_of_each_class_stays(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
-    table = spark.createDataFrame([(i, d.text) for i, d in enumerate(docs)], "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.one_of_each(table).collect()) == brute_near_copies([d.text or "" for d in docs])
+    roots = brute_classes([brute_fingerprint(d.text) for d in docs], 4)
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = simhash.one_of_each(table)
+    assert kept.columns == table.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [docs[r].doc_id for r in sorted(set(roots))]
 
 
 def test_odd_rows_fall_into_classes(spark, odd_docs, no_docs):
