@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,79 +33,13 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from rowloom.llm.common import partitions, quoted, text_bytes
+from rowloom.llm.pieces import encoder as _encoder
 
-SAMPLE_DOCS = 512  # documents in the dictionary's training sample, about
-SAMPLE_IDS = 4096  # ids of each that train it
+SAMPLE_DOCS = 512  # different documents in the dictionary's training sample, at most
+SAMPLE_IDS = 4096  # ids in a row of each that train it
 DICTIONARY_BYTES = 1 << 16
 BLOCK_BYTES = 1 << 22
 BLOCK_DOCS = 1024
-KNOWN_PIECES = 200_000  # pieces a worker remembers for good
-RECENT_PIECES = 50_000  # and for a while
-
-
-class PieceEncoder:
-    """Encodes texts piece by piece, remembering the ids of pieces seen before.
-
-    A piece is a run without ASCII white space. The tokenizer's own splitting never joins
-    characters across white space, so the ids of a text are those of its pieces in turn.
-    """
-
-    def __init__(self, spec: str):
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.known: dict[bytes, bytes] = {}  # the first pieces seen, so the common ones
-        self.recent: dict[bytes, bytes] = {}  # later ones, forgotten now and then
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """For each UTF-8 text its ids as little-endian unsigned 32-bit integers."""
-        get, recent = self.known.get, self.recent.get
-        out: list[list[bytes | None]] = []
-        gaps: list[tuple[list[bytes | None], list[bytes], list[int]]] = []
-        missing: set[bytes] = set()
-        for raw in texts:
-            pieces = raw.split()
-            ids = list(map(get, pieces))
-            out.append(ids)
-            if None in ids:
-                at = [k for k, i in enumerate(ids) if i is None]
-                for k in at:
-                    ids[k] = recent(pieces[k])
-                    if ids[k] is None:
-                        missing.add(pieces[k])
-                gaps.append((ids, pieces, at))
-        found = self._encoded(list(missing))
-        for ids, pieces, at in gaps:
-            for k in at:
-                if ids[k] is None:
-                    ids[k] = found[pieces[k]]
-        room = KNOWN_PIECES - len(self.known)
-        if room >= len(found):
-            self.known.update(found)
-        else:
-            if len(self.recent) > RECENT_PIECES:
-                self.recent.clear()
-            self.recent.update(found)
-        return [b"".join(ids) for ids in out]
-
-    def _encoded(self, pieces: list[bytes], step: int = 4096) -> dict[bytes, bytes]:
-        out = {}
-        for lo in range(0, len(pieces), step):
-            some = pieces[lo : lo + step]
-            texts = [p.decode() for p in some]
-            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-            starts = np.zeros(len(texts), np.int64)
-            np.cumsum(lengths[:-1] + 1, out=starts[1:])
-            at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
-            cuts = np.searchsorted(at, starts, "left").tolist() + [len(at)]
-            data = np.asarray(found.ids, "<u4").tobytes()
-            for piece, i, j in zip(some, cuts, cuts[1:]):
-                out[piece] = data[4 * i : 4 * j]
-        return out
-
-
-@lru_cache(maxsize=2)
-def _encoder(spec: str) -> PieceEncoder:
-    return PieceEncoder(spec)
 
 
 def dictionary_hash(data: bytes) -> str:
@@ -137,25 +70,24 @@ def _wide(raw: bytes, width: int) -> bytes:
 
 
 def _sample(docs: DataFrame, spec: str, width: int, text_col: str, id_col: str) -> list[bytes]:
-    """Id arrays of about ``SAMPLE_DOCS`` documents, chosen by hash, each cut to ``SAMPLE_IDS``."""
+    """Id arrays of the ``SAMPLE_DOCS`` different documents least in hash order, of each
+    ``SAMPLE_IDS`` ids in a row from a place that the hash picks. Reruns choose alike."""
+    text = text_bytes(text_col)
     total = docs.count()
-    share = max(1, total // SAMPLE_DOCS)
-    chosen = F.pmod(F.xxhash64(quoted(id_col), F.lit("dictionary")), F.lit(share)) == 0
+    rows = docs.select(F.xxhash64(quoted(id_col), text, F.lit("dictionary")).alias("h"), text.alias("text"))
+    # about twice what is needed goes on to be told apart and ordered
+    rows = rows.filter(F.pmod("h", F.lit(max(1, total // (2 * SAMPLE_DOCS)))) == 0)
+    rows = rows.groupBy("h").agg(F.first("text").alias("text")).orderBy("h").limit(SAMPLE_DOCS)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = _encoder(spec).encode([text])[0][: 4 * SAMPLE_IDS]
-                yield pa.RecordBatch.from_pydict({"ids": pa.array([_narrow(ids, width)], pa.binary())})
+            for h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = _encoder(spec).encode([raw])[0]
+                at = 4 * (h % max(1, len(ids) // 4 - SAMPLE_IDS))
+                own = _narrow(ids[at : at + 4 * SAMPLE_IDS], width)
+                yield pa.RecordBatch.from_pydict({"ids": pa.array([own], pa.binary())})
 
-    rows = (
-        docs.filter(chosen)
-        .select(text_bytes(text_col).alias("text"))
-        .mapInArrow(encode, "ids binary")
-        .limit(2 * SAMPLE_DOCS)
-        .collect()
-    )
-    return sorted(bytes(r.ids) for r in rows)
+    return sorted(bytes(r.ids) for r in rows.mapInArrow(encode, "ids binary").collect())
 
 
 def write_tokens(
@@ -245,7 +177,8 @@ def write_tokens(
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     (
         docs.select(quoted(id_col).alias("key"), text_bytes(text_col).alias("text"))
-        .repartitionByRange(parts or partitions(spark), *order)
+        # exact repeats of one row are told apart by the task they come from
+        .repartitionByRange(parts or partitions(spark), *order, F.spark_partition_id())
         .sortWithinPartitions(*order)
         .mapInArrow(blocks, schema)
         .write.parquet(f"{path}/blocks")

@@ -1,15 +1,17 @@
 """Token output by exact round trips; mixing by its SQL, its bounds and its targets."""
 
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from checker import differences, duck
 from conftest import SF
 from tokenizers import Tokenizer
 
-from rowloom.llm import mixing, token_output
+from rowloom.llm import mixing, pieces, token_output
 from rowloom.llm.common import scratch
 from rowloom.llm.queries import TOKENIZER, op1_token_output, op2_mixing
 
@@ -57,12 +59,30 @@ def test_empty_table_gives_no_tokens(spark, no_docs):
     assert token_output.read_tokens(spark, path).count() == 0
 
 
-def test_special_pieces_encode_like_whole_texts():
+def test_pieces_encode_like_whole_texts(monkeypatch):
+    """Every plain character alone and inside words, odd strings, little and much memory."""
     with open(TOKENIZER, encoding="utf-8") as f:
-        encoder = token_output.PieceEncoder(f.read())
-    texts = ["A<|endoftext|>b c", "don't we'll x", "ÀÉ é ́x", "　東京 Σας ΣΑΣ", "x\x0by\x1cz", "a" * 5000]
-    got = [np.frombuffer(b, "<u4").tolist() + [1] for b in encoder.encode([t.encode() for t in texts])]
-    assert got == plain_ids(texts)
+        spec = f.read()
+    plain = [chr(c) for c in range(0x21, 0x250)]
+    texts = ["A<|endoftext|>b c", "don't we'll x", "ÀÉ é ́x", "　東京 Σας ΣΑΣ", "x\x0by\x1cz", "a" * 5000, ""]
+    texts += [f"{c} a{c} {c}b A{c}B 1{c}{c}" for c in plain]
+    rng = random.Random(4)
+    some = [*"abXY'sStT.,!?-12²ª \u0085éÅİſıΣ中\U0001f600\u00ad\x7f", "<|endoftext|>", "'LL", "n't"]
+    texts += ["".join(rng.choices(some, k=rng.randint(0, 30))) for _ in range(2000)]
+    want = plain_ids(texts)
+    for known, recent in ((pieces.KNOWN_BYTES, pieces.RECENT_BYTES), (3000, 2000), (0, 0)):
+        monkeypatch.setattr(pieces, "KNOWN_BYTES", known)
+        monkeypatch.setattr(pieces, "RECENT_BYTES", recent)
+        encoder = pieces.PieceEncoder(spec)
+        for _ in range(2):
+            got = [i for k in range(0, len(texts), 100) for i in encoder.encode([t.encode() for t in texts[k : k + 100]])]
+            assert [np.frombuffer(b, "<u4").tolist() + [1] for b in got] == want
+
+
+def test_other_tokenizers_encode_whole_pieces():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        assert pieces.PieceEncoder(f.read()).plain is None
 
 
 def test_dictionary_of_another_hash_is_refused(spark, no_docs):
