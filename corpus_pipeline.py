@@ -4,6 +4,11 @@
 DataFrame. ``run`` writes each stage's rows as Parquet and gives them to the next. All stages
 but the last return the columns of their input; the last returns one row per document in the
 token files. Toxicity is learned, so no SQL gives the rows.
+
+Edge cases: null and empty texts, null ids, repeated rows, very long texts, extra columns of
+any name and empty tables pass every stage. A null or empty text has fingerprint zero, so one
+such row at most stays after SimHash; it has size zero, so the mix takes none of it. An empty
+table gives empty stages.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.llm import decontaminate, mixing, simhash, token_output, toxicity
-from rowloom.llm.common import bounded, scratch, table
+from rowloom.llm.common import bounded, discard, scratch, scratch_for, table
 from rowloom.llm.queries import TOKENIZER
 
 ORACLE_SQL = None
@@ -26,7 +31,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @bounded
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of five-word-shingle similarity 0.8 or more."""
+    """One document of each SimHash class: four-word shingles, at most four bits apart."""
     return simhash.one_of_each(docs)
 
 
@@ -60,10 +65,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's scratch data and its input go once it is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_for(spark, f"work-{name}"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
