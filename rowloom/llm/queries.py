@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, katz, langid, mixing, packing, quality, repair, simhash, style_tree, substring_dedup, token_output, toxicity
+from rowloom.llm import decontaminate, katz, langid, mixing, packing, prefix_trie, quality, repair, simhash, style_tree, substring_dedup, token_output, toxicity
 from rowloom.llm.common import bounded, fold, scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -157,6 +157,32 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """Every conversation with its first turns replaced by those of the first of its hundred."""
+    heads = F.crc32(F.col("id").cast("string").cast("binary")) % 6
+    firsts = sequences.filter("id % 100 = 0").select(F.col("id").alias("base"), F.slice("turns", 1, 5).alias("shared"))
+    joined = sequences.withColumn("h", heads.cast("int")).join(firsts, F.col("id") - F.col("id") % 100 == F.col("base"), "left")
+    shared = F.coalesce(F.expr("slice(shared, 1, h)"), F.expr("slice(turns, 1, 0)"))
+    return joined.select("id", F.concat(shared, F.expr("slice(turns, h + 1, size(turns))")).alias("turns"))
+
+
+@bounded
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    sequences = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return prefix_trie.trie(rebuilt(sequences)).select(
+        F.col("id").alias("conv_id"),
+        F.col("depth").cast("long").alias("depth"),
+        F.col("parent").alias("parent_conv_id"),
+        F.col("n").alias("n_convs"),
+        F.col("children").alias("n_children"),
+        F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends", none).alias("ends_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -169,9 +195,11 @@ QUERIES = {
     "op6_katz": op6_katz,
     "op3_substring_dedup": op3_substring_dedup,
     "op11_repair": op11_repair,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_packing": op13_packing,
 }
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }

@@ -1,0 +1,85 @@
+"""The prefix trie against its SQL and against a plain trie, with and without bursting."""
+
+import hashlib
+import random
+
+import pytest
+from checker import differences, duck
+from conftest import SF
+from rowloom.llm import prefix_trie
+from rowloom.llm.queries import op12_prefix_trie, rebuilt
+
+
+def test_nodes_match_sql(spark):
+    got = op12_prefix_trie(spark, SF).toArrow()
+    assert differences(got, duck(SF).sql(prefix_trie.ORACLE).to_arrow_table()) == []
+
+
+def brute(conversations):
+    """Nodes of a plain trie of {id: [(role, text), ...]}, sorted."""
+    nodes = {}
+    for i, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(i)
+    out = []
+    for path, members in nodes.items():
+        under = [p for p in nodes if p[: len(path)] == path]
+        leaves = [p for p in under if not any(q[:-1] == p for q in nodes if q)]
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in under if p)
+        ends = sorted(i for i in members if len(conversations[i]) == len(path))
+        sha = hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest() if ends else None
+        children = sum(q[:-1] == path for q in nodes if q)
+        parent = min(nodes[path[:-1]]) if path else None
+        out.append((min(members), len(path), parent, len(members), children, len(leaves), saved, sha))
+    return sorted(out, key=str)
+
+
+def listed(nodes):
+    return sorted((tuple(r[c] for c in ("id", "depth", "parent", "n", "children", "leaves", "saved", "ends")) for r in nodes.collect()), key=str)
+
+
+@pytest.mark.parametrize("limit", [2048, 20, 3, 1])
+def test_bursting_changes_nothing(spark, limit):
+    rng = random.Random(6)
+    talks, rows = {}, []
+    for i in range(150):
+        turns = [("user", "Hello."), ("assistant", "Hi.")][: rng.choice([0, 2, 2, 2])]
+        turns += [(rng.choice(["user", "tool"]), rng.choice(["a", "bb", "cc\U0001f600"])) for _ in range(rng.randint(0, 5))]
+        if i >= 110:  # copies of one conversation
+            turns = [("user", "Same"), ("user", "Same"), ("user", "Same")]
+        if turns:
+            talks[i] = turns
+            rows += [(i, t, *turn) for t, turn in enumerate(turns)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = prefix_trie.trie(prefix_trie.sequences(table), limit=limit)
+    assert listed(got) == brute(talks)
+
+
+def test_odd_rows_make_nodes(spark):
+    rows = [
+        (1, None, "user", "first"),
+        (1, 3, None, None),
+        (1, 3, None, None),
+        (2, None, "user", "first"),
+        (2, 1, "", ""),
+        (None, 1, "user", "no id"),
+        (None, None, None, None),
+        (104, 0, "user", "x" * 200_000),
+        (-7, 0, "user", "negative"),
+    ]
+    extra = (b"k", 1, "w", 2)
+    schema = "conv_id long, turn long, role string, text string, path binary, id int, head string, salt int"
+    table = spark.createDataFrame([r + extra for r in rows], schema)
+    talks = {
+        1: [("user", "first"), ("", ""), ("", "")],
+        2: [("user", "first"), ("", "")],
+        104: [("user", "x" * 200_000)],
+        -7: [("user", "negative")],
+    }
+    for limit in (2048, 1):
+        assert listed(prefix_trie.trie(prefix_trie.sequences(table), limit=limit)) == brute(talks)
+    # turnless ones stay members of the root
+    bare = prefix_trie.sequences(table).selectExpr("id", "slice(turns, 1, 0) turns")
+    assert listed(prefix_trie.trie(bare)) == brute(dict.fromkeys(talks, []))
+    assert {r.id: len(r.turns) for r in rebuilt(prefix_trie.sequences(table)).collect()}.keys() == talks.keys()
+    assert prefix_trie.trie(prefix_trie.sequences(table.limit(0))).count() == 0
