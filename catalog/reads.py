@@ -19,6 +19,7 @@ from rowloom.operators.project import (
     select_distinct,
     where,
 )
+from rowloom.operators.ranges import lookup_as_of, lookup_range
 from rowloom.sources.tables import param_query, select_query
 
 
@@ -118,6 +119,70 @@ def lookup_limit_(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "lookup_range",
+    f"""WITH {_REPEATED_CUSTOMERS}
+        SELECT o.* FROM driver JOIN orders o
+        ON o.o_totalprice BETWEEN driver.c_acctbal * 20 AND driver.c_acctbal * 20 + 500""",
+)
+def lookup_range_(spark: SparkSession, d: str) -> DataFrame:
+    balance = F.col("c_acctbal") * 20
+    return lookup_range(repeated_customers(spark, d), table(spark, d, "orders"), "o_totalprice", balance, balance + 500)
+
+
+@query(
+    "lookup_range_condition",
+    """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate FROM orders o JOIN lineitem l
+       ON l.l_orderkey = o.o_orderkey AND l.l_shipdate > o.o_orderdate
+          AND l.l_shipdate < o.o_orderdate + INTERVAL 30 DAY AND l.l_quantity > o.o_totalprice / 10000""",
+)
+def lookup_range_condition(spark: SparkSession, d: str) -> DataFrame:
+    """A band of time with an equality and a further condition."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity")
+    return lookup_range(
+        table(spark, d, "orders"),
+        lines,
+        "l_shipdate",
+        "o_orderdate",
+        F.col("o_orderdate") + F.expr("INTERVAL 30 DAY"),
+        on={"l_orderkey": "o_orderkey"},
+        where=F.col("t.l_quantity") > F.col("row.o_totalprice") / 10000,
+        inclusive="neither",
+    ).drop("l_quantity")
+
+
+_AS_OF = """SELECT e.* FROM events p, LATERAL (
+              SELECT * FROM events e WHERE e.user_id = p.user_id AND e.event_type <> 'purchase' AND e.ts {how}
+              ORDER BY e.ts {way}, e.event_id {way} LIMIT {n}) e
+            WHERE p.event_type = 'purchase'"""
+
+
+@query("lookup_as_of", _AS_OF.format(how="<= p.ts", way="DESC", n=3))
+def lookup_as_of_(spark: SparkSession, d: str) -> DataFrame:
+    """The last three other events of the user up to each purchase."""
+    events = table(spark, d, "events")
+    other = events.where("event_type <> 'purchase'")
+    return lookup_as_of(
+        events.where("event_type = 'purchase'"), other, "user_id", {"ts": "ts"}, 3, order_by=[F.col("event_id")]
+    )
+
+
+@query("lookup_next", _AS_OF.format(how="> p.ts", way="ASC", n=1))
+def lookup_next(spark: SparkSession, d: str) -> DataFrame:
+    """The first other event of the user after each purchase."""
+    events = table(spark, d, "events")
+    other = events.where("event_type <> 'purchase'")
+    return lookup_as_of(
+        events.where("event_type = 'purchase'"),
+        other,
+        "user_id",
+        {"ts": "ts"},
+        order_by=[F.col("event_id")],
+        direction="after",
+        exact=False,
+    )
+
+
 @query(
     "param_query",
     """SELECT o_orderkey, o_custkey, o_totalprice FROM orders

@@ -23,7 +23,14 @@ from rowloom.operators.validate import (
     rejected,
 )
 from rowloom.plans.export import bulk_export, insert_script
-from rowloom.plans.load import compact_table, create_table, load_table, read_live
+from rowloom.plans.load import (
+    compact_table,
+    create_table,
+    fold_loads,
+    load_table,
+    read_live,
+    table_info,
+)
 from rowloom.session import scratch_dir, ship, stage
 from rowloom.streaming.jobs import stream_lookup, stream_lookup_limit, stream_upsert
 
@@ -163,14 +170,14 @@ def error_rows(spark: SparkSession, d: str) -> DataFrame:
     return rejected(flag_rejects(patchy_orders(spark, d), "o_orderkey", ORDER_TARGET))
 
 
-@query(
-    "load_report",
-    f"""WITH {_PATCHY_ORDERS}
+_REPORT = f"""WITH {_PATCHY_ORDERS}
         SELECT count(*) AS rows_read, count(TRY_CAST(items AS BIGINT)) AS rows_written,
                count(*) - count(TRY_CAST(items AS BIGINT)) AS rows_rejected,
                count(*) - count(TRY_CAST(items AS BIGINT)) AS errors
-        FROM patchy""",
-)
+        FROM patchy"""
+
+
+@query("load_report", _REPORT)
 def load_report_(spark: SparkSession, d: str) -> DataFrame:
     return load_report(flag_rejects(patchy_orders(spark, d), "o_orderkey", ORDER_TARGET))
 
@@ -569,6 +576,42 @@ def compact_(spark: SparkSession, d: str) -> DataFrame:
     return read_live(spark, name)
 
 
+@query("compact_rebucket", _VERSIONS)
+def compact_rebucket(spark: SparkSession, d: str) -> DataFrame:
+    """Every bucket split in two, then in two again."""
+    name = two_versions(spark, d, "compact_rebucket")
+    for _ in range(2):
+        compact_table(spark, name, buckets=2 * table_info(spark, name).buckets)
+    return read_live(spark, name)
+
+
+@query("fold_loads", _VERSIONS)
+def fold_loads_(spark: SparkSession, d: str) -> DataFrame:
+    name = two_versions(spark, d, "fold_loads")
+    fold_loads(spark, name, fanout=2)
+    return read_live(spark, name)
+
+
+@query(
+    "purge_expired",
+    f"""WITH {_LOGGED_EVENTS}
+        SELECT * FROM newest WHERE ts + INTERVAL 7 DAY > TIMESTAMP '2024-02-02'""",
+)
+def purge_expired(spark: SparkSession, d: str) -> DataFrame:
+    """Expired writes leave the table for good: the rest is read without an instant."""
+    name = load_events(spark, d, "purge_expired", 7 * 86400)
+    compact_table(spark, name, purge=F.lit("2024-02-02").cast("timestamp"))
+    return read_live(spark, name)
+
+
+@query("load_report_committed", _REPORT)
+def load_report_committed(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of a load, from the checked copy that was committed."""
+    name, rejects = new_table(spark, "report"), scratch_dir(spark, "rejects")
+    create_table(spark, name, ORDER_TARGET, "o_orderkey")
+    return load_table(name, patchy_orders(spark, d), "o_orderkey", nulls="overwrite", rejects_path=rejects).recount
+
+
 @query(
     "read_live_cells",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_totalprice

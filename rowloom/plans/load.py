@@ -9,6 +9,11 @@ only then drops the ones before; readers take the newest attempt of each id, so
 neither a failure nor a crash between the two steps loses or doubles a row.
 Reading reconciles the log, last write wins; all loads share their buckets, so
 this needs no shuffle.
+
+A table grows with its data: ``compact_table(buckets=…)`` splits every bucket by
+further bits of the key's hash into a table of more buckets, which takes the place
+of the old one by one change of a property; ``fold_loads`` keeps the number of
+loads of a stream logarithmic.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +50,7 @@ from rowloom.operators.validate import (
     rejected,
     report_counters,
 )
-from rowloom.session import stage
+from rowloom.session import setting, stage
 
 SEQ, TIE, LOAD = "_seq", "_tie", "_load"
 # what orders writes: the hash of the stored row comes last, so that writes equal in all
@@ -65,6 +70,10 @@ _HIDDEN = {WRITE_TIME, SEQ, TIE, EXPIRES_AT, WRITTEN, LOAD}
 _KEY_PROPERTY, _MERGE_PROPERTY = "rowloom.key", "rowloom.merge"
 # "true" while every load was reduced to one row per key (or write) before it was stored
 _BUCKETS_PROPERTY, _REDUCED_PROPERTY = "rowloom.buckets", "rowloom.reduced"
+# name of the catalog table that holds the data, once buckets were split
+_AT_PROPERTY = "rowloom.at"
+_FOLD_ID = re.compile(r"fold(\d+)-")
+FOLD = 8  # loads of one tier that are folded together
 _LOAD_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -72,9 +81,11 @@ _LOAD_ID = re.compile(r"[A-Za-z0-9_.-]+")
 class LoadResult:
     """What a load did.
 
-    ``report`` holds the counters observed while loading; tasks run again after
-    a lost executor may count their rows twice there. ``rejects`` and
-    ``recount`` (the counters anew) are lazy frames over the input.
+    ``report`` holds the counters. With ``rejects_path`` they are those of the
+    checked copy that was committed, so exact whatever tasks ran again; without,
+    they are observed while loading, and tasks run again after a lost executor
+    may count their rows twice. ``rejects`` and ``recount`` (the counters anew)
+    are lazy frames over the checked copy or the input.
     """
 
     load_id: str
@@ -89,6 +100,7 @@ def _name(table: str) -> str:
 
 @dataclass(frozen=True)
 class TableInfo:
+    name: str  # of the catalog table that holds the data
     key: KeySpec
     buckets: int
     merge: str
@@ -97,13 +109,16 @@ class TableInfo:
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
     """Key, bucket count and way of reconciling of a keyed table."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()
-    stored = {r["key"]: r["value"] for r in rows}
+    stored = _properties(spark, table)
+    if _AT_PROPERTY in stored:
+        table = stored[_AT_PROPERTY]
+        stored = _properties(spark, table)
     if _KEY_PROPERTY not in stored:
         raise LookupError(f"{table} is not a keyed table")
     partition, clustering = json.loads(stored[_KEY_PROPERTY])
     key = KeySpec(tuple(partition), tuple(clustering))
     return TableInfo(
+        table,
         key,
         int(stored[_BUCKETS_PROPERTY]),
         stored[_MERGE_PROPERTY],
@@ -111,9 +126,20 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
     )
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()
+    return {r["key"]: r["value"] for r in rows}
+
+
+def _at(spark: SparkSession, table: str) -> str:
+    """The catalog table that holds a keyed table's data."""
+    return _properties(spark, table).get(_AT_PROPERTY, table)
+
+
 def value_schema(spark: SparkSession, table: str) -> T.StructType:
     """User columns of a keyed table."""
-    return T.StructType([f for f in spark.table(table).schema if f.name not in _HIDDEN])
+    held = spark.table(_at(spark, table)).schema
+    return T.StructType([f for f in held if f.name not in _HIDDEN])
 
 
 def create_table(
@@ -180,7 +206,7 @@ def _next_attempt(attempts: Sequence[str], load_id: str) -> str:
 
 def loads(spark: SparkSession, table: str) -> list[str]:
     """Ids of the loads a keyed table holds."""
-    return [a.partition("~")[0] for a in _newest(_attempts(spark, table))]
+    return [a.partition("~")[0] for a in _newest(_attempts(spark, _at(spark, table)))]
 
 
 def _drop_attempts(spark: SparkSession, table: str, attempts: Sequence[str]) -> None:
@@ -202,6 +228,7 @@ def _log(spark: SparkSession, table: str, attempts: Sequence[str]) -> DataFrame:
 
 def evolve_table(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
     """Add the input's unknown columns to the table; returns their names."""
+    table = _at(spark, table)
     new = missing_columns(rows, value_schema(spark, table))
     if new:
         if loads(spark, table):
@@ -265,6 +292,7 @@ def load_table(
     info = table_info(spark, table)
     if info.key != spec:
         raise ValueError(f"{table} has the key {info.key}")
+    table = info.name
     if evolve:
         evolve_table(spark, table, rows)
     target = value_schema(spark, table)
@@ -286,10 +314,9 @@ def load_table(
         flagged = stage(flagged, "checked")
         refused = rejected(flagged).select(*[col(c) for c in (*rows.columns, *ERROR_COLUMNS)])
         refused.write.mode("overwrite").parquet(rejects_path)
-    seen = Observation()
-    good = accepted(
-        flagged.observe(seen, *report_counters(F.col(ERR_CODE).isNotNull()))
-    )
+    seen, counters = Observation(), report_counters(F.col(ERR_CODE).isNotNull())
+    # of a written copy the counters are taken afterwards, from what is in it
+    good = accepted(flagged if rejects_path else flagged.observe(seen, *counters))
     good = good.withColumn(EXPIRES_AT, expiry(F.col(WRITE_TIME), F.col(_TTL_OK)))
     stored = [f for f in LOG_FIELDS[:4] if f.name != TIE]
     log = align_to_target(good, T.StructType([*target, *stored]))
@@ -305,12 +332,11 @@ def load_table(
         log = latest_rows(log, spec, ties=TIES).withColumn(WRITTEN, every)
     else:
         log = winning_writes(log, spec, STAMP)
-    if not unique and info.buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
-        # one file per bucket: let each task write whole buckets
-        log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
     before = _attempts(spark, table)
     attempt = _next_attempt(before, load_id)
-    _publish(spark, table, log, attempt)
+    # reducing shuffles by key into as many parts as there are buckets, so each task writes whole ones
+    with setting(spark, "spark.sql.shuffle.partitions", info.buckets):
+        _publish(spark, table, log, attempt)
     if truncate:
         _drop_attempts(spark, table, before)
         if whole_rows:
@@ -320,7 +346,8 @@ def load_table(
     else:
         _drop_attempts(spark, table, [a for a in before if a.partition("~")[0] == load_id])
     rejects = rejected(flagged).select(*[col(c) for c in (*rows.columns, *ERROR_COLUMNS)])
-    return LoadResult(load_id, dict(seen.get), rejects, load_report(flagged))
+    report = flagged.agg(*counters).first().asDict() if rejects_path else dict(seen.get)
+    return LoadResult(load_id, report, rejects, load_report(flagged))
 
 
 def _stamped(
@@ -368,8 +395,8 @@ def read_live(
     load of whole rows (new, truncated or compacted) is read by a plain scan.
     """
     info = table_info(spark, table)
-    attempts = _attempts(spark, table)
-    log = _log(spark, table, attempts).drop(LOAD)
+    attempts = _attempts(spark, info.name)
+    log = _log(spark, info.name, attempts).drop(LOAD)
     names = [c for c in log.columns if c not in _HIDDEN]
     if info.merge == "rows":
         if info.reduced and len(_newest(attempts)) == 1:
@@ -383,28 +410,133 @@ def read_live(
     return rows.select(*map(col, [*names, *([WRITE_TIME, EXPIRES_AT] if stamps else [])]))
 
 
-def compact_table(spark: SparkSession, table: str) -> str:
+def _reconciled(log: DataFrame, info: TableInfo, values: int) -> tuple[DataFrame, Observation | None]:
+    """The writes of a log that have not lost, and how many of them are not whole rows."""
+    if info.merge == "rows":
+        return latest_rows(log, info.key, ties=TIES), None
+    seen = Observation()
+    partial = F.size(F.coalesce(F.col(WRITTEN), F.array())) < values
+    return winning_writes(log, info.key, STAMP).observe(seen, F.count_if(partial).alias("partial")), seen
+
+
+def compact_table(
+    spark: SparkSession,
+    table: str,
+    buckets: int | None = None,
+    purge: Column | None = None,
+) -> str:
     """Rewrite all loads as one, without the writes that lost.
 
     The new load is added before the old ones are dropped; reconciling twice
     changes nothing, so readers see the same rows throughout. Where every row
     left was written whole, later reads reconcile by rows again.
+
+    ``buckets``, a multiple of the present number, splits each bucket by further
+    bits of the key's hash. A task reads one old bucket and writes its parts, so
+    nothing is shuffled. The rows go to a new catalog table; one change of a
+    property of the old one lets readers and loads go there, then the old data
+    is dropped. Reads begun before fail if they run on; a crash in between
+    leaves the table as it was.
+
+    ``purge`` drops writes that have expired at this instant. All loads are in
+    the rewrite, so no older write of their cells is left that could come back;
+    a load that brings writes older than the purged ones afterwards would show,
+    so leave a span in which late writes may still come. ``_writetime`` of a
+    row is then that of its newest write left.
     """
-    old = _attempts(spark, table)
     info = table_info(spark, table)
-    log = _log(spark, table, old).drop(LOAD)
-    seen = Observation()
-    if info.merge == "rows":
-        kept = latest_rows(log, info.key, ties=TIES)
-    else:
-        values = len(value_schema(spark, table)) - len(info.key.columns)
-        partial = F.size(F.coalesce(F.col(WRITTEN), F.array())) < values
-        kept = winning_writes(log, info.key, STAMP).observe(seen, F.count_if(partial).alias("partial"))
+    held = info.name
+    old = _attempts(spark, held)
+    log = _log(spark, held, old).drop(LOAD)
+    schema = value_schema(spark, held)
+    if buckets and (buckets < info.buckets or buckets % info.buckets):
+        raise ValueError(f"{buckets} is no multiple of {info.buckets} buckets")
+    kept, seen = _reconciled(log, info, len(schema) - len(info.key.columns))
+    if purge is not None:
+        kept = _unexpired(kept, info, schema, purge)
     load_id = f"compact-{uuid.uuid4().hex}"
-    _publish(spark, table, kept, _next_attempt(old, load_id))
-    _drop_attempts(spark, table, old)
-    if loads(spark, table) == [load_id]:
-        _set_property(spark, table, _REDUCED_PROPERTY, "true")
-        if info.merge == "cells" and not seen.get["partial"]:
-            _set_property(spark, table, _MERGE_PROPERTY, "rows")  # one whole write for each key
+    attempt = _next_attempt(old, load_id)
+    if buckets and buckets != info.buckets:
+        new = f"{table}__{uuid.uuid4().hex[:12]}"
+        create_table(spark, new, schema, info.key, buckets, _user_properties(spark, held))
+        _set_property(spark, new, _MERGE_PROPERTY, info.merge)
+        _publish(spark, new, kept, attempt)
+        _whole_again(spark, new, info, seen)
+        _set_property(spark, table, _AT_PROPERTY, new)
+        if held == table:
+            _drop_attempts(spark, held, old)
+        else:
+            spark.sql(f"DROP TABLE {_name(held)}")
+        return load_id
+    _publish(spark, held, kept, attempt)
+    _drop_attempts(spark, held, old)
+    if loads(spark, held) == [load_id]:
+        _set_property(spark, held, _REDUCED_PROPERTY, "true")
+        _whole_again(spark, held, info, seen)
     return load_id
+
+
+def _whole_again(spark: SparkSession, table: str, info: TableInfo, seen: Observation | None) -> None:
+    if info.merge == "cells" and not seen.get["partial"]:
+        _set_property(spark, table, _MERGE_PROPERTY, "rows")  # one whole write for each key
+
+
+def _user_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """Properties that came with the table's creation."""
+    own = {_KEY_PROPERTY, _MERGE_PROPERTY, _BUCKETS_PROPERTY, _REDUCED_PROPERTY, _AT_PROPERTY}
+    stored = _properties(spark, table)
+    return {k: v for k, v in stored.items() if k not in own and not k.startswith("transient")}
+
+
+def _unexpired(kept: DataFrame, info: TableInfo, schema: T.StructType, as_of: Column) -> DataFrame:
+    """Without the writes that reading at ``as_of`` or later shows nothing of."""
+    expires = F.col(EXPIRES_AT)
+    live = expires.isNull() | (expires > as_of.cast("timestamp"))
+    if info.merge == "rows":
+        return kept.where(live)
+    keys = {c.lower() for c in info.key.columns}
+    values = [col(f.name) for f in schema if f.name.lower() not in keys]
+    # nulls that a write holds hide nothing any more; without the newest write they show nothing
+    newest = Window.partitionBy(*[col(c) for c in info.key.columns])
+    stamp = F.struct(*[col(c) for c in STAMP])
+    marked = kept.withColumn("_last", F.max(stamp).over(newest) == stamp)
+    holds = F.lit(False)
+    for v in values:
+        holds = holds | v.isNotNull()
+    return marked.where(live & (F.col("_last") | holds)).drop("_last")
+
+
+def fold_loads(
+    spark: SparkSession, table: str, fanout: int = FOLD, keep: Sequence[str] = ()
+) -> list[str]:
+    """Fold loads together in tiers, and return the loads the table holds then.
+
+    As soon as a tier has ``fanout`` loads they become one load of the next
+    tier, so n loads leave at most ``fanout - 1`` of each of about log n tiers,
+    and a row is rewritten once a tier. Loads in ``keep`` (those that may be
+    repeated) stay as they are; a folded load can no longer be replaced under
+    its id, repeating it is one more write of the same rows.
+    """
+    if fanout < 2:
+        raise ValueError("at least two loads are folded")
+    info = table_info(spark, table)
+    held = info.name
+    values = len(value_schema(spark, held)) - len(info.key.columns)
+    while True:
+        present = _attempts(spark, held)
+        tiers: dict[int, list[str]] = {}
+        for a in _newest(present):
+            load = a.partition("~")[0]
+            found = _FOLD_ID.match(load)
+            if load not in keep:
+                tiers.setdefault(int(found[1]) if found else 0, []).append(a)
+        full = [t for t in sorted(tiers) if len(tiers[t]) >= fanout]
+        if not full:
+            return [a.partition("~")[0] for a in _newest(present)]
+        group = tiers[full[0]]
+        log = _log(spark, held, present).where(col(LOAD).isin(group)).drop(LOAD)
+        kept, _ = _reconciled(log, info, values)
+        folded = f"fold{full[0] + 1}-{uuid.uuid4().hex}"
+        _publish(spark, held, kept, _next_attempt(present, folded))
+        ids = {a.partition("~")[0] for a in group}
+        _drop_attempts(spark, held, [a for a in present if a.partition("~")[0] in ids])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ship(module: str) -> None:
     """Send this module's functions with the tasks that use them, so that executors need
     no copy of the package."""

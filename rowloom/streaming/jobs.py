@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.keys import KeySpec, key_spec
 from rowloom.operators.lookup import limited, lookup, pairs_of
-from rowloom.plans.load import load_table
+from rowloom.plans.load import FOLD, fold_loads, load_table
 
 
 def stream_lookup(
@@ -35,6 +35,7 @@ def stream_upsert(
     nulls: str,
     rejects: str,
     trigger: dict | None = None,
+    fold: int | None = FOLD,
     **load_options,
 ) -> StreamingQuery:
     """Load each micro-batch into a keyed table; its rejects are written below ``rejects``.
@@ -44,7 +45,9 @@ def stream_upsert(
     again replaces its own load and rejects, and another checkpoint never
     touches those of this one, whatever its ``name``. Late rows lose by write
     time, which makes a watermark needless. The default trigger handles what is
-    there and stops.
+    there and stops. After each batch the loads before it are folded in tiers of
+    ``fold`` (:func:`~rowloom.plans.load.fold_loads`; ``None``: never), so a long
+    stream leaves few loads; the batch itself stays, as it may be run again.
     """
     spec = key_spec(key)
     if load_options.get("truncate"):
@@ -54,15 +57,18 @@ def stream_upsert(
 
     def load(rows: DataFrame, batch: int) -> None:
         own = started.result()
+        load_id = f"{name}-{own}-{batch}"
         load_table(
             table,
             rows,
             spec,
             nulls=nulls,
-            load_id=f"{name}-{own}-{batch}",
+            load_id=load_id,
             rejects_path=f"{rejects}/query={own}/batch={batch}",
             **load_options,
         )
+        if fold:
+            fold_loads(rows.sparkSession, table, fold, keep=[load_id])
 
     query = (
         stream.writeStream.foreachBatch(load)
