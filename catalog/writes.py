@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from catalog.common import query, table
 from catalog.transforms import EVENT_KEY, event_log
 from rowloom.functions.cells import to_micros
-from rowloom.operators.batches import batch_rows, write_batches
+from rowloom.operators.batches import batch_rows, sink_batches, write_batches
 from rowloom.operators.project import where
 from rowloom.operators.upsert import latest_cells, latest_rows, live_rows, with_ttl
 from rowloom.operators.validate import (
@@ -32,7 +32,13 @@ from rowloom.plans.load import (
     table_info,
 )
 from rowloom.session import scratch_dir, ship, stage
-from rowloom.streaming.jobs import stream_lookup, stream_lookup_limit, stream_upsert
+from rowloom.streaming.jobs import (
+    stream_lookup,
+    stream_lookup_limit,
+    stream_lookup_table,
+    stream_sink_batches,
+    stream_upsert,
+)
 
 ship(__name__)
 
@@ -198,18 +204,37 @@ def numbers_only_sink(rows: list[dict]) -> None:
         int(row["items"])
 
 
-@query(
-    "split_failed_batch",
-    f"""WITH {_PATCHY_ORDERS}
+_REFUSED = f"""WITH {_PATCHY_ORDERS}
         SELECT o_orderkey, o_custkey, items, priority, CAST(1 AS BIGINT) AS _err_count,
                'invalid literal for int() with base 10: ''' || items || '''' AS _err_desc,
                CAST(NULL AS VARCHAR) AS _err_fields, 'ERR_INSERT01' AS _err_code
-        FROM patchy WHERE TRY_CAST(items AS BIGINT) IS NULL""",
-)
+        FROM patchy WHERE TRY_CAST(items AS BIGINT) IS NULL"""
+
+
+@query("split_failed_batch", _REFUSED)
 def split_failed_batch(spark: SparkSession, d: str) -> DataFrame:
     return write_batches(patchy_orders(spark, d), numbers_only_sink)
 
 
+@query("sink_batches", _REFUSED)
+def sink_batches_(spark: SparkSession, d: str) -> DataFrame:
+    return sink_batches(patchy_orders(spark, d), numbers_only_sink, scratch_dir(spark, "refused")).rejects
+
+
+def named_numbers_sink(rows: list[dict], request: str) -> None:
+    numbers_only_sink(rows)
+
+
+@query("stream_sink_batches", _REFUSED)
+def stream_sink_batches_(spark: SparkSession, d: str) -> DataFrame:
+    patchy, refused = patchy_orders(spark, d), scratch_dir(spark, "refused")
+    source = stage(patchy.repartition(4, "o_orderkey"), "stream-input")
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 2)
+    stream = stream.parquet(source.inputFiles()[0].rsplit("/", 1)[0])
+    stream_sink_batches(stream, named_numbers_sink, scratch_dir(spark, "progress"), refused).awaitTermination()
+    return spark.read.parquet(refused).where("_kind = 'refused'").drop("query", "batch", "_kind")
+
+
 @query(
     "load_table",
     f"""WITH {_PATCHY_ORDERS}
@@ -437,6 +462,31 @@ def stream_lookup_(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(out)
 
 
+@query(
+    "stream_lookup_table",
+    """SELECT CAST(o.o_orderkey AS BIGINT) AS o_orderkey, o.o_custkey,
+              o.o_totalprice + CASE WHEN c.c_custkey % 2 = 1 AND o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice
+       FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey""",
+)
+def stream_lookup_table_(spark: SparkSession, d: str) -> DataFrame:
+    """Even customers come first; then a load changes orders, then odd customers come."""
+    name = new_table(spark, "stream_lookup_table")
+    price = F.col("o_totalprice").cast("double")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", price.alias("o_totalprice"), "o_orderstatus")
+    load_table(name, orders.drop("o_orderstatus"), "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    customer = table(spark, d, "customer").select("c_custkey")
+    feed, out = scratch_dir(spark, "feed"), scratch_dir(spark, "looked-up")
+    progress, pins = scratch_dir(spark, "progress"), scratch_dir(spark, "pins")
+    for odd in (0, 1):
+        if odd:
+            dearer = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+            load_table(name, dearer.drop("o_orderstatus"), "o_orderkey", nulls="overwrite", written_at=F.lit(2))
+        customer.where(F.col("c_custkey") % 2 == odd).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(customer.schema).parquet(feed)
+        stream_lookup_table(stream, name, {"o_custkey": "c_custkey"}, progress, out, pins=pins).awaitTermination()
+    return spark.read.parquet(out).drop("query", "batch")
+
+
 @query(
     "stream_upsert",
     """SELECT user_id, event_type, event_id, value, ts FROM events

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ ship(__name__)
 # Default sizes.
 BATCH_SIZE = 100
 SUB_BATCH_SIZE = 10
+_KIND = "_kind"
 
 
 def batch_size_setting(text: str | None, default: int = BATCH_SIZE) -> int:
@@ -97,30 +100,42 @@ def write_batches(
     batch_size: int = BATCH_SIZE,
     sub_batch_size: int = SUB_BATCH_SIZE,
     code: str = INSERT_ERROR,
+    run: str | None = None,
+    counts: bool = False,
 ) -> DataFrame:
     """Send rows to an external sink in batches and return the rows it refused.
 
     ``send`` runs in the tasks, gets a list of row dicts and raises to refuse
     them. A refused batch is sent again in sub-batches, a refused sub-batch row
     by row, so only bad rows are lost. Write the returned frame once (a
-    dead-letter table): that action does the sending. A task that reruns sends
-    its rows again, so the sink must take repeats, as an upsert does.
+    dead-letter table): that action does the sending; ``sink_batches`` is the
+    two together. A task that reruns sends its rows again, so the sink must take
+    repeats, as an upsert does, or tell them: with ``run`` (a name of this run)
+    ``send`` also gets the request's name, ``run/partition/first row-last row``,
+    which a rerun of the task repeats as long as its input is in the same order.
+    ``counts`` adds a column that tells refused rows from one row a task, which
+    only holds how many rows it was given.
     """
     if batch_size < 1 or sub_batch_size < 1:
         raise ValueError("batch sizes start at 1")
     schema = T.StructType(
         [
-            *df.schema.fields,
+            *[T.StructField(f.name, f.dataType) for f in df.schema],
             T.StructField(ERR_COUNT, T.LongType()),
             T.StructField(ERR_DESC, T.StringType()),
             T.StructField(ERR_FIELDS, T.StringType()),
             T.StructField(ERR_CODE, T.StringType()),
+            *([T.StructField(_KIND, T.StringType())] if counts else []),
         ]
     )
+    names = [f.name for f in schema]
 
-    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def task(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = 0
         for table in rechunk(chunks, batch_size):
-            refused = send_split(table.to_pylist(), send, sub_batch_size)
+            name = None if run is None else f"{run}/{TaskContext.get().partitionId()}"
+            refused = send_split(table.to_pylist(), send, sub_batch_size, name, first)
+            first += table.num_rows
             if refused:
                 rows = table.take([i for i, _ in refused])
                 count = len(refused)
@@ -129,11 +144,51 @@ def write_batches(
                     pa.array([message for _, message in refused], pa.string()),
                     pa.nulls(count, pa.string()),
                     pa.array([code] * count, pa.string()),
+                    *([pa.array(["refused"] * count, pa.string())] if counts else []),
                 ]
-                names = [*rows.schema.names, ERR_COUNT, ERR_DESC, ERR_FIELDS, ERR_CODE]
                 yield from pa.table([*rows.columns, *extra], names=names).to_batches()
+        if counts and first:
+            none = [pa.nulls(1, c.type) for c in table.columns]
+            extra = [pa.array([first]), *[pa.nulls(1, pa.string())] * 3, pa.array(["sent"])]
+            yield pa.RecordBatch.from_arrays([*none, *extra], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
+
+
+@dataclass
+class SinkResult:
+    """What a sink was sent: rows offered and refused, from the committed copy of the refused
+    rows and from counters of the tasks that committed it."""
+
+    rows: int
+    refused: int
+    rejects: DataFrame
+
+
+def sink_batches(
+    df: DataFrame,
+    send: Callable[..., None],
+    rejects: str,
+    batch_size: int = BATCH_SIZE,
+    sub_batch_size: int = SUB_BATCH_SIZE,
+    code: str = INSERT_ERROR,
+    run: str | None = None,
+) -> SinkResult:
+    """Send all rows to an external sink and write those it refuses to ``rejects``.
+
+    The refused rows leave the tasks as data, however many they are: Spark's
+    writer commits them, so a task that runs again replaces its own. The counts
+    are taken from the same commit: every task adds a row with the number of
+    rows it was given, beside the refused ones.
+    """
+    refused = write_batches(df, send, batch_size, sub_batch_size, code, run, counts=True)
+    refused.write.mode("overwrite").partitionBy(_KIND).parquet(rejects)
+    spark = df.sparkSession
+    written = spark.read.schema(refused.schema).parquet(rejects)
+    bad = written.where(F.col(_KIND) == "refused").drop(_KIND)
+    sums = written.groupBy(_KIND).agg(F.sum(ERR_COUNT).alias("n")).collect()
+    found = {r[_KIND]: r.n for r in sums}
+    return SinkResult(found.get("sent", 0), found.get("refused", 0), bad)
 
 
 def rechunk(chunks: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
@@ -155,15 +210,24 @@ def rechunk(chunks: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
 
 
 def send_split(
-    rows: list[dict], send: Callable[[list[dict]], None], sub_batch_size: int
+    rows: list[dict],
+    send: Callable[..., None],
+    sub_batch_size: int,
+    name: str | None = None,
+    first: int = 0,
 ) -> list[tuple[int, str]]:
-    """Send rows, narrowing down on failure; returns position and message of refused rows."""
+    """Send rows, narrowing down on failure; returns position and message of refused rows.
+
+    With a ``name``, ``send`` also gets it with the numbers of the rows it holds,
+    counted from ``first``.
+    """
     refused = []
     waiting = [range(len(rows))]
     while waiting:
         part = waiting.pop()
         try:
-            send([rows[i] for i in part])
+            request = [] if name is None else [f"{name}/{first + part[0]}-{first + part[-1]}"]
+            send([rows[i] for i in part], *request)
         except Exception as e:  # any refusal of the sink counts
             if len(part) == 1:
                 refused.append((part[0], str(e)))

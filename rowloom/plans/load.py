@@ -385,17 +385,41 @@ def _publish(spark: SparkSession, table: str, log: DataFrame, attempt: str) -> N
     )
 
 
+@dataclass(frozen=True)
+class Pinned:
+    """One state of a keyed table: the catalog table and the partitions that counted."""
+
+    name: str
+    attempts: tuple[str, ...]
+
+
+def pin(spark: SparkSession, table: str) -> Pinned:
+    """The present state of a keyed table, to be read again later."""
+    held = _at(spark, table)
+    return Pinned(held, tuple(_newest(_attempts(spark, held))))
+
+
 def read_live(
-    spark: SparkSession, table: str, as_of: Column | None = None, stamps: bool = False
+    spark: SparkSession,
+    table: str,
+    as_of: Column | None = None,
+    stamps: bool = False,
+    pinned: Pinned | None = None,
 ) -> DataFrame:
     """The table's rows: newest writes, without what has expired at ``as_of``.
 
     ``as_of=None`` keeps expired cells. ``stamps`` adds ``_writetime`` and
     ``_expires_at``. Filters on key columns reach the file scan. A table of one
     load of whole rows (new, truncated or compacted) is read by a plain scan.
+    ``pinned`` (:func:`pin`) reads an earlier state, without later loads; it
+    fails once its partitions are gone.
     """
     info = table_info(spark, table)
     attempts = _attempts(spark, info.name)
+    if pinned:
+        if pinned.name != info.name or not set(pinned.attempts) <= set(attempts):
+            raise LookupError(f"the pinned state of {table} is no longer held")
+        attempts = list(pinned.attempts)
     log = _log(spark, info.name, attempts).drop(LOAD)
     names = [c for c in log.columns if c not in _HIDDEN]
     if info.merge == "rows":

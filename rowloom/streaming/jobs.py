@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import Future
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.keys import KeySpec, key_spec
+from rowloom.operators.batches import BATCH_SIZE, SUB_BATCH_SIZE, sink_batches
 from rowloom.operators.lookup import limited, lookup, pairs_of
-from rowloom.plans.load import FOLD, fold_loads, load_table
+from rowloom.plans.load import FOLD, Pinned, fold_loads, load_table, pin, read_live
 
 
 def stream_lookup(
@@ -80,6 +81,92 @@ def stream_upsert(
     return query
 
 
+def stream_sink_batches(
+    stream: DataFrame,
+    send: Callable[..., None],
+    checkpoint: str,
+    rejects: str,
+    *,
+    batch_size: int = BATCH_SIZE,
+    sub_batch_size: int = SUB_BATCH_SIZE,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Send each micro-batch to an external sink in batches; refused rows are written at once
+    below ``rejects`` (``query=…/batch=…``).
+
+    ``send`` gets the rows and the request's name, ``query/batch/partition/rows``:
+    a micro-batch that is run again, or a task of it, repeats its names, so a
+    sink can leave out what it has. Its rejects replace their own.
+    """
+    started: Future[str] = Future()
+
+    def run(rows: DataFrame, batch: int) -> None:
+        own = started.result()
+        path = f"{rejects}/query={own}/batch={batch}"
+        sink_batches(rows, send, path, batch_size, sub_batch_size, run=f"{own}/{batch}")
+
+    query = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+    started.set_result(query.id)
+    return query
+
+
+def stream_lookup_table(
+    stream: DataFrame,
+    table: str,
+    on: Mapping[str, str] | Sequence[str] | str,
+    checkpoint: str,
+    out: str,
+    *,
+    pins: str,
+    where: Column | None = None,
+    as_of: Column | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """:func:`lookup` of every micro-batch in the state a keyed table has when the batch begins.
+
+    What that state is made of (the newest attempts of the table's loads) is written below
+    ``pins`` before the batch runs; a batch that is run again reads the same
+    state and replaces its own rows below ``out`` (``query=…/batch=…``), even if
+    loads came in between. Compaction or folding in between drops what was
+    pinned: the batch then fails rather than answer from another state.
+    """
+    started: Future[str] = Future()
+
+    def run(rows: DataFrame, batch: int) -> None:
+        own, spark = started.result(), rows.sparkSession
+        held = f"{pins}/query={own}/batch={batch}"
+        pinned = _read_pins(spark, held)
+        if pinned is None:
+            pinned = pin(spark, table)
+            names = [(pinned.name, a) for a in pinned.attempts] or [(pinned.name, None)]
+            spark.createDataFrame(names, "name string, attempt string").coalesce(1).write.mode("overwrite").parquet(held)
+        found = lookup(rows, read_live(spark, table, as_of, pinned=pinned), on, where)
+        found.write.mode("overwrite").parquet(f"{out}/query={own}/batch={batch}")
+
+    query = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+    started.set_result(query.id)
+    return query
+
+
+def _read_pins(spark: SparkSession, path: str) -> Pinned | None:
+    """The state pinned at a path, if it was written whole."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return None
+    rows = spark.read.parquet(path).collect()
+    return Pinned(rows[0].name, tuple(r.attempt for r in rows if r.attempt is not None))
+
+
 def stream_lookup_limit(
     stream: DataFrame,
     target: DataFrame,
