@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,15 @@ from rowloom.functions.text import fix_date, literal, row_text
 from rowloom.functions.timeuuid import date_of, time_uuid, unix_timestamp_of
 from rowloom.functions.tokens import token
 from rowloom.operators.nested import expand_collection
+from rowloom.operators.token_ranges import (
+    TokenRanges,
+    scan_token_range,
+    token_ranges,
+    write_token_ranges,
+)
 from rowloom.operators.upsert import latest_rows, with_ttl
 from rowloom.functions.cells import to_micros
+from rowloom.session import scratch_dir
 
 
 _M = "18446744073709551616::UHUGEINT"
@@ -135,6 +144,48 @@ def token_partitioners(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+RANGES = 16
+
+
+def stored_ranges(spark: SparkSession, d: str) -> tuple[DataFrame, str, TokenRanges]:
+    """Events stored by the token of their user; a third of them are those of one user."""
+    hot = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    events = table(spark, d, "events").select("event_id", hot.cast("long").alias("user_id"))
+    own = token(events, ["user_id"])
+    ranges = token_ranges(events, own, RANGES)
+    path = scratch_dir(spark, "token-ranges")
+    write_token_ranges(events, path, own, ranges)
+    return events, path, ranges
+
+
+@query(
+    "token_ranges",
+    "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events, true AS even FROM events",
+)
+def token_ranges_(spark: SparkSession, d: str) -> DataFrame:
+    """Every row is in one range, none is 10 % larger than its share."""
+    _, path, _ = stored_ranges(spark, d)
+    stored = spark.read.parquet(path).groupBy("_range", "event_id").agg(F.count("*").alias("n"))
+    sizes = stored.groupBy("_range").agg(F.sum("n").alias("n"), F.count("*").alias("events"))
+    largest, total = F.max("n"), F.sum("n")
+    return sizes.agg(
+        total.alias("n_rows"),
+        F.sum("events").alias("n_events"),
+        (largest <= 1.1 * total / RANGES).alias("even"),
+    )
+
+
+@query(
+    "token_range_scan",
+    "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events",
+)
+def token_range_scan(spark: SparkSession, d: str) -> DataFrame:
+    """All ranges, each read on its own."""
+    _, path, ranges = stored_ranges(spark, d)
+    scans = [scan_token_range(spark, path, i, r.low, r.high) for i, r in enumerate(ranges.ranges)]
+    return reduce(DataFrame.union, scans)
+
+
 def event_log(spark: SparkSession, d: str) -> DataFrame:
     """Events as a log of writes, written at their time stamp."""
     return table(spark, d, "events").withColumn("_writetime", to_micros(F.col("ts")))

@@ -7,6 +7,7 @@ from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class Cuts:
         """The bin of a value (int; null values are in bin 0): a binary search."""
         if not self.values:
             return F.lit(0)
+        value = value.cast("double") if self.type == "double" else value
         values = F.array(*[F.lit(v) for v in self.values]).cast(f"array<{self.type}>")
         steps = [1 << k for k in reversed(range(len(self.values).bit_length()))]
         return F.aggregate(
@@ -44,11 +46,14 @@ def cuts(df: DataFrame, value: Column, bins: int) -> Cuts:
     """Cut ``value`` (numbers, dates, instants) at its quantiles.
 
     One pass with a mergeable sketch, of which ``bins`` values reach the driver.
-    A value that fills several bins becomes one bin of that weight.
+    A value that fills several bins becomes one bin of that weight. The sketch
+    holds doubles, so whole and decimal numbers are compared as such.
     """
     if bins < 1:
         raise ValueError("there is at least one bin")
     row = df.select(value.alias("v"))
+    if isinstance(row.schema["v"].dataType, T.NumericType):
+        row = row.select(F.col("v").cast("double").alias("v"))
     kind = row.schema["v"].dataType.simpleString()
     shares = [i / bins for i in range(1, bins)]
     found = []
