@@ -31,7 +31,8 @@ from rowloom.plans.load import (
     read_live,
     table_info,
 )
-from rowloom.session import scratch_dir, ship, stage
+from rowloom.session import scratch_dir, setting, ship, stage
+from rowloom.streaming.changes import STATE_STORE, stream_changes
 from rowloom.streaming.jobs import (
     stream_lookup,
     stream_lookup_limit,
@@ -519,6 +520,28 @@ def stream_upsert_(spark: SparkSession, d: str) -> DataFrame:
     return read_live(spark, name)
 
 
+@query(
+    "stream_changes",
+    """SELECT user_id, event_type, event_id, value, ts FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1""",
+)
+def stream_changes_(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted writes of four micro-batches; the last one of each key is what an upsert leaves."""
+    events = table(spark, d, "events")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source = stage(events.repartition(files, "event_id"), "stream-input")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", max(1, files // 4))
+    stream = stream.parquet(source.inputFiles()[0].rsplit("/", 1)[0])
+    stream = stream.select("user_id", "event_type", "event_id", "value", F.col("ts").cast("timestamp"))
+    out, progress = scratch_dir(spark, "changes"), scratch_dir(spark, "progress")
+    with setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE):
+        found = stream_changes(stream, EVENT_KEY, event_time="ts", written_at=to_micros(F.col("ts")), seq=F.col("event_id"))
+        writer = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    changes = spark.read.schema(found.schema).parquet(out)
+    return latest_rows(changes, EVENT_KEY).drop("_change", "_writetime")
+
+
 @query("stream_upsert_rejects", ERROR_ROWS_SQL)
 def stream_upsert_rejects(spark: SparkSession, d: str) -> DataFrame:
     name, rejects = new_table(spark, "stream_rejects"), scratch_dir(spark, "rejects")
