@@ -332,9 +332,12 @@ def load_table(
         log = latest_rows(log, spec, ties=TIES).withColumn(WRITTEN, every)
     else:
         log = winning_writes(log, spec, STAMP)
+    if not unique:
+        # each task writes whole buckets; reducing shuffles by key into as many parts, so Spark
+        # adds an exchange here only where the input was laid out by key in another way
+        log = log.repartition(info.buckets, *[col(c) for c in spec.columns])
     before = _attempts(spark, table)
     attempt = _next_attempt(before, load_id)
-    # reducing shuffles by key into as many parts as there are buckets, so each task writes whole ones
     with setting(spark, "spark.sql.shuffle.partitions", info.buckets):
         _publish(spark, table, log, attempt)
     if truncate:
