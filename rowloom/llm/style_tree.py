@@ -9,20 +9,30 @@ Pages of one host are merged into one tree. A node is a block element, named by
   pages says nothing about one of them, a text of one page is its own;
 
 as ``(1 - 0.9 ** n) * presentation + 0.9 ** n * content``, ``n`` being its child labels and
-content the mean over the texts of the whole branch. Leaves have content alone. Branches
-below ``LEAST`` are taken out of each page, from hosts with at least ``MIN_PAGES`` different
-pages; pages with one and the same text count once, so copies do not make their article a
-template. What the standard says is no article (menus, asides, forms and so on, and classes
-and roles that name such parts) is left out of tree and text alike; pages with an ``article``
-or ``main`` element give what is inside.
-
-Statistics are grouped sums over (host, node, text) with partial sums in the tasks, so a host
-with most pages is no hot group; what returns to the pages is the list of low branches of
-their host, no longer than a page's own branches are many.
+content the mean over the texts of the whole branch. Leaves have content alone. Of ``m``
+different pages of a host the sum counts ``m`` parts and one part more is 1, so small hosts
+are smoothed and one page says nothing; pages with one and the same text count once, so copies
+do not make their article a template.
+
+The whole page goes into the tree, menus and adverts included. What the standard, roles and
+names tell of a part (that it is navigation, an advert, reader comments) is a prior: the
+node's importance times ``UNLIKELY``, or ``DOUBTFUL`` for names that also occur inside
+articles. Branches below ``LEAST`` are taken out of each page. A part that only a name, a role
+or ``form`` makes unlikely stays on a page whose only article is inside it, or most of its
+text. Text outside ``article`` and ``main`` elements goes where they hold more than a
+``MAIN_SHARE`` of the text left.
+
+Each page is parsed once for the tree, whose rows (hashes, no texts) are staged, and once to
+extract. Statistics are grouped sums over (host, node, text) with partial sums in the tasks,
+so a host with most pages is no hot group; what returns to the pages is the list of low
+branches of their host, no longer than a page's own branches are many. Elements nested deeper
+than ``DEPTH`` blocks belong to the node at that depth (their text and marks count all the
+same), so a page with any number of unclosed elements takes time in proportion to its length.
 
 Edge cases: null and empty pages give an empty text; broken or cut pages are read as far as
-they go; a null address is a host of its own; repeated rows are extracted one by one; an
-empty table gives an empty result.
+they go; very long and deeply nested pages are read whole; a null address is a host of its
+own; repeated rows are extracted one by one; other columns are kept as they are, except one
+named like ``into``, which is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,8 +50,10 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import fresh, quoted, staged, without
 
 LEAST = 0.1
-MIN_PAGES = 8
 DECAY = 0.9
+UNLIKELY, DOUBTFUL = 0.05, 0.5  # priors
+MAIN_SHARE = 0.2
+DEPTH = 64
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,22 +77,27 @@ IMPLIED = {
     "tfoot": ({"tr", "td", "th", "tbody", "thead"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-# Parts of a page that are no article, by element, by role, and by words of class and id.
+# Parts of a page that are hardly its article, by element, by role, and by words of class and id.
 NOISE_TAGS = frozenset(
     "aside audio button canvas datalist dialog footer form head map menu nav noscript object search select svg template video".split()
 )
 NOISE_ROLES = frozenset("navigation contentinfo complementary search form banner alert dialog menu menubar".split())
 NOISE_WORDS = frozenset(
-    """ad ads adv advert adverts advertisement advertising adsense alert banner bottombar breadcrumb breadcrumbs comment
+    """ad adbox ads adslot adspace adunit adv advert adverts advertisement advertising adsense alert banner bottombar breadcrumb breadcrumbs comment
     comments consent cookie cookies copyright disclaimer discussion disqus dropdown footer gdpr legal login menu modal
     nav navbar navigation newsletter notice notification outbrain overlay pager pagination popup promo promotion related
     recommended replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe
     subscription taboola tags toolbar topbar widget widgets""".split()
 )
 HEAD_WORDS = frozenset("header masthead".split())
+# Of these, the names that sections of an article bear as well.
+ALSO_INSIDE = frozenset(
+    """alert banner copyright disclaimer dropdown footer legal login menu notice notification pager pagination related
+    recommended respond search skip tags toolbar topbar widget widgets""".split()
+)
 # Words of a class that only say where such a part stands or how it is built.
 PLAIN_WORDS = frozenset(
-    "area bar block bottom box container content global inner item items left list main outer page primary right secondary section site slot top unit wrap wrapper".split()
+    "area bar block bottom box container content global inner item items left list main outer page primary reader readers right secondary section site slot thread top unit user users visitor visitors wrap wrapper".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
@@ -90,7 +107,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-READ = frozenset("class id role itemprop hidden".split())
+READ = frozenset("class hidden id itemprop role".split())
 SIZES = re.compile(r"\d+(?:x\d+)*")
 WORDS = re.compile(r"[a-z]+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -105,42 +122,39 @@ def _hash(*parts: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "label", "path", "noise", "main", "marks", "children")
+    __slots__ = ("tag", "path", "prior", "noise", "main", "marks", "children")
 
-    def __init__(self, tag, label, path, noise, main, marks=()):
-        self.tag, self.label, self.path, self.noise, self.main, self.marks = tag, label, path, noise, main, marks
+    def __init__(self, tag, path, prior, noise, main, marks=()):
+        self.tag, self.path, self.prior, self.noise, self.main, self.marks = tag, path, prior, noise, main, marks
         self.children: list[str] = []
 
 
 class Page:
-    """A page's text blocks, (path, text, inside main) each, and its block elements.
+    """A page's text blocks and its block elements.
 
-    A path is the tuple of hashes of the nodes from the root down. Elements that only a name,
-    a role or ``form`` tells to be no article are marked and read; what stands under a mark is
-    left out at the end, unless no article or main element has text elsewhere and the marked
-    element holds one, or, where there is none at all, most of the text.
+    A path is the tuple of hashes of the nodes from the root down. ``noise`` is what stands in
+    an element that is no article wherever it stands; ``marks`` are the elements around a block
+    that only a name, a role or ``form`` makes unlikely.
     """
 
     def __init__(self, source: str):
-        root = Element("", "", (_hash(""),), False, False)
+        root = Element("", (_hash(""),), 1.0, False, False)
         self.stack = [root]
+        self.open: Counter[str] = Counter()  # tags of the stack
         self.elements = [root]
-        self.blocks: list[tuple[tuple[int, ...], str, bool]] = []
-        self.marks: list[tuple[int, ...]] = []  # of each block
+        self.blocks: list[tuple[str, Element]] = []
+        self.marked: list[int] = []  # the node of each mark
         self.holders: list[bool] = []  # of each mark: whether an article or main is inside
         self.pieces: list[str] = []
         self._read(source)
         self._flush()
-        self._leave_marked()
-        if any(b[2] for b in self.blocks):
-            self.blocks = [b for b in self.blocks if b[2]]
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
         while at < end:
             found = TOKEN.search(source, at)
             stop = found.start() if found else end
-            if stop > at and not self.stack[-1].noise:
+            if stop > at:
                 self.pieces.append(source[at:stop])
             if not found:
                 break
@@ -156,31 +170,31 @@ class Page:
                 elif tag == "plaintext":
                     break
 
-    def _leave_marked(self) -> None:
-        freed: set[int] = set()
-        if self.holders and not any(b[2] and not m for b, m in zip(self.blocks, self.marks)):
-            held = [0] * len(self.holders)
-            for block, marks in zip(self.blocks, self.marks):
-                for mark in marks:
-                    held[mark] += len(block[1])
-            freed = {i for i, holds in enumerate(self.holders) if holds and held[i]}
-            if not freed:
-                total = sum(len(b[1]) for b in self.blocks)
-                freed = {i for i, n in enumerate(held) if 2 * n > total}
-        self.blocks = [b for b, marks in zip(self.blocks, self.marks) if freed.issuperset(marks)]
-        self.elements = [e for e in self.elements if freed.issuperset(e.marks)]
+    def _freed(self, blocks: list[tuple[str, Element]]) -> set[int]:
+        """Nodes of marks that hold the page's only article, or most of its text."""
+        if not self.holders or any(e.main and not e.marks for _, e in blocks):
+            return set()
+        held = [0] * len(self.holders)
+        for text, e in blocks:
+            for mark in e.marks:
+                held[mark] += len(text)
+        freed = [i for i, holds in enumerate(self.holders) if holds and held[i]]
+        if not freed:
+            total = sum(len(t) for t, _ in blocks)
+            freed = [i for i, n in enumerate(held) if 2 * n > total]
+        return {self.marked[i] for i in freed}
 
     def _flush(self) -> None:
         if self.pieces:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             if text:
-                top = self.stack[-1]
-                self.blocks.append((top.path, text, top.main))
-                self.marks.append(top.marks)
+                self.blocks.append((text, self.stack[-1]))
             self.pieces = []
 
     def _pop_to(self, at: int) -> None:
         self._flush()
+        for e in self.stack[at:]:
+            self.open[e.tag] -= 1
         del self.stack[at:]
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -193,7 +207,7 @@ class Page:
         if tag in VOID or tag in INLINE:
             if not (found := self._named(attributes)) or tag in VOID:
                 return
-            if not self._is_noise(tag, found, True) and not self._is_marked(tag, found, True):
+            if not self._is_noise(tag, found, True) and not self._named_part(tag, found, True):
                 return
             self._flush()
         else:
@@ -206,28 +220,36 @@ class Page:
                 self._end(*IMPLIED[tag])
             self._flush()
         above = self.stack[-1]
-        noise = above.noise or self._is_noise(tag, found, above.main)
-        marks = above.marks
         opens = tag in ("article", "main") or found.get("role") == "main" or found.get("itemprop") == "articlebody"
-        main = above.main or opens
-        if not noise:
-            if opens:
-                for mark in marks:
-                    self.holders[mark] = True
-            if self._is_marked(tag, found, above.main):
-                marks = (*marks, len(self.holders))
-                self.holders.append(False)
+        own = self._is_noise(tag, found, above.main)
+        part = None if own else self._named_part(tag, found, above.main)
+        prior = UNLIKELY if own else part or 1.0
+        noise, marks = above.noise or own, above.marks
+        if opens and not noise:
+            for mark in marks:
+                self.holders[mark] = True
         label = " ".join([tag, *sorted(set(found.get("class", "").split())), "#" + found.get("id", "")])
         label = re.sub(r"\d+", "0", label)
+        label += "".join(f" {n}={found[n]}" for n in ("role", "itemprop", "hidden") if n in found)
         above.children.append(label)
-        made = Element(tag, label, (*above.path, _hash(str(above.path[-1]), label)), noise, main, marks)
-        if not noise:
+        path = above.path
+        if len(path) < DEPTH or prior < 1 and len(path) == DEPTH:
+            path = (*path, _hash(str(path[-1]), label))
+        if part == UNLIKELY and not noise and len(path) > len(above.path):
+            marks = (*marks[: DEPTH - 1], len(self.holders))
+            self.marked.append(path[-1])
+            self.holders.append(opens)
+        made = Element(tag, path, prior, noise, above.main or opens, marks)
+        if len(path) > len(above.path):
             self.elements.append(made)
         self.stack.append(made)
+        self.open[tag] += 1
 
     def _close(self, tag: str) -> None:
         if tag == "br":
             self.pieces.append(" ")
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at].tag == tag:
                 self._pop_to(at)
@@ -237,12 +259,12 @@ class Page:
 
     def _end(self, tags, scope) -> None:
         """Close the outermost of the given elements that stand open inside the scope."""
-        cut = None
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag in scope:
-                break
+        left = sum(self.open[t] for t in tags)
+        cut, at = None, len(self.stack) - 1
+        while left and at and self.stack[at].tag not in scope:
             if self.stack[at].tag in tags:
-                cut = at
+                cut, left = at, left - 1
+            at -= 1
         if cut is not None:
             self._pop_to(cut)
 
@@ -262,45 +284,63 @@ class Page:
         return tag in NOISE_TAGS and tag != "form" or "hidden" in found or tag == "header" and not in_main
 
     @staticmethod
-    def _is_marked(tag: str, found: dict[str, str], in_main: bool) -> bool:
-        """What its name tells to be no article: a whole class or id made of such words."""
+    def _named_part(tag: str, found: dict[str, str], in_main: bool) -> float | None:
+        """The prior of what its name or role tells to be hardly an article: a whole class or
+        id made of such words."""
         classes = found.get("class", "").split()
         if tag == "form" or found.get("role") in NOISE_ROLES:
-            return True
+            return UNLIKELY
         if tag in ("html", "body", "main", "article"):
-            return bool({"comment", "comments"} & set(classes))
+            return UNLIKELY if {"comment", "comments"} & set(classes) else None
         names = NOISE_WORDS if in_main else NOISE_WORDS | HEAD_WORDS
-        for name in classes:
-            words = set(WORDS.findall(SIZES.sub(" ", name)))
-            if words & names and words <= names | PLAIN_WORDS:
-                return True
+        hits = [words for name in classes if (words := set(WORDS.findall(SIZES.sub(" ", name)))) & names and words <= names | PLAIN_WORDS]
         words = set(WORDS.findall(found.get("id", "")))
-        return tag not in HEADINGS and bool(words) and words <= names
+        if tag not in HEADINGS and words & names and words <= names | PLAIN_WORDS:
+            hits.append(words)
+        if not hits:
+            return None
+        return DOUBTFUL if in_main and all(w & names <= ALSO_INSIDE for w in hits) else UNLIKELY
+
+    def unlikely(self) -> set[int]:
+        """Nodes that their prior alone brings below the least importance."""
+        return {e.path[-1] for e in self.elements if e.prior < LEAST}
 
     def text(self, low: set[int] | None = None) -> str:
-        """The main text: blocks under no low branch, in page order."""
-        return " ".join(t for path, t, _ in self.blocks if not low or low.isdisjoint(path))
+        """The main text, in page order: blocks under no low branch (by default those that are
+        unlikely), and inside the articles if these hold their share of it."""
+        low = self.unlikely() if low is None else low
+        freed = self._freed([b for b in self.blocks if not b[1].noise])
+        low = low - freed
+        kept = [(t, e) for t, e in self.blocks if low.isdisjoint(e.path)]
+        inside = sum(len(t) for t, e in kept if e.main)
+        if inside and inside > MAIN_SHARE * sum(len(t) for t, _ in kept):
+            kept = [b for b in kept if b[1].main]
+        return " ".join(t for t, _ in kept)
 
 
 def page_rows(source: str) -> list[tuple]:
-    """A page's part of its host's tree: (page, node, path, children, text, times) rows; the
-    text is null for the row that tells a node's child sequence."""
+    """A page's part of its host's tree: (page, node, path, children, text, times, prior) rows;
+    the path is empty for the row that tells a node's child sequence."""
     page = Page(source)
-    blocks = Counter((path, _hash(text)) for path, text, _ in page.blocks)
-    own = _hash(*[t for _, t, _ in page.blocks])
-    rows = [(own, path[-1], list(path), None, text, n) for (path, text), n in blocks.items()]
+    blocks = Counter((e.path, _hash(text)) for text, e in page.blocks)
+    own = _hash(*[t for t, _ in page.blocks])
+    rows = [(own, path[-1], list(path), None, text, n, None) for (path, text), n in blocks.items()]
     inside = {node for path, _ in blocks for node in path}
     styles: dict[int, list[str]] = {}
+    labels: dict[int, set[str]] = {}
+    priors: dict[int, float] = {}
     for e in page.elements:
-        if e.path[-1] in inside:
+        node = e.path[-1]
+        if node in inside:
             kept = [c for i, c in enumerate(e.children) if not i or c != e.children[i - 1]]
-            styles.setdefault(e.path[-1], []).append("\x01".join(kept))
-    labels = {e.path[-1]: len(set(e.children)) for e in page.elements}
-    rows += [(own, node, [], labels[node], _hash(*kept), 1) for node, kept in styles.items()]
+            styles.setdefault(node, []).append("\x01".join(kept))
+            labels.setdefault(node, set()).update(e.children)
+            priors[node] = e.prior
+    rows += [(own, node, [], len(labels[node]), _hash(*kept), 1, priors[node]) for node, kept in styles.items()]
     return rows
 
 
-ROWS = "host string, page long, node long, path array<long>, children int, value long, times int"
+ROWS = "host string, page long, node long, path array<long>, children int, value long, times int, prior double"
 
 
 def tree_rows(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -313,8 +353,8 @@ def tree_rows(pages: DataFrame, *, url_col: str = "url", html_col: str = "html")
                     for host, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
                     for row in page_rows(source)
                 ]
-                types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int32()]
-                names = ["host", "page", "node", "path", "children", "value", "times"]
+                types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
+                names = ["host", "page", "node", "path", "children", "value", "times", "prior"]
                 columns = zip(*rows) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -322,16 +362,16 @@ def tree_rows(pages: DataFrame, *, url_col: str = "url", html_col: str = "html")
     return pages.select(host_of(quoted(url_col)).alias("host"), text.alias("html")).mapInArrow(run, ROWS)
 
 
-def importance(rows: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host``, ``node``, ``importance`` of hosts with at least ``min_pages`` different pages."""
+def importance(rows: DataFrame) -> DataFrame:
+    """``host``, ``node``, ``m`` (different pages), ``prior``, ``importance`` (prior included)."""
     once = rows.groupBy("host", "page", "node", "path", "value").agg(
-        F.max("times").alias("times"), F.max("children").alias("children")
+        F.max("times").alias("times"), F.max("children").alias("children"), F.max("prior").alias("prior")
     )
-    pages = once.groupBy("host").agg(F.countDistinct("page").alias("m")).filter(F.col("m") >= min_pages)
+    pages = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("m"))
     n = F.col("times")
     spread = F.log("c") - F.col("s") / F.col("c")  # a value's entropy over the pages, in nats
     values = once.groupBy("host", "node", "path", "value").agg(
-        F.sum(n).alias("c"), F.sum(n * F.log(n.cast("double"))).alias("s"), F.max("children").alias("children")
+        F.sum(n).alias("c"), F.sum(n * F.log(n.cast("double"))).alias("s"), F.max("children").alias("children"), F.max("prior").alias("prior")
     )
     texts = (
         values.filter(F.size("path") > 0)
@@ -342,23 +382,26 @@ def importance(rows: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     styles = (
         values.filter(F.size("path") == 0)
         .groupBy("host", "node")
-        .agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("s"), F.max("children").alias("children"))
-        .select("host", "node", spread.alias("style"), "children")
+        .agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("s"), F.max("children").alias("children"), F.max("prior").alias("prior"))
+        .select("host", "node", spread.alias("style"), "children", "prior")
     )
     base = F.log(F.col("m").cast("double"))
     content = 1 - F.col("h") / (F.col("texts") * base)
     looks = F.col("style") / base
     held = F.pow(F.lit(DECAY), F.col("children"))
+    own = F.when(F.col("m") > 1, (1 - held) * looks + held * content).otherwise(1.0)
+    smooth = (own * F.col("m") + 1) / (F.col("m") + 1)
     return (
         texts.join(styles, ["host", "node"])
         .join(pages, "host")
-        .select("host", "node", "m", ((1 - held) * looks + held * content).alias("importance"))
+        .select("host", "node", "m", "prior", (F.col("prior") * smooth).alias("importance"))
     )
 
 
-def low_branches(pages: DataFrame, *, least: float = LEAST, min_pages: int = MIN_PAGES, **columns) -> DataFrame:
+def low_branches(pages: DataFrame, *, least: float = LEAST, **columns) -> DataFrame:
     """``host`` and ``low``, its branches of low importance."""
-    found = importance(tree_rows(pages, **columns), min_pages).filter(F.col("importance") < least)
+    rows = staged(tree_rows(pages, **columns), "style-tree")
+    found = importance(rows).filter(F.col("importance") < least)
     return found.groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
@@ -368,7 +411,6 @@ def main_text(
     url_col: str = "url",
     html_col: str = "html",
     least: float = LEAST,
-    min_pages: int = MIN_PAGES,
     into: str = "text",
 ) -> DataFrame:
     """``pages`` with their main text in the column ``into``."""
@@ -376,14 +418,11 @@ def main_text(
     @F.arrow_udf("string")
     def extract(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for sources, low in batches:
-            out = [Page(s).text(set(n) if n else None) for s, n in zip(sources.to_pylist(), low.to_pylist())]
+            out = [Page(s).text(set(n or ())) for s, n in zip(sources.to_pylist(), low.to_pylist())]
             yield pa.array(out, pa.string())
 
     text = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
-    low = low_branches(pages, least=least, min_pages=min_pages, url_col=url_col, html_col=html_col)
-    low = staged(low, "low-branches")
-    if low.isEmpty():  # no page has a branch to lose: none has to meet its host
-        return pages.select(*without(pages, into), extract(text, F.lit(None).cast("array<long>")).alias(into))
+    low = staged(low_branches(pages, least=least, url_col=url_col, html_col=html_col), "low-branches")
     host, list_ = fresh(pages, "tree_host"), fresh(pages, "tree_low")
     names = low.select(F.col("host").alias(host), F.col("low").alias(list_))
     joined = pages.join(names, host_of(quoted(url_col)) == F.col(host), "left")

@@ -215,6 +215,14 @@ LOOSE = [
 ]
 
 
+LOOSE += [
+    ("<div class='story'>" + "A long story. " * 20 + "</div><article>teaser one</article><article>teaser two</article>",
+     "A long story. " * 20 + "teaser one teaser two"),
+    ("<article><p>a</p><div class='legal'>On law</div><section class='search'>On search</section></article>", "a On law On search"),
+    ("<article>a<div class='reader-comments'>q</div><div class='user-replies'>q</div><div class='adbox'>q</div></article>", "a"),
+]
+
+
 @pytest.mark.parametrize("source, text", LOOSE)
 def test_names_and_values_cut_no_article(source, text):
     assert style_tree.Page(source).text() == text
@@ -231,6 +239,67 @@ def test_articles_of_the_tables(spark):
         assert r.n_chars == len(r.text)
 
 
+def brute_low(sources):
+    """Low branches of one host's pages, by plain sums over pages and texts."""
+    pages = {}
+    for source in sources:
+        page = style_tree.Page(source)
+        pages.setdefault(tuple(t for t, _ in page.blocks), page)
+    m = len(pages)
+    entropy = lambda counts: -sum(c / sum(counts) * math.log(c / sum(counts)) for c in counts) / math.log(m)
+    texts, looks, labels, priors = {}, {}, {}, {}
+    for page in pages.values():
+        for text, e in page.blocks:
+            texts.setdefault((e.path, text), Counter())[id(page)] += 1
+        nodes = {n for _, e in page.blocks for n in e.path}
+        for node in nodes:
+            own = [e for e in page.elements if e.path[-1] == node]
+            seq = tuple(tuple(c for i, c in enumerate(e.children) if not i or c != e.children[i - 1]) for e in own)
+            looks.setdefault(node, Counter())[seq] += 1
+            labels[node] = max(labels.get(node, 0), len({c for e in own for c in e.children}))
+            priors[node] = own[-1].prior
+    low = set()
+    for node, n in labels.items():
+        inside = [entropy(list(c.values())) for (path, _), c in texts.items() if node in path]
+        content = 1 - sum(inside) / len(inside)
+        own = (1 - 0.9**n) * entropy(list(looks[node].values())) + 0.9**n * content
+        if priors[node] * (own * m + 1) / (m + 1) < style_tree.LEAST:
+            low.add(node)
+    return low
+
+
+def test_importance_matches_brute_force(spark):
+    """Hosts of the tables and a host of templates; the tree finds low branches on each."""
+    from urllib.parse import urlsplit
+
+    hosts = {}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        hosts.setdefault(urlsplit(r.url).netloc.lower(), []).append(r.html)
+    hosts = dict(sorted(hosts.items(), key=lambda h: -len(h[1]))[:3])
+    page = "<div class='tmpl'>Same words on all pages</div><div class='t{0}'><p>Own {1}</p><ul><li>{0}</ul></div><nav>x{1}</nav>"
+    hosts["site.example"] = [page.format(i % 3, f"n{i}") for i in range(24)]
+    rows = [(f"http://{h}/{i}", s) for h, own in hosts.items() for i, s in enumerate(own)]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    got = {r.host: set(r.low) for r in style_tree.low_branches(pages).collect()}
+    assert got == {h: brute_low(own) for h, own in hosts.items()}
+    assert all(got.values())
+    # the template goes by entropy, the navigation by its prior
+    text = style_tree.Page(hosts["site.example"][0]).text(got["site.example"])
+    assert text == "Own n0 0"
+
+
+def test_deep_pages_take_time_by_length():
+    import time
+
+    start = time.process_time()
+    for source in ("<div>x" * 50_000, "<form><p>a<section role=search><b>" * 20_000, "<table><tr><td>y" * 20_000, "</p>" * 50_000):
+        page = style_tree.Page(source)
+        assert page.text(set()).split() == [t for t, _ in page.blocks]
+        style_tree.page_rows(source)
+    assert style_tree.Page("<div>" * 100 + "in<nav>menu</nav>" + "<div class=ad>z</div>").text() == "in"
+    assert time.process_time() - start < 60
+
+
 def test_template_branches_are_removed_and_copies_stay(spark):
     page = "<body><div class='tmpl'>Same words on all pages</div><div class='text t{0}'><p>Own text {1} of this page</p><p>Second {1}</p></div></body>"
     rows = [(i, f"http://site.example/{i}", page.format(i % 3, f"n{i}")) for i in range(30)]
