@@ -8,13 +8,15 @@ word, and the word its place in the original text.
 
 Size. The automaton is sent to the tasks only because its size is bounded: patterns are
 counted first, and above ``max_pattern_chars`` characters the items are dealt into so many
-groups by hash, each group's automaton scanning the documents in a pass of its own. Items
+groups by hash, each group's automaton scanning the documents in a pass of its own, whose rows
+are written. Items
 longer than a group are dealt by pattern, so no group is beyond the bound. Only the patterns
 of one group are on the driver at a time. Documents are never shuffled by the scan.
 
 Edge cases: null and empty texts have no words; items without words match nothing; a null
 item id is reported as an empty text; repeated rows are scanned one by one, repeated items
-count once per id; empty tables give no hits or no rows.
+count once per id; texts are scanned whole, however long; other columns are kept as they are,
+whatever their names; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.llm.common import fresh, quoted, text_bytes
+from rowloom.llm.common import fresh, quoted, staged, text_bytes
 
 WINDOW = 10
 MAX_PATTERN_CHARS = 16_000_000  # an automaton of some hundred megabytes at most
@@ -191,6 +193,8 @@ def find_hits(
         else:
             more = fresh(out, f"{into}_more")
             out = out.withColumn(more, found).withColumn(into, _merged(into, more)).drop(more)
+        if groups > 1:  # a pass of its own, so that one automaton is held at a time
+            out = staged(out, "scanned")
     return out
 
 

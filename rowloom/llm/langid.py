@@ -207,6 +207,8 @@ def fuse(evidence: DataFrame, languages: list[str], *, strength: float = STRENGT
     levels = hosts.join(suffixes, F.col("suffix") == F.col("end")).select(
         F.col("host").alias("of_host"), F.col("suffix").alias("of_suffix"), "host_votes", "end_votes"
     )
+    # written: Spark splits a hot host only if both sides of the join are shuffled as they are
+    levels = staged(levels, "hosts")
     joined = rows.join(levels, (F.col("host") == F.col("of_host")) & (F.col("suffix") == F.col("of_suffix")))
     less = lambda votes: F.zip_with(votes, F.col("vote"), lambda v, own: F.greatest(v - own, F.lit(0.0)))
     place = smoothed(less(F.col("host_votes")), smoothed(less(F.col("end_votes")), prior))

@@ -263,7 +263,8 @@ def repeated_spans(
     part = F.zip_with("starts", "stops", lambda s, e: F.struct((F.col("lo") + s).alias("start"), (F.col("lo") + e).alias("stop")))
     single = staged(each.filter("n = 1").select("a", "c").join(marks, ["a", "c"]), "single")
     some = hits.join(single, ["a", "c"]).select("id", "tie", part.alias("spans"))
-    return full.union(some).groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # repeats of one row give equal spans, of which each task and group keeps one
+    return full.union(some).groupBy("id", "tie").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
