@@ -201,5 +201,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
+    "op11_repair": repair.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
 }

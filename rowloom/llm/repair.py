@@ -387,3 +387,85 @@ def _in_chunks(rest: DataFrame, id_type: T.DataType) -> tuple[DataFrame, DataFra
                 yield _batch([{c: r[c] for c in ("id", "pieces", "part", "piece")} | {"turns": turns}], turn_arrow)
 
     return reports, planned.mapInArrow(apply, turn_schema)
+
+
+ORACLE = """
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+-- crc32 of the name: each byte, then eight single bits (-1)
+kinds AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(name, ''),
+             lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END),
+         4294967295) % 20 AS kind
+  FROM source),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+faulty AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM marked),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+-- states: 0 before all, 1 after s, 2 after u, 3 after a; what insertion alone leads to
+steps AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS t(p, role, q)),
+inserted AS (
+  SELECT * FROM (VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'),
+                        (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')) AS t(p, q, cost, audit)),
+edits AS (
+  SELECT conv_id, i, p, p AS q, 3 AS cost, 'D' AS audit FROM faulty, range(4) AS s(p)
+  UNION ALL
+  SELECT conv_id, i, p, q, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END, 'K'
+  FROM faulty JOIN steps ON steps.role = left(faulty.role, 1) WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, p, q, 2 + CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END, 'R'
+  FROM faulty JOIN steps ON steps.role <> 's' WHERE fault NOT IN ('blank', 'duplicate')),
+cells AS (
+  SELECT conv_id, 0::BIGINT AS i, q, {'cost': cost, 'audit': audit} AS best FROM facts, inserted WHERE p = 0
+  UNION ALL
+  SELECT c.conv_id, c.i + 1, s.q,
+         min({'cost': c.best.cost + e.cost + s.cost, 'audit': c.best.audit || e.audit || s.audit})
+  FROM cells AS c JOIN edits AS e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.i = c.i + 1 AND e.p = c.q
+  JOIN inserted AS s ON s.p = e.q
+  GROUP BY c.conv_id, c.i, s.q),
+found AS (
+  SELECT f.*, c.best.cost AS cost, c.best.audit AS audit
+  FROM facts AS f JOIN (
+    SELECT c.conv_id, min(best) AS best FROM cells AS c JOIN facts AS f
+    ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.n = c.i WHERE q IN (0, 3) GROUP BY c.conv_id) AS c
+  ON c.conv_id IS NOT DISTINCT FROM f.conv_id),
+letters AS (
+  SELECT conv_id, audit, pos, substr(audit, pos, 1) AS letter, length(replace(audit, 'D', '')) % 2 AS odd,
+         length(replace(left(audit, pos), 'I', '')) AS i, length(replace(left(audit, pos), 'D', '')) - 1 AS o
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS pos FROM found)),
+lines AS (
+  SELECT l.conv_id, l.pos, CASE WHEN letter = 'K' THEN r.role WHEN (o - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+         || ':' || CASE WHEN letter = 'I' THEN '' ELSE r.text END AS line
+  FROM letters AS l LEFT JOIN faulty AS r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i
+  WHERE letter <> 'D'),
+mended AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM lines GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(m.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS a
+LEFT JOIN found AS f ON f.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN mended AS m ON m.conv_id IS NOT DISTINCT FROM a.conv_id
+"""

@@ -8,6 +8,7 @@ import zlib
 from itertools import groupby
 
 import pytest
+from checker import differences, duck
 from conftest import SF
 from rowloom.llm import repair
 from rowloom.llm.queries import damaged, op11_repair
@@ -83,6 +84,11 @@ def test_conversations_of_the_table(spark):
     assert got == {i: want.get(i, empty) for i in ids}
 
 
+def test_results_match_sql(spark):
+    got = op11_repair(spark, SF).toArrow()
+    assert differences(got, duck(SF).sql(repair.ORACLE).to_arrow_table()) == []
+
+
 def random_rows(rng, conversations, longest):
     roles = ["user", "assistant", "system", "user", "assistant", "tool", "", "umpire"]
     texts = ["Yes.", "No!", "and so", "", " \t", "Why?", "more. "]
