@@ -119,6 +119,24 @@ def lookup_limit_(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "lookup_limit_condition",
+    f"""WITH {_REPEATED_CUSTOMERS}
+        SELECT o.* FROM driver, LATERAL (
+          SELECT * FROM orders WHERE o_custkey = driver.c_custkey AND o_totalprice > driver.c_acctbal * 20
+          ORDER BY o_orderdate DESC, o_orderkey LIMIT 2) o""",
+)
+def lookup_limit_condition(spark: SparkSession, d: str) -> DataFrame:
+    return lookup_limit(
+        repeated_customers(spark, d),
+        table(spark, d, "orders"),
+        {"o_custkey": "c_custkey"},
+        [F.desc("o_orderdate"), F.col("o_orderkey")],
+        2,
+        F.col("t.o_totalprice") > F.col("row.c_acctbal") * 20,
+    )
+
+
 @query(
     "lookup_range",
     f"""WITH {_REPEATED_CUSTOMERS}

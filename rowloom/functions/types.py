@@ -32,6 +32,14 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of the frames has it in any case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def is_collection(dtype: T.DataType) -> bool:
     return isinstance(dtype, _COLLECTION)
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from rowloom.functions.types import col, quoted, row_hash
+from rowloom.functions.types import col, quoted, row_hash, unused
 
 
 def pairs_of(on: Mapping[str, str] | Sequence[str] | str) -> list[tuple[str, str]]:
@@ -47,6 +47,7 @@ def lookup_limit(
     on: Mapping[str, str] | Sequence[str] | str,
     order_by: Sequence[Column],
     n: int,
+    where: Column | None = None,
 ) -> DataFrame:
     """Like :func:`lookup`, but at most ``n`` target rows per driver row.
 
@@ -56,7 +57,14 @@ def lookup_limit(
     a hot key never reaches one task whole. Spark does this up to
     ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, each key is
     first limited within as many parts as there are shuffle partitions.
+
+    With ``where`` (a further condition on ``row.x`` and ``t.y``) driver rows of
+    one key may have other answers: each distinct driver row is joined under the
+    condition and limited, again in each task before the shuffle, so no more
+    than ``n`` rows of a task leave it for each.
     """
+    if where is not None:
+        return _limited_where(driver, target, on, order_by, n, where)
     pairs = pairs_of(on)
     keys = [t for t, _ in pairs]
     wanted = driver.select(*[col(d).alias(t) for t, d in pairs])
@@ -71,6 +79,29 @@ def lookup_limit(
     return lookup(wanted, limited(matched.select(*[col(c) for c in target.columns]), keys, order_by, n), keys)
 
 
+def _limited_where(
+    driver: DataFrame,
+    target: DataFrame,
+    on: Mapping[str, str] | Sequence[str] | str,
+    order_by: Sequence[Column],
+    n: int,
+    where: Column,
+) -> DataFrame:
+    asked = driver.dropna(subset=[d for _, d in pairs_of(on)])
+    times = unused("_times", driver, target)
+    rows = asked.groupBy(*[col(c) for c in driver.columns]).agg(F.count(F.lit(1)).alias(times))
+    mine = [unused(f"_row{i}", driver, target) for i in range(len(driver.columns))]
+    condition = where
+    for target_col, driver_col in pairs_of(on):
+        condition = (F.col(f"t.{quoted(target_col)}") == F.col(f"row.{quoted(driver_col)}")) & condition
+    joined = rows.alias("row").join(target.alias("t"), condition, "inner").select(
+        "t.*", F.col(f"row.{times}"), *[F.col(f"row.{quoted(c)}").alias(m) for c, m in zip(driver.columns, mine)]
+    )
+    found = limited(joined, mine, order_by, n)
+    again = found.withColumn(times, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))))
+    return again.select(*[col(c) for c in target.columns])
+
+
 def limited(target: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key."""
     if not order_by:
@@ -87,5 +118,6 @@ def limited(target: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
 
 
 def _first(df: DataFrame, group: WindowSpec, order_by: Sequence[Column], n: int) -> DataFrame:
+    name = unused("_nth", df)
     nth = F.row_number().over(group.orderBy(*order_by))
-    return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
+    return df.withColumn(name, nth).where(F.col(name) <= n).drop(name)

@@ -8,20 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.bins import Cuts, cuts
-from rowloom.functions.types import col, quoted, row_hash
+from rowloom.functions.types import col, quoted, row_hash, unused
 from rowloom.operators.lookup import pairs_of
 
 # Most bins that quantiles are taken for.
 MOST_BINS = 1024
 
 
-def _unused(name: str, *frames: DataFrame) -> str:
-    taken = {c.lower() for df in frames for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def _bins(df: DataFrame) -> int:
     return min(MOST_BINS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -64,7 +57,7 @@ def lookup_range(
     if inclusive not in ("both", "low", "high", "neither"):
         raise ValueError(f"inclusive is both, low, high or neither, not {inclusive!r}")
     found = bins if isinstance(bins, Cuts) else cuts(target, col(value), bins or _bins(target))
-    bin_, part, lo, hi = (_unused(n, driver, target) for n in ("_bin", "_part", "_low", "_high"))
+    bin_, part, lo, hi = (unused(n, driver, target) for n in ("_bin", "_part", "_low", "_high"))
 
     known = target.where(col(value).isNotNull()).withColumn(bin_, found.bin(col(value)))
     # exact copies of a row are told apart by the task they come from
@@ -134,8 +127,8 @@ def lookup_as_of(
         raise ValueError(f"direction is before or after, not {direction!r}")
     (target_time, driver_time), pairs = next(iter(at.items())), pairs_of(on)
     names = [f"_key{i}" for i in range(len(pairs))]
-    keys = [_unused(k, driver, target) for k in names]
-    time, mine, slice_, nth = (_unused(c, driver, target) for c in ("_time", "_mine", "_slice", "_nth"))
+    keys = [unused(k, driver, target) for k in names]
+    time, mine, slice_, nth = (unused(c, driver, target) for c in ("_time", "_mine", "_slice", "_nth"))
 
     asked = driver.select(*[col(d).alias(k) for k, (_, d) in zip(keys, pairs)], col(driver_time).alias(time))
     asked = asked.dropna()
@@ -146,7 +139,7 @@ def lookup_as_of(
     rows = rows.join(wanted.select(*keys).distinct(), keys, "left_semi")
     found = slices if isinstance(slices, Cuts) else cuts(target, col(target_time), slices or _bins(target))
 
-    tie = _unused("_tie", driver, target)
+    tie = unused("_tie", driver, target)
     both = rows.select("*", F.lit(True).alias(mine), row_hash(target).alias(tie)).unionByName(
         wanted.withColumn(mine, F.lit(False)), allowMissingColumns=True
     )
@@ -158,7 +151,7 @@ def lookup_as_of(
     own = F.count_if(F.col(mine)).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     numbered = both.withColumn(nth, own)
     before = Window.partitionBy(*keys).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
-    carried = _unused("_carried", driver, target)
+    carried = unused("_carried", driver, target)
     sums = both.groupBy(*keys, slice_).agg(F.count_if(F.col(mine)).alias(nth)).select(
         *keys, slice_, F.coalesce(F.sum(nth).over(before), F.lit(0)).alias(carried)
     )

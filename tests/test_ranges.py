@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_plans import plan, settings
 
 from rowloom.functions.bins import Cuts, cuts
+from rowloom.operators.lookup import lookup_limit
 from rowloom.operators.ranges import lookup_as_of, lookup_range
 
 
@@ -135,3 +136,17 @@ def test_bad_arguments(spark):
     with pytest.raises(ValueError):
         lookup_as_of(t, t, [], {"at": "at"})
     assert lookup_as_of(t, t.limit(0), "k", {"at": "at"}).count() == 0
+
+
+def test_limits_hold_per_row_under_a_condition(spark):
+    rng = random.Random(4)
+    target = [(rng.choice([1, 1, 2, None]), rng.randrange(40), i) for i in range(300)]
+    driver = [(rng.choice([1, 2, 3, None]), rng.choice([5, 20, None])) for _ in range(60)]
+    t = spark.createDataFrame(target, "k int, v int, _row0 int")
+    d = spark.createDataFrame(driver, "k int, most int")
+    got = lookup_limit(d, t, "k", [F.desc("v"), F.col("_row0")], 4, F.col("t.v") < F.col("row.most"))
+    want = Counter()
+    for k, most in driver:
+        own = [r for r in target if k is not None and most is not None and r[0] == k and r[1] < most]
+        want.update(sorted(own, key=lambda r: (-r[1], r[2]))[:4])
+    assert counted(got) == want
