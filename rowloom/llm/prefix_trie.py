@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import partitions, quoted, staged
 
-LIMIT = 2048  # different sequences of a container
+LIMIT = 256  # different sequences of a container
 CHUNK = 1 << 16  # ids of a chunk of text that a digest reads
 
 
