@@ -9,7 +9,8 @@ shuffled.
 
 Edge cases: null and empty texts have no words, fail the base rules and score the bias;
 without labels every text scores 0.5 and is kept if the base rules hold; repeated rows
-score alike; an empty table gives an empty result; other columns are kept as they are.
+score alike; an empty table gives an empty result; other columns are kept as they are,
+except one named like ``into``, which is replaced.
 """
 
 from __future__ import annotations

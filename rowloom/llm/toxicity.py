@@ -11,7 +11,8 @@ hash of their id.
 
 Edge cases: null and empty texts have no features and score the bias; without labels every
 text scores 0.5; rows whose label is null teach nothing; repeated rows score alike; an empty
-table gives an empty result; other columns are kept as they are.
+table gives an empty result; other columns are kept as they are,
+except one named like ``into``, which is replaced.
 """
 
 from __future__ import annotations
