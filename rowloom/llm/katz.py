@@ -1,39 +1,41 @@
-"""Language-model scoring: a Katz backoff bigram model, counted on the whole training part.
+"""Language-model scoring: a Katz backoff model of any order, counted on the whole training part.
 
-Tokens are a text's words (A-Z lowered) and one end. For a history ``h`` (a word or the
-start) and a word ``w`` with counts ``c``
+Tokens are a text's words (A-Z lowered) and one end. For a history ``h`` (up to ``order - 1``
+tokens, fewer at the start, which is a token of its own) and a word ``w`` with counts ``c``
 
-    P(w | h) = d(c(hw)) c(hw) / c(h)   if c(hw) > 0,   else   a(h) P(w),
+    P(w | h) = d(c(hw)) c(hw) / c(h)   if c(hw) > 0,   else   a(h) P(w | h without its first token),
     P(w)     = d1(c(w)) c(w) / N       if c(w) > 0,    else   what is left for unknown words,
 
-``d`` and ``d1`` being Good-Turing discounts of counts up to ``GT_MAX``. ``a(h)`` is the mass
-left by the seen words of ``h`` over the mass of all others, from sums over every seen word,
-so each history sums to one. A history that leaves nothing (no small count) is divided by
-``c(h) + 1`` instead; a history never seen backs off whole.
+``d`` (one per order) and ``d1`` being Good-Turing discounts of counts up to ``GT_MAX``. ``a(h)``
+is the mass left by the seen words of ``h`` over the lower order's mass of all others, from sums
+over every seen word, so each history sums to one. A history that leaves nothing (no small count)
+is divided by ``c(h) + 1`` instead; a history never seen backs off whole.
 
 Layout. Documents are gathered into chunks (about a million tokens of one task) and counted
 there first. A chunk sends each bucket of words its sorted distinct words and counts as packed
 arrays; the bucket sums them and answers every chunk with the words' numbers and counts. Then
-the same for pairs: buckets hold whole histories, so they can sum up followers; histories with
-more than ``1 / (4 buckets)`` of all tokens are split over all buckets by pair, and their sums
-(at most ``4 buckets`` of them) are joined on the driver. A chunk asks for each of its pairs
-once, however often it stands there, so no hot word or text makes a hot group. Word and pair
-counts are kept as tables partitioned by kind and bucket. Chunks are kept in a table bucketed
-by chunk, so answers come back to them without moving texts again.
-
-The order is two: with three words a history nearly every trigram of these tables is new, and
-its counts alone would take more than the disk allowed.
+the same for pairs, triples and so on, level by level: a gram is its history's number, which the
+level below has answered, and a word's. It is sent with the lower order's probability of its
+word, which the answers of the levels below give by the recursion above. Buckets hold whole
+histories, so they can sum up followers; histories with more than ``1 / (4 buckets)`` of all
+tokens are split over all buckets by gram, and their sums, added up by Spark, reach the driver
+(at most ``4 buckets`` histories a level). A chunk asks for each of its grams once, however often
+it stands there, so no hot word or text makes a hot group. Counts of each level are kept as a
+table partitioned by kind and bucket. Chunks are kept in a table bucketed by chunk, so answers
+come back to them without moving texts again. The number of buckets grows with the counted
+tokens, so a bucket, which one task holds at a time, stays of one size as the input grows.
 
 Edge cases: null and empty texts are the end alone; a null id is never held out; without
-training rows every word is unknown and has probability one; repeated rows are counted and
-scored one by one; an empty table gives an empty result.
+training rows every word is unknown and has probability one; a very long text is one chunk;
+repeated rows are counted and scored one by one; only the id and text columns are read, so
+others may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +48,12 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import partitions, quoted, scratch, text_bytes
 
 CHUNK_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 22  # tokens a bucket, about
 GT_MAX = 5
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds white space
 MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd factor
 CHUNKS = "chunk long, ids array<{}>, held array<boolean>, lengths array<int>, tokens binary, words binary, counts binary"
-ANSWERS = "kind string, chunk long, bucket int, a binary, b binary, c binary"
+ANSWERS = "kind string, chunk long, bucket int, a binary, b binary, c binary, d binary"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -116,16 +119,19 @@ class Unigrams:
 
 
 @dataclass
-class Bigrams:
+class Grams:
+    """Totals of one level: discounts, first gram number of each bucket, sums of split histories."""
+
     discounts: np.ndarray
-    hot: dict[int, tuple[np.ndarray, float]] = field(default_factory=dict)  # sums of split histories
+    starts: np.ndarray
+    hot: dict[int, tuple[np.ndarray, float]]
 
 
 def _factor(d: np.ndarray, c: np.ndarray) -> np.ndarray:
     return d[np.where(c <= GT_MAX, c, 0)]
 
 
-def unigrams(n: np.ndarray, tokens: int, types: int, docs: int, sizes: list[int]) -> Unigrams:
+def unigrams(n: np.ndarray, tokens: int, types: int, docs: int, starts: np.ndarray) -> Unigrams:
     d = good_turing(n)
     d[0] = 1.0
     left = float(sum((1 - d[r]) * r * n[r] for r in range(1, GT_MAX + 1)))
@@ -135,12 +141,12 @@ def unigrams(n: np.ndarray, tokens: int, types: int, docs: int, sizes: list[int]
         unknown, scale = left / tokens, 1 / tokens
     else:
         unknown, scale = 1 / (tokens + 1), 1 / (tokens + 1)
-    return Unigrams(tokens, types, docs, d, unknown, scale, np.cumsum([0, *sizes])[:-1])
+    return Unigrams(tokens, types, docs, d, unknown, scale, starts)
 
 
 def left_mass(n: np.ndarray, seen: np.ndarray, history: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Backoff weights and denominators of histories, from their numbers of followers seen
-    once, twice, ... (rows of ``n``), the followers' unigram mass, and their counts."""
+    once, twice, ... (rows of ``n``), the followers' lower-order mass, and their counts."""
     taken = ((1 - d[1 : GT_MAX + 1]) * np.arange(1, GT_MAX + 1) * n).sum(1)
     none = ~(n[:, : GT_MAX] * (d[1 : GT_MAX + 1] < 1)).any(1)
     below = np.where(none, history + 1.0, history)
@@ -203,8 +209,8 @@ def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-ANSWER_NAMES = ["kind", "chunk", "bucket", "a", "b", "c"]
-ANSWER_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+ANSWER_NAMES = ["kind", "chunk", "bucket", "a", "b", "c", "d"]
+ANSWER_TYPES = [pa.string(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
 
 
 def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -233,13 +239,13 @@ def _count_words(chunks: DataFrame, buckets: int) -> DataFrame:
         kept = total[known]
         tally = np.bincount(np.minimum(kept, GT_MAX + 2), minlength=GT_MAX + 3)
         rows = [
-            ("words", None, bucket, pack_sorted(words[known]), pack(kept), None),
-            ("word_tally", None, bucket, pack(np.r_[tally, kept.sum(), known.sum()]), None, None),
+            ("words", None, bucket, pack_sorted(words[known]), pack(kept), None, None),
+            ("tally", None, bucket, pack(np.r_[tally, kept.sum(), known.sum()]), None, None, None),
         ]
         at = 0
         for chunk, w, _ in sent:
             own = back[at : at + len(w)]
-            rows.append(("word_answer", chunk, bucket, pack(number[own] + 1), pack(total[own]), None))
+            rows.append(("answer", chunk, bucket, pack(number[own] + 1), pack(total[own]), None, None))
             at += len(w)
         return pa.Table.from_batches([_rows(rows, ANSWER_NAMES, ANSWER_TYPES)])
 
@@ -248,96 +254,151 @@ def _count_words(chunks: DataFrame, buckets: int) -> DataFrame:
 
 
 class Chunk:
-    """A chunk with its words' numbers and counts, and its distinct pairs."""
+    """A chunk's tokens with their probability and gram at one level, and its distinct grams of
+    the next: level one at first, one more with each ``extend`` and its answers.
 
-    def __init__(self, row: dict, answers: list[tuple[int, bytes, bytes]], uni: Unigrams, buckets: int):
-        self.local = unpack(row["tokens"])
+    ``told`` are the answers of all levels so far, as (level, bucket, four packed columns).
+    """
+
+    def __init__(self, row: dict, told: list[tuple], uni: Unigrams, levels: list[Grams], buckets: int):
+        self.uni, self.buckets = uni, buckets
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
+        self.first = np.cumsum(self.lengths) - self.lengths
         numbers, counts = [], []
-        for bucket, a, b in sorted(answers):
+        for bucket, a, b, *_ in sorted(t[1:4] for t in told if t[0] == 1):
             number = unpack(a) - 1
             numbers.append(np.where(number >= 0, number + uni.starts[bucket], -1))
             counts.append(unpack(b))
-        self.number, self.count = np.concatenate(numbers), np.concatenate(counts)
-        unknown, start = len(self.number), len(self.number) + 1
-        number = np.r_[self.number, uni.types, uni.types + 1]  # unknown words, the start
-        count = np.r_[self.count, 0, uni.docs]
-        words = np.where(self.number >= 0, np.arange(len(self.number)), unknown)[self.local]
-        first = np.cumsum(self.lengths) - self.lengths
-        history = np.r_[start, words[:-1]] if len(words) else words
-        history[first] = start
-        self.words, self.histories = words, history
-        code = history.astype(np.int64) * (start + 1) + words
-        pairs, self.pair = np.unique(code, return_inverse=True)
+        words = unpack(row["tokens"])
+        self.node = np.concatenate(numbers)[words]  # the gram that ends at each token, if seen
+        self.count = np.concatenate(counts)[words]
+        self.word = np.where(self.node >= 0, self.node, uni.types)
+        self.word_count, self.p = self.count, uni.p(self.count)
+        self.level = 1
+        for level, grams in enumerate(levels, 2):
+            self.extend()
+            self._answered(grams, [t[1:] for t in told if t[0] == level])
+
+    def extend(self) -> None:
+        """The distinct grams one token longer: history, word, and what is known of both."""
+        history, below = np.roll(self.node, 1), np.roll(self.count, 1)
+        history[self.first] = self.uni.types if self.level == 1 else -1  # the start, a word's number no other has
+        below[self.first] = self.uni.docs if self.level == 1 else 0
+        every, short = np.unique(history, return_inverse=True)
+        _, at, self.gram = np.unique(short * (self.uni.types + 1) + self.word, return_index=True, return_inverse=True)
         learned = np.repeat(~self.held, self.lengths)
-        self.times = np.bincount(self.pair[learned], minlength=len(pairs))
-        h, w = pairs // (start + 1), pairs % (start + 1)
-        self.h, self.w, self.h_count, self.w_count = number[h], number[w], count[h], count[w]
-        self.asked = self.h_count > 0
-        self.hot = self.h_count * 4 * buckets > uni.tokens
+        self.times = np.bincount(self.gram[learned], minlength=len(at))
+        self.h, self.w, self.h_count, self.at = history[at], self.word[at], below[at], at
+        self.hot = self.h_count * 4 * self.buckets > self.uni.tokens
         with np.errstate(over="ignore"):
             mixed = self.h.astype(np.uint64) * MIX
             spread = (mixed ^ (mixed >> np.uint64(31)) ^ self.w.astype(np.uint64)) * MIX
-        self.bucket = np.where(self.hot, spread >> np.uint64(33), mixed >> np.uint64(33)).astype(np.int64) % buckets
-
-    def sent(self, bucket: int) -> np.ndarray:
-        return np.flatnonzero(self.asked & (self.bucket == bucket))
-
-
-def _by_chunk(frame: pa.Table) -> list[tuple]:
-    return list(zip(*[frame[x].to_pylist() for x in ("kind", "bucket", "a", "b", "c")]))
-
+        bucket = np.where(self.hot, spread >> np.uint64(33), mixed >> np.uint64(33)).astype(np.int64) % self.buckets
+        asked = np.flatnonzero(self.h_count > 0)
+        order = asked[np.argsort(bucket[asked], kind="stable")]
+        found, cuts = np.unique(bucket[order], return_index=True)
+        self.sent = dict(zip(found.tolist(), np.split(order, cuts[1:])))
+        self.level += 1
+
+    def lower(self) -> np.ndarray:
+        """What gives the lower order's probability of each gram's word: short counts where
+        they do, else the probability."""
+        return self.word_count[self.at] if self.level == 2 else self.p[self.at]
+
+    def _answered(self, grams: Grams, told: list[tuple]) -> None:
+        size = len(self.h)
+        times, node = np.zeros(size, np.int64), np.full(size, -1)
+        weight, below = np.ones(size), np.ones(size)
+        for bucket, x, y, z, numbers in told:
+            at = self.sent[bucket]
+            times[at] = unpack(x)
+            if numbers is not None:
+                number = unpack(numbers) - 1
+                node[at] = np.where(number >= 0, number + grams.starts[bucket], -1)
+            cold = at[~self.hot[at]]
+            every, own = np.unique(self.h[cold], return_inverse=True)
+            history = np.zeros(len(every))
+            history[own] = self.h_count[cold]
+            a, b = left_mass(unpack(y).reshape(len(every), GT_MAX), unpack(z), history, grams.discounts)
+            weight[cold], below[cold] = a[own], b[own]
+        hot = np.flatnonzero(self.hot & (self.h_count > 0))
+        for h in np.unique(self.h[hot]).tolist():
+            at = hot[self.h[hot] == h]
+            n, mass = grams.hot.get(h, (np.zeros(GT_MAX), 0.0))
+            a, b = left_mass(n[None], np.array([mass]), self.h_count[at[:1]], grams.discounts)
+            weight[at], below[at] = a[0], b[0]
+        p = np.where(times > 0, _factor(grams.discounts, times) * times / below, weight * self.p[self.at])
+        # tokens after an unseen history keep their own lower probability
+        self.p = np.where(self.h_count[self.gram] > 0, p[self.gram], self.p)
+        self.node, self.count = node[self.gram], times[self.gram]
+
+
+TOLD = ["level", "bucket", "a", "b", "c", "d"]
+
+
+def _told(frame: pa.Table) -> list[tuple]:
+    return list(zip(*[frame[x].to_pylist() for x in TOLD]))
+
+
+def _count_grams(
+    chunks: DataFrame, answers: DataFrame, uni: Unigrams, levels: list[Grams], buckets: int, last: bool
+) -> DataFrame:
+    """Counts of the level above ``levels``; grams are numbered unless it is the last."""
+    words_below = not levels  # the level below is that of words: counts stand for probabilities
 
-def _count_pairs(chunks: DataFrame, answers: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        told = [(bucket, a, b) for _, bucket, a, b, _ in _by_chunk(right)]
+        out, told = [], _told(right)
         for row in left.to_pylist():
-            c = Chunk(row, told, uni, buckets)
-            for bucket in range(buckets):
-                at = c.sent(bucket)
-                if len(at):
-                    pairs = pack(np.diff(c.h[at], prepend=0)), pack(c.w[at]), pack(c.times[at] * 2 + c.hot[at]), pack(c.w_count[at])
-                    out.append((bucket, row["chunk"], *pairs))
-        names = ["bucket", "chunk", "h", "w", "times", "counts"]
+            c = Chunk(row, told, uni, levels, buckets)
+            c.extend()
+            lower = c.lower()
+            for bucket, at in c.sent.items():
+                grams = pack(np.diff(c.h[at], prepend=0)), pack(c.w[at]), pack(c.times[at] * 2 + c.hot[at]), pack(lower[at])
+                out.append((bucket, row["chunk"], *grams))
+        names = ["bucket", "chunk", "h", "w", "times", "lower"]
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_rows(out, names, [pa.int32(), pa.int64(), *[pa.binary()] * 4])])
 
     def add(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        sent = list(zip(*[table[x].to_pylist() for x in ("chunk", "h", "w", "times", "counts")]))
+        sent = list(zip(*[table[x].to_pylist() for x in ("chunk", "h", "w", "times", "lower")]))
         h = np.concatenate([np.cumsum(unpack(s[1])) for s in sent])
-        w, times, w_count = (np.concatenate([unpack(s[i]) for s in sent]) for i in (2, 3, 4))
+        w, times, lower = (np.concatenate([unpack(s[i]) for s in sent]) for i in (2, 3, 4))
         hot, times = times % 2 == 1, times // 2
         order = np.lexsort((w, h)).astype(np.int32 if len(h) < 1 << 31 else np.int64)
         new = np.r_[True, (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)]
         group = np.cumsum(new) - 1
         total = np.bincount(group, times[order], group[-1] + 1).astype(np.int64)
+        seen = total > 0
         answer = np.empty(len(h), np.int64)
         answer[order] = total[group]
+        if not last:
+            number = np.empty(len(h), np.int64)
+            number[order] = np.where(seen, np.cumsum(seen), 0)[group]
         first = order[new]
         del order, new, group, times
-        seen = total > 0
         types_h, types_w, types_c = h[first][seen], w[first][seen], total[seen]
         tally = np.bincount(np.minimum(types_c, GT_MAX + 2), minlength=GT_MAX + 3)
         rows = [
-            ("pairs", None, bucket, pack(np.diff(types_h, prepend=0)), pack(types_w), pack(types_c)),
-            ("pair_tally", None, bucket, pack(tally), None, None),
+            ("grams", None, bucket, pack(np.diff(types_h, prepend=0)), pack(types_w), pack(types_c), None),
+            ("tally", None, bucket, pack(np.r_[tally, len(types_c)]), None, None, None),
         ]
         every, at = np.unique(h, return_inverse=True)
         mine = at[first][seen]
+        below = lower[first][seen]
         n = np.stack([np.bincount(mine[types_c == r], minlength=len(every)) for r in range(1, GT_MAX + 1)], 1)
-        mass = np.bincount(mine, uni.p(w_count[first][seen]), len(every))
+        mass = np.bincount(mine, uni.p(below) if words_below else below, len(every))
         is_hot = np.zeros(len(every), bool)
         is_hot[at[hot]] = True
         if is_hot.any():
-            rows.append(("hot", None, bucket, pack(every[is_hot]), pack(n[is_hot].ravel()), pack(mass[is_hot])))
+            rows.append(("hot", None, bucket, pack(every[is_hot]), pack(n[is_hot].ravel()), pack(mass[is_hot]), None))
         lo = 0
         for chunk, *packed in sent:
             hi = lo + len(unpack(packed[0]))
             own = np.unique(at[lo:hi][~hot[lo:hi]])  # its whole histories, in order
-            rows.append(("pair_answer", chunk, bucket, pack(answer[lo:hi]), pack(n[own].ravel()), pack(mass[own])))
+            numbers = None if last else pack(number[lo:hi])
+            rows.append(("answer", chunk, bucket, pack(answer[lo:hi]), pack(n[own].ravel()), pack(mass[own]), numbers))
             lo = hi
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_rows(rows, ANSWER_NAMES, ANSWER_TYPES)])
@@ -345,43 +406,26 @@ def _count_pairs(chunks: DataFrame, answers: DataFrame, uni: Unigrams, buckets:
     sent = (
         chunks.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(send, "bucket int, chunk long, h binary, w binary, times binary, counts binary")
+        .applyInArrow(send, "bucket int, chunk long, h binary, w binary, times binary, lower binary")
     )
     return sent.groupBy("bucket").applyInArrow(add, ANSWERS)
 
 
-def _score(chunks: DataFrame, answers: DataFrame, uni: Unigrams, bi: Bigrams, buckets: int, id_type: str) -> DataFrame:
+def _score(
+    chunks: DataFrame, answers: DataFrame, uni: Unigrams, levels: list[Grams], buckets: int, id_type: str
+) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        told = _by_chunk(right)
+        told = _told(right)
         batches = []
         for row in left.to_pylist():
-            c = Chunk(row, [(b, x, y) for kind, b, x, y, _ in told if kind == "word_answer"], uni, buckets)
-            times = np.zeros(len(c.h), np.int64)
-            weight, below = np.ones(len(c.h)), np.ones(len(c.h))
-            for _, bucket, x, y, z in (t for t in told if t[0] == "pair_answer"):
-                at = c.sent(bucket)
-                times[at] = unpack(x)
-                cold = at[~c.hot[at]]
-                every, own = np.unique(c.h[cold], return_inverse=True)
-                n, mass = unpack(y).reshape(len(every), GT_MAX), unpack(z)
-                history = np.zeros(len(every))
-                history[own] = c.h_count[cold]
-                a, b = left_mass(n, mass, history, bi.discounts)
-                weight[cold], below[cold] = a[own], b[own]
-            for h in np.unique(c.h[c.hot & c.asked]).tolist():
-                at = np.flatnonzero((c.h == h) & c.asked)
-                n, mass = bi.hot.get(h, (np.zeros(GT_MAX), 0.0))
-                a, b = left_mass(n[None], np.array([mass]), c.h_count[at[:1]], bi.discounts)
-                weight[at], below[at] = a[0], b[0]
-            p = np.where(times > 0, _factor(bi.discounts, times) * times / below, weight * uni.p(c.w_count))
-            first = np.cumsum(c.lengths) - c.lengths
-            known = np.r_[c.count, 0][np.where(c.words < len(c.count), c.words, len(c.count))]
+            c = Chunk(row, told, uni, levels, buckets)
+            known = c.word_count
             base = np.log10((known + 0.5) / (uni.tokens + 0.5 * (uni.types + 1)))
-            sums = [np.add.reduceat(x, first) for x in ((known > 0).astype(np.int64), base, np.log10(p)[c.pair])]
-            columns = [left["ids"].chunk(0).type.value_type]
+            sums = [np.add.reduceat(x, c.first) for x in ((known > 0).astype(np.int64), base, np.log10(c.p))]
+            kind = left["ids"].chunk(0).type.value_type
             batches.append(
                 pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], columns[0]), pa.array(c.held), pa.array(c.lengths), *map(pa.array, sums)],
+                    [pa.array(row["ids"], kind), pa.array(c.held), pa.array(c.lengths), *map(pa.array, sums)],
                     names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"],
                 )
             )
@@ -392,19 +436,54 @@ def _score(chunks: DataFrame, answers: DataFrame, uni: Unigrams, bi: Bigrams, bu
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def _tallies(rows: DataFrame, kind: str) -> list[np.ndarray]:
-    found = {r.bucket: unpack(bytes(r.a)) for r in rows.filter(F.col("kind") == kind).select("bucket", "a").collect()}
-    return [found.get(b) for b in range(max(found, default=-1) + 1)]  # a row per bucket
+def _tallies(rows: DataFrame, width: int, buckets: int) -> np.ndarray:
+    """The numbers each bucket tells the driver, a row per bucket."""
+    out = np.zeros((buckets, width), np.int64)
+    for r in rows.filter("kind = 'tally'").select("bucket", "a").collect():
+        out[r.bucket] = unpack(bytes(r.a))
+    return out
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _hot_sums(rows: DataFrame) -> dict[int, tuple[np.ndarray, float]]:
+    """Sums of the histories that were split, over all buckets."""
+    n = [f"n{r}" for r in range(1, GT_MAX + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, c in zip(*[x.to_pylist() for x in batch.columns]):
+                h = unpack(a)
+                parts = unpack(b).reshape(len(h), GT_MAX).astype(float).T
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, *parts, unpack(c))], names=["h", *n, "mass"])
+
+    schema = ", ".join(["h long", *[f"{x} double" for x in n], "mass double"])
+    found = rows.filter("kind = 'hot'").select("a", "b", "c").mapInArrow(run, schema)
+    sums = found.groupBy("h").agg(*[F.sum(x).alias(x) for x in (*n, "mass")])
+    return {r.h: (np.array([r[x] for x in n]), r.mass) for r in sums.collect()}
+
+
+def _answers(rows: DataFrame, level: int) -> DataFrame:
+    return rows.filter("kind = 'answer'").select("chunk", F.lit(level).alias("level"), *TOLD[1:])
 
 
 def score(
-    docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None
+    docs: DataFrame,
+    held: Column,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    order: int = 2,
+    path: str | None = None,
 ) -> DataFrame:
     """Per row: ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score``, ``score``. Rows for which ``held`` holds teach nothing. The model's tables
-    stay below ``path`` (default: shared scratch)."""
+    stay below ``path`` (default: shared scratch); each level of ``order`` adds one."""
+    if order < 1:
+        raise ValueError("the order is at least one")
     spark = docs.sparkSession
-    buckets = 2 * partitions(spark)  # of words and pairs; a task holds one at a time
     path = path or scratch(spark, "katz")
     name = f"katz_{uuid.uuid4().hex}"
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -412,29 +491,29 @@ def score(
     made.write.option("path", f"{path}/chunks").bucketBy(partitions(spark), "chunk").saveAsTable(name)
     try:
         chunks = spark.table(name)
+        total, n_docs = chunks.select(
+            F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0)),
+            F.coalesce(F.sum(F.size(F.filter("held", lambda x: ~x))), F.lit(0)),
+        ).first()
+        buckets = max(2 * partitions(spark), -(-total // BUCKET_TOKENS))
         _count_words(chunks, buckets).write.partitionBy("kind").parquet(f"{path}/words")
         words = spark.read.schema(ANSWERS).parquet(f"{path}/words")
-        tallies = _tallies(words, "word_tally")
-        whole = [t if t is not None else np.zeros(GT_MAX + 5, np.int64) for t in tallies]
-        sizes = [int(t[-1]) for t in whole] + [0] * (buckets - len(whole))
-        n = sum((t[:-2] for t in whole), np.zeros(GT_MAX + 3, np.int64))
-        n_docs = chunks.select(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0] or 0
-        uni = unigrams(n, int(sum(t[-2] for t in whole)), sum(sizes), n_docs, sizes)
+        told = _tallies(words, GT_MAX + 5, buckets)
+        *n, tokens, types = told.sum(0).tolist()
+        uni = unigrams(np.array(n), tokens, types, n_docs, _starts(told[:, -1]))
 
         texts = chunks.select("chunk", "ids", "held", "lengths", "tokens")
-        told = words.filter("kind = 'word_answer'")
-        _count_pairs(texts.drop("ids"), told, uni, buckets).write.partitionBy("kind").parquet(f"{path}/pairs")
-        pairs = spark.read.schema(ANSWERS).parquet(f"{path}/pairs")
-        bi = Bigrams(good_turing(sum((t for t in _tallies(pairs, "pair_tally") if t is not None), np.zeros(GT_MAX + 3, np.int64))))
-        bi.discounts[0] = 1.0
-        for r in pairs.filter("kind = 'hot'").collect():  # at most 4 buckets histories from each bucket
-            every, mass = unpack(bytes(r.a)), unpack(bytes(r.c))
-            for h, n_h, m in zip(every.tolist(), unpack(bytes(r.b)).reshape(-1, GT_MAX), mass):
-                old = bi.hot.get(h, (0, 0.0))
-                bi.hot[h] = (old[0] + n_h, old[1] + m)
-
-        both = told.unionByName(pairs.filter("kind = 'pair_answer'"))
-        _score(texts, both, uni, bi, buckets, id_type).write.parquet(f"{path}/scores")
+        answers, levels = _answers(words, 1), []
+        for level in range(2, order + 1):
+            counted = _count_grams(texts.drop("ids"), answers, uni, list(levels), buckets, level == order)
+            counted.write.partitionBy("kind").parquet(f"{path}/grams{level}")
+            grams = spark.read.schema(ANSWERS).parquet(f"{path}/grams{level}")
+            told = _tallies(grams, GT_MAX + 4, buckets)
+            discounts = good_turing(told[:, :-1].sum(0))
+            discounts[0] = 1.0
+            levels.append(Grams(discounts, _starts(told[:, -1]), _hot_sums(grams)))
+            answers = answers.unionByName(_answers(grams, level))
+        _score(texts, answers, uni, levels, buckets, id_type).write.parquet(f"{path}/scores")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.read.parquet(f"{path}/scores").withColumn("train_tokens", F.lit(uni.tokens).cast("long"))

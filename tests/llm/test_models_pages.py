@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -140,11 +141,70 @@ def test_language_model_matches_brute_force(spark):
     assert sum(r.score for r in kept) > sum(r.base_score for r in kept)
 
 
+def brute_recursion(texts, held, order):
+    """Katz's recursion from plain counts of tuples, for any order."""
+    tokens = {k: t.encode().lower().split() + [b"\n"] for k, t in texts.items()}
+    grams = [Counter() for _ in range(order + 1)]
+    for k, t in tokens.items():
+        if not held(k):
+            grams[1].update((w,) for w in t)
+            for n in range(2, order + 1):
+                padded = [None, *t]
+                grams[n].update(zip(*[padded[i:] for i in range(n)]))
+    d = [None] + [katz.good_turing(np.bincount([min(v, 7) for v in c.values()] + [0], minlength=8)) for c in grams[1:]]
+    followers, histories = defaultdict(list), Counter()
+    for n in range(2, order + 1):
+        for g, c in grams[n].items():
+            followers[g[:-1]].append(g[-1])
+            histories[g[:-1]] += c
+    size = sum(grams[1].values())
+    kept = lambda n, c: (d[n][c] if c <= 5 else 1.0) * c
+    left = size - sum(kept(1, c) for c in grams[1].values())
+
+    @lru_cache(None)
+    def back(h):
+        seen = sum(p(h[1:], w) for w in followers[h])
+        free = sum(grams[len(h) + 1][h + (w,)] - kept(len(h) + 1, grams[len(h) + 1][h + (w,)]) for w in followers[h])
+        return (free / histories[h] / (1 - seen), histories[h]) if free > 1e-9 else (1 / (histories[h] + 1) / (1 - seen), histories[h] + 1)
+
+    @lru_cache(None)
+    def p(h, w):
+        if not h:
+            return kept(1, grams[1][w,]) / size if grams[1][w,] else left / size
+        if not histories[h]:
+            return p(h[1:], w)
+        a, c = back(h)
+        found = grams[len(h) + 1][h + (w,)]
+        return kept(len(h) + 1, found) / c if found else a * p(h[1:], w)
+
+    return tokens, p, [w for w, in grams[1]], followers
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_language_models_of_other_orders_match_the_recursion(spark, order):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    held = lambda k: zlib.crc32(str(k).encode()) % 5 == 1
+    tokens, p, words, followers = brute_recursion(texts, held, order)
+    rows = katz.score(docs, fold(F.col("doc_id"), 5) == 1, order=order).collect()
+    assert len(rows) == len(texts)
+    for r in rows[::7]:
+        padded = [None, *tokens[r.id]]
+        want = sum(math.log10(p(tuple(padded[max(0, i - order + 1) : i]) if order > 1 else (), w)) for i, w in enumerate(padded) if i)
+        assert r.score == pytest.approx(want)
+    for n in range(1, order):  # every history sums to one
+        common = sorted((h for h in followers if len(h) == n), key=lambda h: (len(followers[h]), repr(h)))
+        for h in (common[-1], common[len(common) // 2]):
+            assert sum(p(h, w) for w in words) + p(h, b"never seen") == pytest.approx(1)
+
+
 def test_language_model_takes_odd_rows(odd_docs, no_docs):
     got = katz.score(odd_docs, fold(F.col("doc_id"), 5) == 1).collect()
     assert len(got) == odd_docs.count()
     assert all(math.isfinite(r.score) and not (r.id is None and r.held_out) for r in got)
     assert katz.score(no_docs, F.lit(False)).count() == 0
+    deep = katz.score(odd_docs, fold(F.col("doc_id"), 5) == 1, order=3).collect()
+    assert len(deep) == len(got) and all(math.isfinite(r.score) for r in deep)
     alone = katz.score(odd_docs, F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.score) for r in alone} == {(0, 0, 0.0)}
 
