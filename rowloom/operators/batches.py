@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowloom.functions.bins import cuts
 from rowloom.functions.types import col, row_hash
 from rowloom.operators.validate import (
     ERR_CODE,
@@ -27,6 +29,10 @@ ship(__name__)
 BATCH_SIZE = 100
 SUB_BATCH_SIZE = 10
 _KIND = "_kind"
+_RANGE, _PART, _HASH, _NUMBER = "_range", "_part", "_hash", "_number"
+RANGES_PER_PARTITION = 4
+MOST_SHARES = 4  # a range may hold so many even shares of the rows
+SMALL_RANGE = 10_000  # or so many rows
 
 
 def batch_size_setting(text: str | None, default: int = BATCH_SIZE) -> int:
@@ -62,36 +68,105 @@ def batch_rows(
     Adds ``batch_id`` and ``batch_pos`` (bigint). All batches are full but the
     last. Rows equal in ``order_by`` follow a hash of the row.
 
-    Nothing goes through one task: rows are range-partitioned and sorted, each
-    row gets its place within its partition, and this is staged. The offsets
-    are then a running sum over one row per partition, small enough to
-    broadcast whatever the table holds. The staged copy keeps partition bounds
-    fixed when tasks rerun; it goes to ``staging`` (a new path, by default in
-    scratch) and is the caller's to delete after use.
+    Nothing goes through one task and nothing is staged: rows are cut into
+    ranges at fixed values of the first order column and, where one value is
+    very common, of the row's hash. One pass finds these values with a mergeable
+    sketch, one counts each range, both over few columns; the numbers are then
+    the range's offset and the place in it. Ranges, counts and places follow
+    from the rows alone, so tasks that rerun give the same numbers; ``df`` must
+    give the same rows each time it is read.
+
+    Fixed values cannot part exact copies, nor order a first column that is
+    text or an expression. There, and where a range is found to hold several times
+    its share, one sorted copy of the rows is staged instead, cut anywhere;
+    a given ``staging`` (a new path) asks for that. The copy goes to scratch by
+    default and is the caller's to delete after use. Numbers are the same.
     """
     if batch_size < 1:
         raise ValueError("a batch holds at least one row")
+    number = None
+    if staging is None:
+        placed = _in_fixed_ranges(df, order_by)
+        if placed is not None:
+            placed, number = placed
+    if number is None:
+        placed, number = _staged_in_order(df, order_by, staging)
+    return placed.select(
+        *[col(c) for c in df.columns],
+        F.call_function("div", number, F.lit(batch_size)).alias("batch_id"),
+        F.pmod(number, F.lit(batch_size).cast("bigint")).alias("batch_pos"),
+    )
+
+
+def _in_fixed_ranges(df: DataFrame, order_by: Sequence[str | Column]) -> tuple[DataFrame, Column] | None:
+    """``df`` with a column that gives each row's number, without a copy; none if the rows
+    cannot be cut evenly."""
+    if not order_by or not isinstance(order_by[0], str):
+        return None
+    first = col(order_by[0])
+    kind = df.select(first).schema[0].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
+        return None
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cuts(df, first, RANGES_PER_PARTITION * parts)
+    hash_ = row_hash(df)
+    bin_ = found.bin(first)
+    # Only with no further order may a common value's rows be cut by their hash, which is
+    # what then orders them. Its bin starts with that value and holds others behind it. The
+    # sketch must tell the value from its neighbours.
+    common = [v for v, w in zip(found.values, found.weights[1:]) if w > 1]
+    exact = not isinstance(kind, T.DecimalType) and not (
+        isinstance(kind, T.LongType) and any(abs(v) >= 1 << 53 for v in common)
+    )
+    if common and exact and len(order_by) == 1:
+        starts = F.array(*[F.lit(v) for v in found.values]).cast(f"array<{found.type}>")
+        value = first.cast("double") if found.type == "double" else first
+        weight = found.weight(bin_)
+        step = F.when(value == F.get(starts, bin_ - 1), F.shiftright(hash_, 32).cast("long") + F.lit(1 << 31))
+        part = F.coalesce(F.shiftright(step * weight, 32).cast("int"), weight)
+        part = F.when(weight > 1, part).otherwise(0)
+    else:
+        part = F.lit(0)
+    ranged = df.withColumns({_RANGE: bin_, _PART: part, _HASH: hash_})
+    sizes = {(r[_RANGE], r[_PART]): r["n"] for r in ranged.groupBy(_RANGE, _PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    if max(sizes.values(), default=0) > max(MOST_SHARES * total // (RANGES_PER_PARTITION * parts), SMALL_RANGE):
+        return None
+    before, offsets = 0, {}
+    for key in sorted(sizes):
+        offsets[key] = before
+        before += sizes[key]
+    # as many numbers as the sketch gave cuts, as one literal
+    rows = [[offsets.get((b, p), 0) for p in range(w + 1)] for b, w in enumerate(found.weights)]
+    first_of = F.from_json(F.lit(json.dumps(rows)), "array<array<bigint>>")
+    offset = F.get(F.get(first_of, F.col(_RANGE)), F.col(_PART))
+    order = [col(c) if isinstance(c, str) else c for c in order_by]
+    place = F.row_number().over(Window.partitionBy(_RANGE, _PART).orderBy(*order, F.col(_HASH)))
+    return ranged.withColumn(_NUMBER, offset + place - 1), F.col(_NUMBER)
+
+
+def _staged_in_order(
+    df: DataFrame, order_by: Sequence[str | Column], staging: str | None
+) -> tuple[DataFrame, Column]:
+    """A staged sorted copy of ``df``, whose bounds stay when tasks rerun, and each row's number."""
     # upper bits of the id are the partition, the lower 33 the place in it
     place = F.monotonically_increasing_id()
     staged = stage(
         in_ranges(df, order_by).select(
             *[col(c) for c in df.columns],
-            F.shiftright(place, 33).alias("_range"),
+            F.shiftright(place, 33).alias(_RANGE),
             place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
         ),
         "batches",
         staging,
     )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = staged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
-    )
-    number = F.col("_before") + F.col("_place")
-    return staged.join(F.broadcast(offsets), "_range").select(
-        *[col(c) for c in df.columns],
-        F.call_function("div", number, F.lit(batch_size)).alias("batch_id"),
-        F.pmod(number, F.lit(batch_size).cast("bigint")).alias("batch_pos"),
+    # offsets are a running sum over one row per partition, small enough to broadcast
+    # whatever the table holds
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_rows")).select(
+        _RANGE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
+    return staged.join(F.broadcast(offsets), _RANGE), F.col("_before") + F.col("_place")
 
 
 def write_batches(

@@ -61,6 +61,54 @@ def test_batch_rows_spreads_equal_rows(spark):
     assert [r[0] for r in ordered] == sorted(r[0] for r in ordered)
 
 
+def numbers(numbered, size):
+    order = numbered.orderBy("batch_id", "batch_pos").collect()
+    assert [(r["batch_id"], r["batch_pos"]) for r in order] == [divmod(i, size) for i in range(len(order))]
+    return [tuple(r)[:-2] for r in order]
+
+
+def scratch_copies(spark):
+    return set(glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/batches-*"))
+
+
+@pytest.mark.parametrize(
+    "value, order",
+    [
+        ("id * 7919 % 40000 - 20000", ["k"]),
+        ("if(id % 5 = 0, null, id * 31 % 9000) / 8.0", ["k", "v"]),
+        ("date_add(date'1990-01-01', cast(id % 3000 as int))", ["k", "-v"]),
+        ("timestamp_seconds(id * 17 % 100000)", ["k"]),
+        ("id + 9007199254740993", ["k"]),
+        ("if(id % 3 = 0, 7, id)", ["k"]),  # a common value of different rows: cut by row hash
+    ],
+)
+def test_batch_rows_stages_nothing(spark, tmp_path, value, order):
+    t = spark.range(40000, numPartitions=6).select(F.expr(value).alias("k"), F.col("id").alias("v"))
+    order = [F.desc(c[1:]) if c.startswith("-") else c for c in order]
+    before = scratch_copies(spark)
+    got = numbers(batch_rows(t, order, 64), 64)
+    assert scratch_copies(spark) == before
+    assert got == numbers(batch_rows(t, order, 64, staging=str(tmp_path / "copy")), 64)
+    assert got == numbers(batch_rows(t.repartition(3), order, 64), 64)  # not by the tasks' layout
+
+
+def test_batch_rows_stages_what_cannot_be_cut(spark):
+    """Exact copies, a common value with a further order, and text go through a sorted copy."""
+    t = spark.range(60000, numPartitions=6).select(F.expr("if(id % 3 = 0, 7, id)").alias("k"), F.col("id").alias("v"))
+    copies = t.withColumn("v", F.expr("if(k = 7, 0, v)"))
+    for frame, order in ((copies, ["k"]), (t, ["k", "v"]), (t.withColumn("k", F.col("k").cast("string")), ["k"])):
+        before = scratch_copies(spark)
+        got = numbers(batch_rows(frame, order, 100), 100)
+        assert len(scratch_copies(spark) - before) == 1
+        assert [r[0] for r in got] == sorted(r[0] for r in got)
+
+
+def test_batch_rows_in_one_exchange(spark):
+    t = spark.range(40000, numPartitions=6).select((F.col("id") * 7 % 40000).alias("k"))
+    plan = batch_rows(t, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_range") == 1 and plan.count("Exchange") == 1
+
+
 def test_rechunk():
     batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (3, 0, 10, 1)]
     sizes = [t.num_rows for t in rechunk(iter(batches), 4)]
