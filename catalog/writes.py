@@ -24,6 +24,7 @@ from rowloom.operators.validate import (
 )
 from rowloom.plans.export import bulk_export, insert_script
 from rowloom.plans.load import (
+    SESSION_PROPERTY,
     compact_table,
     create_table,
     fold_loads,
@@ -44,6 +45,8 @@ from rowloom.streaming.jobs import (
 ship(__name__)
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
+# the queries' keyed tables are written and read by one query, so any catalog will do
+OF_SESSION = {SESSION_PROPERTY: "true"}
 
 
 def new_table(spark: SparkSession, label: str) -> str:
@@ -251,7 +254,7 @@ def load_table_(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_custkey").alias("items"),
         F.col("o_orderpriority").alias("priority"),
     )
-    load_table(name, typed, "o_orderkey", nulls="overwrite", create=True, truncate=True)
+    load_table(name, typed, "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, truncate=True)
     patchy = patchy_orders(spark, d)
     load_table(name, patchy, "o_orderkey", nulls="overwrite", truncate=True)
     return read_live(spark, name)
@@ -265,7 +268,7 @@ def load_table_(spark: SparkSession, d: str) -> DataFrame:
 def create_load(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "create_load")
     part = table(spark, d, "part")
-    load_table(name, part, "p_partkey", nulls="overwrite", create=True, unique=True)
+    load_table(name, part, "p_partkey", nulls="overwrite", create=True, properties=OF_SESSION, unique=True)
     return read_live(spark, name)
 
 
@@ -279,7 +282,7 @@ def evolve_schema(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "evolve_schema")
     customer = table(spark, d, "customer")
     narrow = customer.select("c_custkey", "c_name", "c_mktsegment")
-    load_table(name, narrow, "c_custkey", nulls="overwrite", create=True)
+    load_table(name, narrow, "c_custkey", nulls="overwrite", create=True, properties=OF_SESSION)
     # the second load writes the new column only, and must leave the others alone
     building = where(customer, "c_mktsegment = 'BUILDING'").select("c_custkey", "c_acctbal")
     load_table(name, building, "c_custkey", nulls="overwrite", evolve=True)
@@ -295,7 +298,7 @@ def truncate_load(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     columns = ["o_orderkey", "o_custkey", "o_totalprice"]
     every = orders.select(*columns)
-    load_table(name, every, "o_orderkey", nulls="overwrite", create=True)
+    load_table(name, every, "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION)
     some = where(orders, "o_orderstatus = 'O'").select(*columns)
     load_table(name, some, "o_orderkey", nulls="overwrite", truncate=True)
     return read_live(spark, name)
@@ -313,7 +316,7 @@ def load_events(spark: SparkSession, d: str, label: str, ttl: int) -> str:
     rows = log.select("user_id", "event_type", "event_id", "value", "ts")
     at, seq = to_micros(F.col("ts")), F.col("event_id")
     load_table(
-        name, rows, EVENT_KEY, nulls="overwrite", create=True, written_at=at, seq=seq, ttl=ttl
+        name, rows, EVENT_KEY, nulls="overwrite", create=True, properties=OF_SESSION, written_at=at, seq=seq, ttl=ttl
     )
     return name
 
@@ -474,7 +477,7 @@ def stream_lookup_table_(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "stream_lookup_table")
     price = F.col("o_totalprice").cast("double")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", price.alias("o_totalprice"), "o_orderstatus")
-    load_table(name, orders.drop("o_orderstatus"), "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    load_table(name, orders.drop("o_orderstatus"), "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, written_at=F.lit(1))
     customer = table(spark, d, "customer").select("c_custkey")
     feed, out = scratch_dir(spark, "feed"), scratch_dir(spark, "looked-up")
     progress, pins = scratch_dir(spark, "progress"), scratch_dir(spark, "pins")
@@ -514,6 +517,7 @@ def stream_upsert_(spark: SparkSession, d: str) -> DataFrame:
         nulls="overwrite",
         rejects=scratch_dir(spark, "rejects"),
         create=True,
+        properties=OF_SESSION,
         written_at=to_micros(F.col("ts")),
         seq=F.col("event_id"),
     ).awaitTermination()
@@ -546,7 +550,7 @@ def stream_changes_(spark: SparkSession, d: str) -> DataFrame:
 def stream_upsert_rejects(spark: SparkSession, d: str) -> DataFrame:
     name, rejects = new_table(spark, "stream_rejects"), scratch_dir(spark, "rejects")
     source = stage(patchy_orders(spark, d), "stream-input")
-    create_table(spark, name, ORDER_TARGET, "o_orderkey")
+    create_table(spark, name, ORDER_TARGET, "o_orderkey", properties=OF_SESSION)
     stream = spark.readStream.schema(source.schema).parquet(source.inputFiles()[0].rsplit("/", 1)[0])
     stream_upsert(
         stream, name, "o_orderkey", scratch_dir(spark, "progress"), "orders", nulls="overwrite", rejects=rejects
@@ -584,7 +588,7 @@ def load_replaced(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "load_replaced")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     parts = {s: where(orders, f"o_orderstatus = '{s}'").drop("o_orderstatus") for s in "OFP"}
-    load_table(name, parts["P"].union(parts["F"]), "o_orderkey", nulls="overwrite", create=True, load_id="a")
+    load_table(name, parts["P"].union(parts["F"]), "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, load_id="a")
     load_table(name, parts["O"], "o_orderkey", nulls="overwrite", load_id="b")
     again = parts["F"].withColumn("o_totalprice", F.col("o_totalprice") + 1)
     load_table(name, again, "o_orderkey", nulls="overwrite", load_id="a")
@@ -599,7 +603,7 @@ def load_null_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """Nulls of the second load replace the values of the first, rows of nulls alone included."""
     name = new_table(spark, "load_null_overwrite")
     full = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
-    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, written_at=F.lit(1))
     patchy = patchy_orders(spark, d).drop("items")
     load_table(name, patchy, "o_orderkey", nulls="overwrite", written_at=F.lit(2))
     return read_live(spark, name)
@@ -616,7 +620,7 @@ def load_ignore_nulls(spark: SparkSession, d: str) -> DataFrame:
     """Nulls of the second load leave the values of the first alone."""
     name = new_table(spark, "load_ignore_nulls")
     full = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
-    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(1))
+    load_table(name, full, "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, written_at=F.lit(1))
     patchy = patchy_orders(spark, d).drop("items")
     load_table(name, patchy, "o_orderkey", nulls="ignore", written_at=F.lit(2))
     return read_live(spark, name)
@@ -630,7 +634,7 @@ def two_versions(spark: SparkSession, d: str, label: str) -> str:
     """Two loads of all orders, of which the later one was written earlier for a third."""
     name = new_table(spark, label)
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    load_table(name, orders, "o_orderkey", nulls="overwrite", create=True, written_at=F.lit(5))
+    load_table(name, orders, "o_orderkey", nulls="overwrite", create=True, properties=OF_SESSION, written_at=F.lit(5))
     other = orders.withColumn("o_totalprice", -F.col("o_totalprice"))
     at = F.when(F.col("o_orderkey") % 3 == 0, 4).otherwise(6)
     load_table(name, other, "o_orderkey", nulls="overwrite", written_at=at)
@@ -681,7 +685,7 @@ def purge_expired(spark: SparkSession, d: str) -> DataFrame:
 def load_report_committed(spark: SparkSession, d: str) -> DataFrame:
     """The counters of a load, from the checked copy that was committed."""
     name, rejects = new_table(spark, "report"), scratch_dir(spark, "rejects")
-    create_table(spark, name, ORDER_TARGET, "o_orderkey")
+    create_table(spark, name, ORDER_TARGET, "o_orderkey", properties=OF_SESSION)
     return load_table(name, patchy_orders(spark, d), "o_orderkey", nulls="overwrite", rejects_path=rejects).recount
 
 
@@ -695,7 +699,7 @@ def read_live_cells(spark: SparkSession, d: str) -> DataFrame:
     name = new_table(spark, "read_live_cells")
     orders = table(spark, d, "orders")
     keys = orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"))
-    create_table(spark, name, keys.schema, "o_orderkey")
+    create_table(spark, name, keys.schema, "o_orderkey", properties=OF_SESSION)
     ttl = F.when(F.col("o_orderkey") % 2 == 0, 10).otherwise(100)
     second = 1000000
     load_table(name, keys.drop("o_totalprice"), "o_orderkey", nulls="ignore", written_at=F.lit(second), ttl=ttl)
@@ -730,6 +734,6 @@ def error_rows_lossy(spark: SparkSession, d: str) -> DataFrame:
         F.when(key % 11 == 0, 1e300).otherwise(1.5).alias("big"),
     )
     life = F.when(key % 13 == 0, "x").when(key % 17 == 0, "9223372036854775807").otherwise("60")
-    create_table(spark, name, LOSSY_TARGET, "o_orderkey")
+    create_table(spark, name, LOSSY_TARGET, "o_orderkey", properties=OF_SESSION)
     load_table(name, rows, "o_orderkey", nulls="overwrite", ttl=life, rejects_path=rejects)
     return spark.read.parquet(rejects).select("o_orderkey", "_err_count", "_err_fields", "_err_code")

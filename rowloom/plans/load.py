@@ -70,6 +70,8 @@ _HIDDEN = {WRITE_TIME, SEQ, TIE, EXPIRES_AT, WRITTEN, LOAD}
 _KEY_PROPERTY, _MERGE_PROPERTY = "rowloom.key", "rowloom.merge"
 # "true" while every load was reduced to one row per key (or write) before it was stored
 _BUCKETS_PROPERTY, _REDUCED_PROPERTY = "rowloom.buckets", "rowloom.reduced"
+# "true" says that the table may end with its session; only then may its catalog be in memory
+SESSION_PROPERTY = "rowloom.session"
 # name of the catalog table that holds the data, once buckets were split
 _AT_PROPERTY = "rowloom.at"
 _FOLD_ID = re.compile(r"fold(\d+)-")
@@ -155,10 +157,16 @@ def create_table(
     ``buckets`` (default: the session's shuffle partitions) is the parallelism
     of loads and reads; size it so that a bucket fits one task. Key, buckets and
     merge rule live in the catalog, so outside local trials it must be one that
-    outlives the session.
+    outlives the session, unless ``properties`` has ``SESSION_PROPERTY`` as
+    ``"true"``: the table is then meant to be written and read in this session
+    alone.
     """
-    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("keyed tables need a catalog that outlives the session; this one is in memory")
+    of_session = (properties or {}).get(SESSION_PROPERTY) == "true"
+    if not of_session and _in_memory(spark) and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "keyed tables need a catalog that outlives the session; this one is in memory "
+            f"(the property {SESSION_PROPERTY} = 'true' makes a table of this session)"
+        )
     spec = key_spec(key)
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fields = [*schema.fields, *LOG_FIELDS]
@@ -179,6 +187,10 @@ def create_table(
     )
 
 
+def _in_memory(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.catalogImplementation") == "in-memory"
+
+
 def _text(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
 
