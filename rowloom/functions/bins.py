@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -14,11 +15,12 @@ from pyspark.sql import types as T
 class Cuts:
     """Ascending different values that start bins ``1, 2, …`` (bin 0 lies below all), and per
     bin how many times the rows of an even bin it holds, about: more than once where one value
-    is very common."""
+    is very common. ``rows`` is the number of values that were cut (0: not known)."""
 
     values: tuple
     weights: tuple[int, ...]
     type: str
+    rows: int = 0
 
     @property
     def count(self) -> int:
@@ -29,7 +31,7 @@ class Cuts:
         if not self.values:
             return F.lit(0)
         value = value.cast("double") if self.type == "double" else value
-        values = F.array(*[F.lit(v) for v in self.values]).cast(f"array<{self.type}>")
+        values = _literals(self.values, self.type)
         steps = [1 << k for k in reversed(range(len(self.values).bit_length()))]
         return F.aggregate(
             F.array(*[F.lit(s) for s in steps]),
@@ -39,7 +41,32 @@ class Cuts:
 
     def weight(self, bin_: Column) -> Column:
         """The weight of a bin."""
-        return F.get(F.array(*[F.lit(w) for w in self.weights]), bin_)
+        return F.get(_literals(self.weights, "int"), bin_)
+
+    def merged(self, times: int) -> Cuts:
+        """Cuts whose even bins hold ``times`` as many rows; very common values keep their own."""
+        values, weights = [], [self.weights[0]]
+        for v, w in zip(self.values, self.weights[1:]):
+            if weights[-1] >= times or w >= times:
+                values.append(v)
+                weights.append(w)
+            else:
+                weights[-1] += w
+        return Cuts(tuple(values), tuple(max(1, round(w / times)) for w in weights), self.type, self.rows)
+
+
+def _literals(values: tuple, kind: str) -> Column:
+    """An array of these values: one text where they can be written without loss, as a literal
+    for each makes plans slow to build."""
+    if kind in ("double", "int"):
+        texts = [repr(v) for v in values]
+    elif kind in ("date", "timestamp_ntz"):
+        texts = [v.isoformat() for v in values]
+    elif kind == "timestamp":
+        texts = [v.astimezone(dt.timezone.utc).isoformat() for v in values]
+    else:
+        return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(texts)), ",").cast(f"array<{kind}>")
 
 
 def cuts(df: DataFrame, value: Column, bins: int) -> Cuts:
@@ -56,8 +83,9 @@ def cuts(df: DataFrame, value: Column, bins: int) -> Cuts:
         row = row.select(F.col("v").cast("double").alias("v"))
     kind = row.schema["v"].dataType.simpleString()
     shares = [i / bins for i in range(1, bins)]
-    found = []
+    found, rows = [], 0
     if shares:
-        found = row.agg(F.percentile_approx("v", shares, max(10_000, 20 * bins)).alias("q")).first()["q"] or []
-    runs = [(v, len(list(own))) for v, own in groupby(found)]
-    return Cuts(tuple(v for v, _ in runs), (1, *(n for _, n in runs)), kind)
+        quantiles = F.percentile_approx("v", shares, max(10_000, 20 * bins))
+        found, rows = row.agg(quantiles, F.count("v")).first()
+    runs = [(v, len(list(own))) for v, own in groupby(found or [])]
+    return Cuts(tuple(v for v, _ in runs), (1, *(n for _, n in runs)), kind, rows)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from rowloom.operators.lookup import pairs_of
 
 # Most bins that quantiles are taken for.
 MOST_BINS = 1024
+# Copies of driver rows that the optimizer may broadcast; it sizes them by the rows copied.
+FEW_COPIES = 100_000
 
 
 def _bins(df: DataFrame) -> int:
@@ -23,6 +27,16 @@ def _column(c: Column | str) -> Column:
     return col(c) if isinstance(c, str) else c
 
 
+def _reach(ends: DataFrame, first: Column, last: Column, bins: int) -> tuple[int, list[int]]:
+    """The number of bands, and how many of them reach each bin."""
+    starts = F.struct(first.alias("at"), F.lit(1).alias("n"))
+    stops = F.struct((last + 1).alias("at"), F.lit(-1).alias("n"))
+    steps = ends.select(F.explode(F.array(starts, stops)).alias("s")).select("s.*")
+    found = steps.groupBy("at").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("bands")).collect()
+    change = {r["at"]: r["n"] for r in found}
+    return sum(r["bands"] for r in found), list(accumulate(change.get(b, 0) for b in range(bins)))
+
+
 def lookup_range(
     driver: DataFrame,
     target: DataFrame,
@@ -48,21 +62,20 @@ def lookup_range(
     into ``bins`` (a number, or :func:`~rowloom.functions.bins.cuts` taken
     before), a driver row goes to every bin its band reaches, bins are joined by
     equality and the band is checked exactly. A band over k bins returns all
-    rows of k - 2 of them, so copies of driver rows stay below the result. A bin
-    that one very common value fills is dealt to as many parts as even bins it
-    would fill, and the band goes to each.
+    rows of k - 2 of them, so copies of driver rows stay below the result; with
+    ``on``, which leaves little of them, bins are by default as wide as the mean
+    band. A bin that one very common value fills is dealt to as many parts as
+    even bins it would fill, and the band goes to each.
+
+    One pass over the driver counts the bands that reach each bin; copies of
+    driver rows are broadcast only where they are few.
     """
     if low is None and high is None:
         raise ValueError("a band has a low or a high end")
     if inclusive not in ("both", "low", "high", "neither"):
         raise ValueError(f"inclusive is both, low, high or neither, not {inclusive!r}")
-    found = bins if isinstance(bins, Cuts) else cuts(target, col(value), bins or _bins(target))
     bin_, part, lo, hi = (unused(n, driver, target) for n in ("_bin", "_part", "_low", "_high"))
-
-    known = target.where(col(value).isNotNull()).withColumn(bin_, found.bin(col(value)))
-    # exact copies of a row are told apart by the task they come from
-    deal = F.xxhash64(row_hash(target), F.spark_partition_id())
-    known = known.withColumn(part, F.pmod(deal, found.weight(F.col(bin_))).cast("int"))
+    found = bins if isinstance(bins, Cuts) else cuts(target, col(value), bins or _bins(target))
 
     ends, conditions = driver, []
     t = F.col(f"t.{quoted(value)}")
@@ -76,10 +89,26 @@ def lookup_range(
         conditions.append(t <= own if inclusive in ("both", "high") else t < own)
     if low is not None and high is not None:
         ends = ends.where(F.col(lo) <= F.col(hi))
-    first = F.lit(0) if low is None else found.bin(F.col(lo))
-    last = F.lit(found.count - 1) if high is None else found.bin(F.col(hi))
+
+    def reached(within: Cuts) -> list[Column]:
+        first = F.lit(0) if low is None else within.bin(F.col(lo))
+        last = F.lit(within.count - 1) if high is None else within.bin(F.col(hi))
+        return [first, last]
+
+    bands, reach = _reach(ends, *reached(found), found.count)
+    copies = sum(n * w for n, w in zip(reach, found.weights))
+    if on and bins is None and bands:
+        found = found.merged(ceil(sum(reach) / bands))
+
+    known = target.where(col(value).isNotNull()).withColumn(bin_, found.bin(col(value)))
+    # exact copies of a row are told apart by the task they come from
+    deal = F.xxhash64(row_hash(target), F.spark_partition_id())
+    known = known.withColumn(part, F.pmod(deal, found.weight(F.col(bin_))).cast("int"))
+    first, last = reached(found)
     dealt = ends.withColumn(bin_, F.explode(F.sequence(first, last)))
     dealt = dealt.withColumn(part, F.explode(F.sequence(F.lit(0), found.weight(F.col(bin_)) - 1)))
+    if copies > FEW_COPIES:
+        dealt = dealt.hint("merge")
 
     condition = (F.col(f"row.{bin_}") == F.col(f"t.{bin_}")) & (F.col(f"row.{part}") == F.col(f"t.{part}"))
     for c in conditions:
