@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from itertools import accumulate
 from math import ceil
 
@@ -15,8 +16,13 @@ from rowloom.operators.lookup import pairs_of
 
 # Most bins that quantiles are taken for.
 MOST_BINS = 1024
+# Rows of the target that even bins hold at least, if there are more than 4 for each partition.
+BIN_ROWS = 1024
 # Copies of driver rows that the optimizer may broadcast; it sizes them by the rows copied.
 FEW_COPIES = 100_000
+# Pairs of rows that a task compares, about, and the target's rows that a part of a bin holds at least.
+TASK_PAIRS = 1 << 26
+PART_ROWS = 256
 
 
 def _bins(df: DataFrame) -> int:
@@ -37,6 +43,17 @@ def _reach(ends: DataFrame, first: Column, last: Column, bins: int) -> tuple[int
     return sum(r["bands"] for r in found), list(accumulate(change.get(b, 0) for b in range(bins)))
 
 
+def _dealt(found: Cuts, reach: Sequence[int]) -> tuple[list[int], list[int], int]:
+    """The parts that target rows and bands of each bin are dealt to, and the number of tasks
+    that all pairs fill."""
+    rows = [found.rows * w / sum(found.weights) for w in found.weights]
+    pairs = [r * n for r, n in zip(rows, reach)]
+    wanted = [ceil(4 * p / TASK_PAIRS) for p in pairs]
+    parts = [max(w, min(want, int(r // PART_ROWS))) for w, want, r in zip(found.weights, wanted, rows)]
+    tiles = [max(1, ceil(want / p)) for want, p in zip(wanted, parts)]
+    return parts, tiles, ceil(sum(pairs) / TASK_PAIRS)
+
+
 def lookup_range(
     driver: DataFrame,
     target: DataFrame,
@@ -67,15 +84,22 @@ def lookup_range(
     band. A bin that one very common value fills is dealt to as many parts as
     even bins it would fill, and the band goes to each.
 
-    One pass over the driver counts the bands that reach each bin; copies of
-    driver rows are broadcast only where they are few.
+    One pass over the driver counts the bands that reach each bin. Where the
+    pairs to compare fill several tasks, bins are dealt by their pairs to as many
+    partitions as they fill, however few bytes they hold: first the target's
+    rows, and the bands too where a part would get few rows. Copies of driver
+    rows are broadcast only where they are few.
     """
     if low is None and high is None:
         raise ValueError("a band has a low or a high end")
     if inclusive not in ("both", "low", "high", "neither"):
         raise ValueError(f"inclusive is both, low, high or neither, not {inclusive!r}")
-    bin_, part, lo, hi = (unused(n, driver, target) for n in ("_bin", "_part", "_low", "_high"))
-    found = bins if isinstance(bins, Cuts) else cuts(target, col(value), bins or _bins(target))
+    bin_, part, tile, lo, hi = (unused(n, driver, target) for n in ("_bin", "_part", "_tile", "_low", "_high"))
+    if bins is None:
+        found = cuts(target, col(value), MOST_BINS)
+        found = found.merged(MOST_BINS // min(MOST_BINS, max(_bins(target), found.rows // BIN_ROWS)))
+    else:
+        found = bins if isinstance(bins, Cuts) else cuts(target, col(value), bins)
 
     ends, conditions = driver, []
     t = F.col(f"t.{quoted(value)}")
@@ -96,22 +120,34 @@ def lookup_range(
         return [first, last]
 
     bands, reach = _reach(ends, *reached(found), found.count)
-    copies = sum(n * w for n, w in zip(reach, found.weights))
+    shares, tiles, tasks = (found.weights, [], 0) if on else _dealt(found, reach)
+    copies = sum(n * s for n, s in zip(reach, shares))
     if on and bins is None and bands:
-        found = found.merged(ceil(sum(reach) / bands))
+        shares = (found := found.merged(ceil(sum(reach) / bands))).weights
+    share = replace(found, weights=tuple(shares)).weight
 
     known = target.where(col(value).isNotNull()).withColumn(bin_, found.bin(col(value)))
     # exact copies of a row are told apart by the task they come from
     deal = F.xxhash64(row_hash(target), F.spark_partition_id())
-    known = known.withColumn(part, F.pmod(deal, found.weight(F.col(bin_))).cast("int"))
+    known = known.withColumn(part, F.pmod(deal, share(F.col(bin_))).cast("int"))
     first, last = reached(found)
     dealt = ends.withColumn(bin_, F.explode(F.sequence(first, last)))
-    dealt = dealt.withColumn(part, F.explode(F.sequence(F.lit(0), found.weight(F.col(bin_)) - 1)))
+    dealt = dealt.withColumn(part, F.explode(F.sequence(F.lit(0), share(F.col(bin_)) - 1)))
+    together = [bin_, part]
+    if max(tiles, default=1) > 1:
+        together.append(tile)
+        across = replace(found, weights=tuple(tiles)).weight(F.col(bin_))
+        deal = F.xxhash64(row_hash(driver), F.spark_partition_id())
+        dealt = dealt.withColumn(tile, F.pmod(deal, across).cast("int"))
+        known = known.withColumn(tile, F.explode(F.sequence(F.lit(0), across - 1)))
+    if tasks > 1:
+        count = max(tasks, int(target.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        known, dealt = (side.repartition(count, *together) for side in (known, dealt))
     if copies > FEW_COPIES:
         dealt = dealt.hint("merge")
 
-    condition = (F.col(f"row.{bin_}") == F.col(f"t.{bin_}")) & (F.col(f"row.{part}") == F.col(f"t.{part}"))
-    for c in conditions:
+    condition = F.lit(True)
+    for c in (*[F.col(f"row.{c}") == F.col(f"t.{c}") for c in together], *conditions):
         condition = condition & c
     for target_col, driver_col in pairs_of(on) if on else ():
         condition = condition & (F.col(f"t.{quoted(target_col)}") == F.col(f"row.{quoted(driver_col)}"))

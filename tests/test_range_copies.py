@@ -5,9 +5,10 @@ import random
 from collections import Counter
 
 from pyspark.sql import functions as F
-from test_plans import plan
+from test_plans import plan, settings
 
 from rowloom.functions.bins import Cuts, cuts
+from rowloom.operators import ranges
 from rowloom.operators.ranges import _reach, lookup_range
 
 
@@ -53,3 +54,29 @@ def test_reach_counts_bands_and_merged_bins_keep_common_values(spark):
     values = spark.createDataFrame([(float("nan"),), (float("inf"),), (-1e300,), (0.1 + 0.2,), (3.0,)], "v double")
     found = Cuts((-1e300, 0.1 + 0.2, float("inf"), float("nan")), (1,) * 5, "double")
     assert [r[0] for r in values.select(found.bin(F.col("v"))).collect()] == [4, 3, 1, 2, 2]
+
+
+def test_many_pairs_fill_many_tasks(spark, monkeypatch):
+    """Small tables with a large result are compared in as many tasks as it asks for, all alike."""
+    monkeypatch.setattr(ranges, "TASK_PAIRS", 50_000, raising=False)
+    target = spark.range(4000).select((F.col("id") % 1999).cast("double").alias("v"), "id")
+    driver = spark.range(600).select((F.col("id") % 3).cast("double").alias("lo"))  # all in one corner
+    with settings(spark, **{"spark.sql.adaptive.enabled": "true"}):
+        got = lookup_range(driver, target, "v", "lo", F.col("lo") + 1000)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    want = sum(1 for d in range(600) for i in range(4000) if d % 3 <= i % 1999 <= d % 3 + 1000)
+    assert sum(sizes) == want and len(sizes) >= 16 and max(sizes) < want / 4
+    # the rows themselves, with a value that a third of the rows have
+    target = target.withColumn("v", F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("v")))
+    got = lookup_range(driver, target, "v", "lo", F.col("lo") + 50)
+    values = [(7 if i % 3 == 0 else i % 1999, i) for i in range(4000)]
+    want = Counter({i: n for v, i in values if (n := 200 * sum(d <= v <= d + 50 for d in range(3)))})
+    assert Counter({r.id: r["count"] for r in got.groupBy("id").count().collect()}) == want
+
+
+def test_bins_are_dealt_by_their_pairs(monkeypatch):
+    monkeypatch.setattr(ranges, "TASK_PAIRS", 1000)
+    even = Cuts((1.0, 2.0, 3.0), (1, 1, 2, 1), "double", 5 * 512)
+    # 0, 2560, 5120 and 25 600 pairs over groups of 250; parts have 256 rows of 512 or 1024
+    assert ranges._dealt(even, [0, 5, 5, 50]) == ([1, 2, 4, 2], [1, 6, 6, 52], 34)
+    assert ranges._dealt(Cuts((), (1,), "double"), [7]) == ([1], [1], 0)
