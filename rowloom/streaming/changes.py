@@ -10,7 +10,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from rowloom.functions.cells import WRITE_TIME
 from rowloom.functions.types import col, quoted, row_hash
@@ -22,49 +22,46 @@ ship(__name__)
 CHANGE = "_change"
 PUT, EXPIRE = "put", "expire"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# groups of keys that a batch calls Python for, at most
+SLOTS = 1 << 16
 # rows travel as text that keeps every digit
 _FORMAT = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 _STAMP = ["at", "seq", "tie"]
+_STATE = "key array<string>, at array<long>, seq array<long>, tie array<long>, expires array<long>"
 _OUT = "key string, change string, at long, payload string"
 
 
-class _Newest(StatefulProcessor):
-    """Holds the stamp of the newest write of a key; lets pass what is newer."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.stamp = handle.getValueState("stamp", "at long, seq long, tie long, expires long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = tuple(self.stamp.get()) if self.stamp.exists() else None
-        best, found = None if held is None else held[:3], None
+def _newest(slot: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Holds the stamp of the newest write of each key of a slot; lets pass what is newer."""
+    held = dict(zip(state.get[0], zip(*state.get[1:]))) if state.exists else {}
+    new, out = {}, []
+    if not state.hasTimedOut:
         for some in rows:
-            for at, seq, tie, expires, payload in zip(*(some[c] for c in (*_STAMP, "expires", "payload"))):
-                one = (int(at), int(seq), int(tie))
-                if best is None or one > best:
-                    best, found = one, (int(expires), payload)
-        if found is None:
-            return
-        expires, payload = found
-        if held is not None and held[3] >= 0:
-            self.handle.deleteTimer(held[3])
-        self.stamp.update((*best, expires))
-        if expires >= 0:
-            self.handle.registerTimer(expires)
-        yield pd.DataFrame({"key": [key[0]], "change": [PUT], "at": [best[0]], "payload": [payload]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = tuple(self.stamp.get()) if self.stamp.exists() else None
-        # the stamp stays, so that an older write that comes late does not bring the row back
-        if held is not None and held[3] == expiredTimerInfo.getExpiryTimeInMs():
-            self.stamp.update((*held[:3], -1))
-            yield pd.DataFrame({"key": [key[0]], "change": [EXPIRE], "at": [held[0]], "payload": [None]})
-
-    def close(self) -> None:
-        pass
+            for key, *one in zip(*(some[c].tolist() for c in ("key", *_STAMP, "expires", "payload"))):
+                best = new.get(key) or held.get(key)
+                if best is None or tuple(one[:3]) > best[:3]:
+                    new[key] = tuple(one)
+    for key, one in new.items():
+        held[key] = one[:4]
+        out.append((key, PUT, one[0], one[4]))
+    # the stamp stays, so that an older write that comes late does not bring the row back
+    timed = {key: one for key, one in held.items() if one[3] >= 0}
+    now = state.getCurrentWatermarkMs() if timed else None
+    for key, one in timed.items():
+        if one[3] < now:
+            held[key] = (*one[:3], -1)
+            out.append((key, EXPIRE, one[0], None))
+    if out:
+        state.update((list(held), *map(list, zip(*held.values()))))
+    ends = [one[3] for one in timed.values() if one[3] >= now]
+    if ends:
+        # a call ends the wait before it
+        state.setTimeoutTimestamp(max(min(ends), now + 1))
+    if out:
+        yield pd.DataFrame(out, columns=["key", "change", "at", "payload"])
 
 
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +82,7 @@ def stream_changes(
     seq: Column | None = None,
     ttl: int | None = None,
     late: str = "1 day",
+    slots: int = SLOTS,
 ) -> DataFrame:
     """The stream's accepted writes: each row that is newer than all seen of its key before.
 
@@ -97,8 +95,14 @@ def stream_changes(
 
     State is a stamp a key, in RocksDB (``STATE_STORE``, which the session must
     name); rows are reduced to the newest of each key in every Arrow batch
-    before they are shuffled, and only these pass through Python.
+    before they are shuffled, and only these pass through Python. Keys share
+    ``slots`` by their hash: a batch calls Python once for each slot it reaches,
+    and writes the stamps of that slot. With very many keys raise it, so that a
+    slot holds some hundreds at most; like the number of shuffle partitions it
+    stays as it is for the life of a checkpoint.
     """
+    if slots < 1:
+        raise ValueError("there is at least one slot")
     if not stream.isStreaming:
         raise ValueError("changes are those of a stream")
     spark, spec = stream.sparkSession, key_spec(key)
@@ -122,8 +126,9 @@ def stream_changes(
         *([col(event_time)] if ttl is not None else []),
     )
     packed = packed.mapInArrow(_reduced, packed.schema)
-    found = packed.groupBy("key").transformWithStateInPandas(
-        _Newest(), _OUT, "Append", "None" if ttl is None else "EventTime"
+    packed = packed.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(slots)))
+    found = packed.groupBy("slot").applyInPandasWithState(
+        _newest, _OUT, _STATE, "append", "NoTimeout" if ttl is None else "EventTimeTimeout"
     )
     row = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
     own = F.from_json(F.coalesce("payload", "key"), row, _FORMAT)

@@ -95,3 +95,28 @@ def test_what_it_needs(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
     with pytest.raises(RuntimeError):
         stream_changes(stream, "k", event_time="ts", written_at=F.col("_at"))
+
+
+def test_keys_of_a_slot_are_handled_together(spark, tmp_path):
+    """One slot for all keys gives the changes and expiries that a slot a key gives."""
+    rng = random.Random(5)
+    batches = [[(rng.randrange(8), f"{b}-{i}", 40 * b + rng.randrange(60)) for i in range(40)] for b in range(4)]
+    got = {}
+    for slots in (1, 3, 1 << 16):
+        path = f"{tmp_path}/{slots}"
+        feed(spark, f"{path}/in", *batches, [(99, "end", 1000)], [(99, "after", 1001)])
+        got[slots] = go(spark, path, ttl=30, late="100 seconds", seq=F.crc32(F.col("v").cast("binary")), slots=slots)
+    assert got[1] == got[3] == got[1 << 16]
+    last = {k: max(at for b in batches for key, _, at in b if key == k) for k in range(8)}
+    assert [(k, at) for k, at, change, _ in got[1] if change == "expire" and at == last[k]] == sorted(last.items())
+    # calls follow the slots, not the keys
+    wide = [[(k, "x", b) for k in range(500)] for b in range(2)]
+    feed(spark, f"{tmp_path}/wide/in", *wide)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/wide/in")
+    with settings(spark, **ROCKS):
+        found = stream_changes(stream, "k", event_time="ts", written_at=F.col("_at"), slots=5)
+        writer = found.writeStream.format("parquet").option("path", f"{tmp_path}/wide/out")
+        query = writer.option("checkpointLocation", f"{tmp_path}/wide/p").trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 5
+    assert spark.read.parquet(f"{tmp_path}/wide/out").count() == 1000
