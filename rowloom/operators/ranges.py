@@ -23,6 +23,8 @@ FEW_COPIES = 100_000
 # Pairs of rows that a task compares, about, and the target's rows that a part of a bin holds at least.
 TASK_PAIRS = 1 << 26
 PART_ROWS = 256
+# Bands that a task holds at once for the target's rows of a part, about.
+HELD_BANDS = 1 << 16
 
 
 def _bins(df: DataFrame) -> int:
@@ -50,7 +52,7 @@ def _dealt(found: Cuts, reach: Sequence[int]) -> tuple[list[int], list[int], int
     pairs = [r * n for r, n in zip(rows, reach)]
     wanted = [ceil(4 * p / TASK_PAIRS) for p in pairs]
     parts = [max(w, min(want, int(r // PART_ROWS))) for w, want, r in zip(found.weights, wanted, rows)]
-    tiles = [max(1, ceil(want / p)) for want, p in zip(wanted, parts)]
+    tiles = [max(1, ceil(want / p), ceil(n / HELD_BANDS)) for want, p, n in zip(wanted, parts, reach)]
     return parts, tiles, ceil(sum(pairs) / TASK_PAIRS)
 
 
@@ -89,6 +91,11 @@ def lookup_range(
     partitions as they fill, however few bytes they hold: first the target's
     rows, and the bands too where a part would get few rows. Copies of driver
     rows are broadcast only where they are few.
+
+    Without ``on`` the bands of a bin are held and the target's rows run past them,
+    so what one target row returns to many bands stands together. The result
+    grows with the product of both tables; its repeats, written so, take little
+    disk in formats that store runs.
     """
     if low is None and high is None:
         raise ValueError("a band has a low or a high end")
@@ -153,7 +160,10 @@ def lookup_range(
         condition = condition & (F.col(f"t.{quoted(target_col)}") == F.col(f"row.{quoted(driver_col)}"))
     if where is not None:
         condition = condition & where
-    joined = dealt.alias("row").join(known.alias("t"), condition, "inner")
+    known, dealt = known.alias("t"), dealt.alias("row")
+    # a merge join runs the left rows past the right ones of their key, which it holds in memory: tiles
+    # bound the bands, while those of one value of ``on`` have no bound
+    joined = dealt.join(known, condition, "inner") if on else known.join(dealt, condition, "inner")
     return joined.select(*[F.col(f"t.{quoted(c)}") for c in target.columns])
 
 

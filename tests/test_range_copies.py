@@ -80,3 +80,36 @@ def test_bins_are_dealt_by_their_pairs(monkeypatch):
     # 0, 2560, 5120 and 25 600 pairs over groups of 250; parts have 256 rows of 512 or 1024
     assert ranges._dealt(even, [0, 5, 5, 50]) == ([1, 2, 4, 2], [1, 6, 6, 52], 34)
     assert ranges._dealt(Cuts((), (1,), "double"), [7]) == ([1], [1], 0)
+
+
+def test_repeats_of_a_row_stand_together(spark, monkeypatch, tmp_path):
+    """What one target row returns to many bands comes in one run, so the written result takes little disk."""
+    target = spark.range(6000).select((F.col("id") % 2999).cast("double").alias("v"), F.xxhash64("id").alias("id"))
+    driver = spark.range(900).select(F.col("id").alias("d"), (F.col("id") * 3).cast("double").alias("lo"))
+    driver = driver.repartition(3)
+    want = Counter({i: n for i in range(6000) if (n := sum(3 * d <= i % 2999 <= 3 * d + 600 for d in range(900)))})
+    for few, join in ((0, "SortMergeJoin"), (1_000_000, "BroadcastHashJoin")):
+        monkeypatch.setattr(ranges, "FEW_COPIES", few)
+        got = lookup_range(driver, target, "v", "lo", F.col("lo") + 600, bins=16)
+        assert join in plan(got)
+        ids = [r.id for r in got.select("id").collect()]
+        assert sum(a != b for a, b in zip(ids, ids[1:])) + 1 == len(set(ids)) == len(want)
+        assert sorted(Counter(ids).values()) == sorted(want.values())
+        got.write.parquet(path := str(tmp_path / join))
+        # 0.9 million rows of 16 bytes
+        assert sum(p.stat().st_size for p in (tmp_path / join).glob("*.parquet")) < 300_000
+        assert spark.read.parquet(path).count() == sum(want.values())
+
+
+def test_held_bands_are_dealt(spark, monkeypatch):
+    """Few target rows and many bands: these are not held all at once, and each is compared once."""
+    assert ranges._dealt(Cuts((), (1,), "double", 1), [10 * ranges.HELD_BANDS]) == ([1], [10], 1)
+    monkeypatch.setattr(ranges, "HELD_BANDS", 50)
+    target = spark.createDataFrame([(v, i) for i, v in enumerate([1.0, 2.0, 2.0, 7.0, None])], "v double, id int")
+    driver = spark.range(0, 1000, 1, 3).select((F.col("id") % 5).cast("double").alias("lo"))
+    for few in (0, 1_000_000):
+        monkeypatch.setattr(ranges, "FEW_COPIES", few)
+        got = lookup_range(driver, target, "v", "lo", F.col("lo") + 3, inclusive="low")
+        assert "_tile" in plan(got)
+        # 7 lies in the band from 4 to below 7 no more
+        assert Counter(r.id for r in got.collect()) == {0: 400, 1: 600, 2: 600}
